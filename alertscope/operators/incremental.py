@@ -102,29 +102,20 @@ def publish_key(device: F.Column | str) -> F.Column:
 def cursor_fields(raw: DataFrame, alert_col: str = "alert") -> DataFrame:
     """Add ``cursor_ts`` / ``cursor_id`` / ``publish_key`` to raw alerts (variant).
 
-    ``cursor_ts`` is read only when ``timestamp`` is a JSON string holding a
-    full ISO-8601 instant with zone; ``cursor_id`` is the text of ``alertId``
-    whatever its JSON type.
+    ``cursor_ts`` is set only when ``timestamp`` holds a full ISO-8601
+    instant with zone (a JSON number or container never renders as one, so
+    the pattern also enforces "is a string"); ``cursor_id`` is the text of
+    ``alertId`` whatever its JSON type; a JSON null reads as null.
     """
     v = F.col(alert_col)
-    ts_node = F.try_variant_get(v, "$.timestamp", "variant")
-    ts_text = F.when(
-        F.schema_of_variant(ts_node) == F.lit("STRING"),
-        F.try_variant_get(ts_node, "$", "string"),
-    )
-    id_node = F.try_variant_get(v, "$.alertId", "variant")
-    cursor_id = F.when(
-        id_node.isNotNull() & (F.schema_of_variant(id_node) != F.lit("VOID")),
-        F.coalesce(F.try_variant_get(id_node, "$", "string"), F.to_json(id_node)),
-    )
-    device_node = F.try_variant_get(v, "$.deviceId", "variant")
-    device = F.when(
-        device_node.isNotNull() & (F.schema_of_variant(device_node) != F.lit("VOID")),
-        F.coalesce(F.try_variant_get(device_node, "$", "string"), F.to_json(device_node)),
-    )
-    return raw.select(
+    staged = raw.select(
         "*",
-        strict_instant(ts_text).alias("cursor_ts"),
-        cursor_id.alias("cursor_id"),
-        publish_key(device).alias("publish_key"),
+        F.try_variant_get(v, "$.timestamp", "string").alias("_ts_text"),
+        F.try_variant_get(v, "$.deviceId", "string").alias("_device"),
+    )
+    return staged.select(
+        *raw.columns,
+        strict_instant("_ts_text").alias("cursor_ts"),
+        F.try_variant_get(v, "$.alertId", "string").alias("cursor_id"),
+        publish_key("_device").alias("publish_key"),
     )

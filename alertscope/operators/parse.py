@@ -86,21 +86,28 @@ def parse_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     texts = nodes.select(
         *[field(n).alias(n) for n in EVENT_DEFAULTS],
-        *[F.col(k) for k in _names(keep)],
+        *[F.col(k) for k in keep],
         F.coalesce(has_text & object_root, F.lit(False)).alias("_ok"),
     )
-    out = texts.filter(F.col("_ok") & (F.col("sourceIp") != F.lit(""))).select(
+    sev = F.col("severity")
+    event = F.struct(
         "sourceIp",
         "deviceId",
         "type",
-        F.when(F.col("severity") == "", F.lit("LOW")).otherwise(F.col("severity")).alias(
-            "severity"
-        ),
+        F.when(sev == "", F.lit("LOW")).otherwise(sev).alias("severity"),
         "timestamp",
-        *_names(keep),
+        *[F.col(k) for k in keep],
     )
-    return out
+    return emit_if(texts, F.col("_ok") & (F.col("sourceIp") != F.lit("")), event)
 
 
-def _names(keep: tuple[str, ...]) -> list[str]:
-    return [k for k in keep]
+def emit_if(df: DataFrame, condition: F.Column, record: F.Column) -> DataFrame:
+    """Zero or one output row per input row: ``record`` fields where ``condition``.
+
+    A flat-map through ``explode`` of a 0/1-element array. Unlike a
+    ``Filter`` over derived columns, it is not pushed below the projection
+    that computes its inputs, so the message is parsed once per row and
+    Catalyst never inlines the parser into the predicate.
+    """
+    rows = F.when(F.coalesce(condition, F.lit(False)), F.array(record))
+    return df.select(F.explode(rows).alias("_e")).select("_e.*")

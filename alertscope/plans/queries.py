@@ -19,6 +19,7 @@ from alertscope.operators.detect import detect_anomalies, to_anomaly_json
 from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
 from alertscope.operators.parse import parse_alerts, parse_events
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA
+from alertscope.session import checkpoint_root
 from alertscope.sources.events import (
     load_alerts,
     messages_from_alerts,
@@ -149,22 +150,33 @@ def publish_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.col("cursor_id").alias("alertId"), "publish_key")
 
 
+def _poll_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unnested poll batch, materialized once in the checkpoint folder.
+
+    The mark computations read it several times (scalar subqueries, the
+    anti join); a reliable checkpoint cuts the lineage so each read is a
+    scan of the written batch, not a rebuild of the pages.
+    """
+    checkpoint_root(spark)
+    return _raw_alerts(spark, sf_dir).drop("alert").checkpoint()
+
+
 def _first_poll_mark(spark: SparkSession, raw: DataFrame) -> DataFrame:
     end_day = F.date_trunc("day", raw.select(F.max("cursor_ts")).scalar())
     cutoff = end_day - F.make_interval(days=F.lit(FIRST_POLL_DAYS_BEFORE_END))
     first = raw.filter(F.col("cursor_ts") < cutoff)
-    return next_mark(first, empty_mark(spark))
+    return next_mark(first, empty_mark(spark)).checkpoint()
 
 
 def new_since_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw_alerts(spark, sf_dir)
+    raw = _poll_batch(spark, sf_dir)
     mark = _first_poll_mark(spark, raw)
     new = new_since_mark(raw, mark)
     return new.select(F.col("cursor_id").alias("alertId"), _iso("cursor_ts").alias("cursor_ts"))
 
 
 def next_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw_alerts(spark, sf_dir)
+    raw = _poll_batch(spark, sf_dir)
     mark = _first_poll_mark(spark, raw)
     nxt = next_mark(new_since_mark(raw, mark), mark)
     return nxt.select(_iso("mark_ts").alias("mark_ts"), "mark_id")
