@@ -121,7 +121,8 @@ def _step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iter
             cur.fold(part)
     if cur is not None:
         state.update(cur.as_tuple())
-        state.setTimeoutTimestamp(cur.win_end)
+        # Fire at the window end, measured on the micro-batch clock.
+        state.setTimeoutDuration(max(cur.win_end - state.getCurrentProcessingTimeMs(), 1))
 
 
 def processing_time_partials(
