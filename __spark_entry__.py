@@ -52,7 +52,7 @@ alerts AS (
     event_type AS description,
     event_id % 2 = 0 AS acknowledged,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS createdAt,
-    ts AS kafka_ts,
+    date_trunc('millisecond', ts) AS kafka_ts,
     ts AS event_ts,
     CAST(ts AS DATE) AS dt
   FROM events
@@ -105,7 +105,9 @@ FROM alerts"""
 _EV = """
 ev AS (
   SELECT sourceIp, COALESCE(deviceId, '') AS deviceId, COALESCE("type", '') AS "type",
-         COALESCE(severity, 'LOW') AS severity, "timestamp", event_ts, alertId
+         COALESCE(severity, 'LOW') AS severity, "timestamp", event_ts, alertId,
+         epoch_ms(kafka_ts) AS arr_ms, CAST(alertId AS BIGINT) % 3 AS arr_part,
+         CAST(alertId AS BIGINT) AS arr_off
   FROM alerts WHERE sourceIp IS NOT NULL AND sourceIp <> ''
 )"""
 
@@ -128,7 +130,7 @@ agg AS (
   HAVING COUNT(*) >= 3 {extra_having}
 ),
 dev AS (
-  SELECT ws, sourceIp, deviceId, MIN(event_ts) AS f FROM b WHERE deviceId <> ''
+  SELECT ws, sourceIp, deviceId, MIN((arr_ms, arr_part, arr_off)) AS f FROM b WHERE deviceId <> ''
   GROUP BY ws, sourceIp, deviceId
 ),
 devl AS (
@@ -136,7 +138,7 @@ devl AS (
   GROUP BY ws, sourceIp
 ),
 typ AS (
-  SELECT ws, sourceIp, "type", MIN(event_ts) AS f FROM b WHERE "type" <> ''
+  SELECT ws, sourceIp, "type", MIN((arr_ms, arr_part, arr_off)) AS f FROM b WHERE "type" <> ''
   GROUP BY ws, sourceIp, "type"
 ),
 typl AS (

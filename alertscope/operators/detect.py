@@ -23,6 +23,34 @@ from alertscope.functions.severity import normalised_severity
 from alertscope.functions.time import iso_instant
 
 
+# Digit widths of the packed arrival order — broker time in
+# milliseconds, partition, offset — 14 + 5 + 19 = 38 digits.
+_MS_DIGITS, _PARTITION_DIGITS, _OFFSET_DIGITS = 14, 5, 19
+
+
+def arrival_order(ts: Column | str, partition: Column | str, offset: Column | str) -> Column:
+    """(broker time, partition, offset) packed into one ``decimal(38,0)``.
+
+    Ordering the decimal is ordering the triple, and ``min`` over a decimal
+    keeps a fixed-width aggregation buffer, so the level-1 aggregate stays
+    a hash aggregate (a struct ``min`` would fall back to a sort-based
+    aggregate). Broker timestamps carry milliseconds; a value outside the
+    widths (time before 1970, partition >= 10^5) raises instead of
+    mis-ordering.
+    """
+    c = lambda x: F.col(x) if isinstance(x, str) else x
+    ms = F.unix_millis(c(ts))
+    part = c(partition).cast("long")
+    off = c(offset).cast("long")
+    ok = (ms >= 0) & (ms < F.lit(10**_MS_DIGITS)) & (part >= 0) & (part < F.lit(10**_PARTITION_DIGITS)) & (off >= 0)
+    packed = F.concat(
+        F.lpad(ms.cast("string"), _MS_DIGITS, "0"),
+        F.lpad(part.cast("string"), _PARTITION_DIGITS, "0"),
+        F.lpad(off.cast("string"), _OFFSET_DIGITS, "0"),
+    ).cast("decimal(38,0)")
+    return F.when(ok, packed).otherwise(F.raise_error(F.lit("arrival order out of range")))
+
+
 def window_spec(time_col: Column | str, window_seconds: int) -> Column:
     """Epoch-aligned tumbling window ``[start, end)`` of ``window_seconds``."""
     col = F.col(time_col) if isinstance(time_col, str) else time_col

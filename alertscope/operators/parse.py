@@ -34,12 +34,11 @@ def parse_alerts(messages: DataFrame) -> DataFrame:
     ``try_to_timestamp``, so bad text lands in the null ``dt`` partition
     instead of failing the stream.
     """
-    parsed = (
-        decode_messages(messages)
-        .select(F.from_json("json", ALERT_SCHEMA).alias("a"), "kafka_ts")
-        .select("a.*", "kafka_ts")
-        .filter(F.col("alertId").isNotNull())
+    typed = decode_messages(messages).select(
+        F.from_json("json", ALERT_SCHEMA).alias("a"), "kafka_ts"
     )
+    record = F.struct(*[F.col("a")[f].alias(f) for f in ALERT_FIELDS], F.col("kafka_ts"))
+    parsed = emit_if(typed, F.col("a.alertId").isNotNull(), record)
     with_time = parsed.withColumn("event_ts", lenient_timestamp("timestamp"))
     return with_time.withColumn("dt", F.to_date("event_ts")).select(*LAKE_COLUMNS)
 

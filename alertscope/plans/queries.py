@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from alertscope.functions.time import ISO_MICROS_FORMAT
 from alertscope.operators import reports as R
-from alertscope.operators.detect import detect_anomalies, to_anomaly_json
+from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
 from alertscope.operators.parse import parse_alerts, parse_events
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA
@@ -58,7 +58,7 @@ def total_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """alerts → topic messages (JSON) → typed lake rows."""
-    lake = parse_alerts(messages_from_alerts(load_alerts(spark, sf_dir)))
+    lake = parse_alerts(messages_from_alerts(load_alerts(spark, sf_dir, spread=True)))
     return lake.select(
         *ALERT_FIELDS,
         _iso("kafka_ts").alias("kafka_ts"),
@@ -68,7 +68,7 @@ def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detector_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = messages_from_alerts(load_alerts(spark, sf_dir))
+    msgs = messages_from_alerts(load_alerts(spark, sf_dir, spread=True))
     return parse_events(
         msgs.withColumnRenamed("timestamp", "kafka_ts"), keep=("kafka_ts", "partition", "offset")
     ).withColumn("event_ts", F.try_to_timestamp("timestamp"))
@@ -81,7 +81,7 @@ def detector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrival_order() -> F.Column:
-    return F.struct("kafka_ts", "partition", "offset")
+    return arrival_order("kafka_ts", "partition", "offset")
 
 
 def _flat(anoms: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = pages_from_alerts(load_alerts(spark, sf_dir))
+    pages = pages_from_alerts(load_alerts(spark, sf_dir, spread=True))
     return cursor_fields(unnest_pages(pages))
 
 

@@ -65,8 +65,25 @@ def alerts_from_events(events: DataFrame) -> DataFrame:
     return events.select(*[cols[c].alias(c) for c in LAKE_COLUMNS])
 
 
-def load_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts_from_events(read_table(spark, sf_dir, "events"))
+def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Spread a static frame over at least ``minimum`` partitions (default:
+    the cluster's default parallelism) when its scan yields fewer.
+
+    For CPU-heavy per-row work (JSON text in and out) ahead of the first
+    shuffle: a small table stored as one row group is read by one task.
+    On a large input the scan already has more splits than cores and this
+    is a no-op; the round-robin repartition is deterministic, so a retried
+    task sees the same rows.
+    """
+    target = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def load_alerts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    events = read_table(spark, sf_dir, "events")
+    return alerts_from_events(ensure_parallelism(events) if spread else events)
 
 
 def alert_json(alerts: DataFrame) -> F.Column:
@@ -77,6 +94,8 @@ def alert_json(alerts: DataFrame) -> F.Column:
 def messages_from_alerts(alerts: DataFrame, topic: str = "ids.alerts") -> DataFrame:
     """Kafka-row-shaped frame: key = device, value = alert JSON, broker time.
 
+    Broker time has millisecond precision, as a broker records it.
+
     ``partition``/``offset`` are derived from the alert id so that arrival
     order is defined and stable (``kafka_ts``, partition, offset).
     """
@@ -87,7 +106,7 @@ def messages_from_alerts(alerts: DataFrame, topic: str = "ids.alerts") -> DataFr
         F.lit(topic).alias("topic"),
         (F.coalesce(aid, F.lit(0)) % 3).cast("int").alias("partition"),
         F.coalesce(aid, F.lit(0)).alias("offset"),
-        F.col("kafka_ts").alias("timestamp"),
+        F.date_trunc("millisecond", F.col("kafka_ts")).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 
@@ -119,6 +138,7 @@ __all__ = [
     "ALERT_SCHEMA",
     "alert_json",
     "alerts_from_events",
+    "ensure_parallelism",
     "load_alerts",
     "messages_from_alerts",
     "messages_from_events",

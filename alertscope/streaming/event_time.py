@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from alertscope.operators.detect import detect_anomalies, to_anomaly_json
+from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.parse import parse_events
 from alertscope.session import scratch_path
 from alertscope.sources.events import messages_from_events
@@ -37,7 +37,7 @@ def detector_stream(
         window_seconds,
         threshold,
         time_col="event_ts",
-        order=F.struct("kafka_ts", "partition", "offset"),
+        order=arrival_order("kafka_ts", "partition", "offset"),
     )
 
 
