@@ -222,7 +222,12 @@ def _with(ctes: str, body: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     out = {name: _with(_ALERTS, sql) for name, sql in _REPORT_SQL.items()}
+    for name in _REPORT_SQL:
+        if name != "total_alerts":
+            out[f"sql_{name}"] = out[name]
     out["lake_parse"] = _with(_ALERTS, _LAKE_PARSE)
+    out["lake_roundtrip"] = _with(_ALERTS, _LAKE_PARSE)
+    out["lake_daily_trend"] = out["daily_trend"]
     out["detector_parse"] = _with(_ALERTS + "," + _EV, _DETECTOR_PARSE)
     out["source_anomalies"] = _with(_ALERTS + "," + _EV + "," + _anomaly_ctes(), _ANOM_FLAT)
     out["anomaly_json"] = _with(_ALERTS + "," + _EV + "," + _anomaly_ctes(), _ANOM_JSON)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertscope.functions.severity import severity_rank
@@ -114,3 +114,50 @@ def in_date_range(alerts: DataFrame, since=None, until=None) -> DataFrame:
     if until is not None:
         alerts = alerts.filter(F.col("dt") <= F.lit(until).cast("date"))
     return alerts
+
+
+# The same reports as SQL text over a registered view (``{view}``), for
+# users who keep reports as named SQL. Ties at the cut are broken by key.
+_RANK_SQL = (
+    "MAX(CASE severity WHEN 'CRITICAL' THEN 4 WHEN 'HIGH' THEN 3 "
+    "WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END)"
+)
+REPORT_SQL: dict[str, str] = {
+    "top_source_ips": (
+        "SELECT sourceIp, COUNT(*) AS alert_count, "
+        "COUNT(DISTINCT destinationIp) AS distinct_targets, "
+        "COUNT(DISTINCT destinationPort) AS distinct_ports, "
+        f"{_RANK_SQL} AS max_severity_rank "
+        "FROM {view} WHERE sourceIp IS NOT NULL "
+        f"GROUP BY sourceIp ORDER BY alert_count DESC, sourceIp LIMIT {TOP_SOURCES}"
+    ),
+    "alerts_per_device": (
+        "SELECT deviceId, COUNT(*) AS alert_count, COUNT(DISTINCT sourceIp) AS distinct_sources "
+        "FROM {view} GROUP BY deviceId ORDER BY alert_count DESC, deviceId"
+    ),
+    "severity_distribution": (
+        f"SELECT COALESCE(severity, '{UNKNOWN}') AS severity, COUNT(*) AS alert_count "
+        "FROM {view} "
+        f"GROUP BY COALESCE(severity, '{UNKNOWN}') ORDER BY alert_count DESC, severity"
+    ),
+    "type_distribution": (
+        f"SELECT COALESCE(type, '{UNKNOWN}') AS type, COUNT(*) AS alert_count "
+        "FROM {view} "
+        f"GROUP BY COALESCE(type, '{UNKNOWN}') ORDER BY alert_count DESC, type"
+    ),
+    "daily_trend": (
+        "SELECT dt, COUNT(*) AS alert_count, COUNT(DISTINCT sourceIp) AS distinct_sources, "
+        "COUNT(DISTINCT deviceId) AS active_devices FROM {view} GROUP BY dt ORDER BY dt"
+    ),
+    "top_destination_ports": (
+        "SELECT destinationPort, COUNT(*) AS alert_count "
+        "FROM {view} WHERE destinationPort IS NOT NULL "
+        f"GROUP BY destinationPort ORDER BY alert_count DESC, destinationPort LIMIT {TOP_PORTS}"
+    ),
+}
+
+
+def sql_report(spark: SparkSession, alerts: DataFrame, name: str, view: str = "alerts") -> DataFrame:
+    """Register ``alerts`` as a temp view and run the named report's SQL text."""
+    alerts.createOrReplaceTempView(view)
+    return spark.sql(REPORT_SQL[name].replace("{view}", view))

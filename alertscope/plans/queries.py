@@ -19,7 +19,10 @@ from alertscope.operators.detect import arrival_order, detect_anomalies, to_anom
 from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
 from alertscope.operators.parse import parse_alerts, parse_events
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA
-from alertscope.session import checkpoint_root
+from alertscope.plans.lake_job import read_lake, start_lake
+from alertscope.session import checkpoint_root, scratch_path
+from alertscope.sources.events import messages_from_events
+from alertscope.streaming.event_time import table_stream
 from alertscope.sources.events import (
     load_alerts,
     messages_from_alerts,
@@ -52,6 +55,48 @@ def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _sql_report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return R.sql_report(spark, load_alerts(spark, sf_dir), name)
+
+    run.__name__ = f"sql_{name}"
+    return run
+
+
+def _written_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events (file stream) → topic messages → partitioned lake → read back.
+
+    The lake and its checkpoint go to a new folder under the session's
+    checkpoint root; the stream runs with ``availableNow`` and stops.
+    """
+    stream = table_stream(spark, sf_dir, "events.parquet")
+    base = scratch_path(spark, "lake")
+    query = start_lake(
+        messages_from_events(stream),
+        f"{base}/alerts",
+        f"{base}/_checkpoint",
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return read_lake(spark, f"{base}/alerts")
+
+
+def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _written_lake(spark, sf_dir)
+    return lake.select(
+        *ALERT_FIELDS,
+        _iso("kafka_ts").alias("kafka_ts"),
+        _iso("event_ts").alias("event_ts"),
+        "dt",
+    )
+
+
+def lake_daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.daily_trend(_written_lake(spark, sf_dir))
+
+
 def total_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.total_alerts(load_alerts(spark, sf_dir))
 
@@ -184,8 +229,11 @@ def next_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _report(name) for name in R.REPORTS},
+    **{f"sql_{name}": _sql_report(name) for name in R.REPORT_SQL},
     "total_alerts": total_alerts,
     "lake_parse": lake_parse,
+    "lake_roundtrip": lake_roundtrip,
+    "lake_daily_trend": lake_daily_trend,
     "detector_parse": detector_parse,
     "source_anomalies": source_anomalies,
     "anomaly_json": anomaly_json,
