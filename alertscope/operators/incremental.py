@@ -75,11 +75,21 @@ def next_mark(
     rows = observed.filter(F.col(ts_col).isNotNull()).select(
         F.col(ts_col).cast("timestamp").alias("mark_ts"), F.col(id_col).alias("mark_id")
     )
-    both = rows.unionByName(mark.select("mark_ts", "mark_id"))
-    latest = both.select(F.max("mark_ts")).scalar()
-    at_latest = both.filter(F.col("mark_ts") == latest).distinct()
-    any_id = at_latest.select(F.count("mark_id")).scalar() > F.lit(0)
-    return at_latest.filter(F.col("mark_id").isNotNull() | ~any_id)
+    both = rows.unionByName(mark.select("mark_ts", "mark_id").filter(F.col("mark_ts").isNotNull()))
+    # Latest instant and how many ids it has: a partial aggregate per
+    # instant, then the top one (at most one row, so broadcasting it is safe).
+    latest = (
+        both.groupBy("mark_ts")
+        .agg(F.count("mark_id").alias("_ids"))
+        .orderBy(F.desc("mark_ts"))
+        .limit(1)
+    )
+    at_latest = both.join(F.broadcast(latest), "mark_ts")
+    return (
+        at_latest.filter(F.col("mark_id").isNotNull() | (F.col("_ids") == 0))
+        .select("mark_ts", "mark_id")
+        .distinct()
+    )
 
 
 def timestamp_only(mark: DataFrame) -> DataFrame:
