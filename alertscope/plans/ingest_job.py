@@ -89,7 +89,10 @@ def poll_once(
     new, nxt = load_new(raw, mark)
     new = new.checkpoint()
     publish(new)
-    write_mark(nxt, mark_path, version)
+    try:
+        write_mark(nxt, mark_path, version)
+    except Exception as exc:  # the next poll re-reads the old mark: re-send, never loss
+        print(f"[alertscope] could not persist mark to {mark_path}: {exc}")
     return new.count()
 
 

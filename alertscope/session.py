@@ -48,6 +48,9 @@ def session(app: str = "alertscope", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
     }
+    region = os.environ.get("AWS_REGION", "").strip()
+    if region:  # object-store region for s3a:// lake and checkpoint paths
+        settings["spark.hadoop.fs.s3a.endpoint.region"] = region
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)

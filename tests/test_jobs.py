@@ -1,0 +1,111 @@
+"""Job parameters, topic option maps and the poll loop end to end."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from alertscope.plans.ingest_job import poll_once, read_mark, start_poller
+from alertscope.plans.jobs import DetectorParams
+from alertscope.session import int_param, param
+from alertscope.sources import kafka
+
+
+def test_param_blank_means_default(monkeypatch):
+    monkeypatch.setenv("AS_TEST_KEY", "   ")
+    assert param("AS_TEST_KEY", "dflt") == "dflt"
+    monkeypatch.setenv("AS_TEST_KEY", "x")
+    assert param("AS_TEST_KEY", "dflt") == "x"
+    monkeypatch.delenv("AS_TEST_KEY")
+    assert param("AS_TEST_KEY", "dflt") == "dflt"
+
+
+@pytest.mark.parametrize(
+    "raw,expected", [("", 60), ("abc", 60), ("0", 1), ("-5", 1), ("30", 30), (" 90 ", 90)]
+)
+def test_window_seconds_clamped(monkeypatch, raw, expected):
+    monkeypatch.setenv("WINDOW_SECONDS", raw)
+    assert DetectorParams.from_env().window_seconds == expected
+
+
+def test_detector_defaults(monkeypatch):
+    for key in ("WINDOW_SECONDS", "ALERT_THRESHOLD", "CHECKPOINT_INTERVAL_MS", "ANOMALIES_TOPIC"):
+        monkeypatch.delenv(key, raising=False)
+    p = DetectorParams.from_env()
+    assert (p.window_seconds, p.threshold, p.checkpoint_interval_ms) == (60, 3, 10_000)
+    assert p.anomalies_topic == "traffic-anomalies" and p.alerts_topic == "ids.alerts"
+    monkeypatch.setenv("CHECKPOINT_INTERVAL_MS", "10")
+    monkeypatch.setenv("ALERT_THRESHOLD", "0")
+    p = DetectorParams.from_env()
+    assert p.checkpoint_interval_ms == 1000 and p.threshold == 1
+    assert int_param("NOT_SET_ANYWHERE", 7, 1) == 7
+
+
+def test_topic_options():
+    src = kafka.source_options("b:9092", "ids.alerts")
+    assert src == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "ids.alerts",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+    }
+    prod = kafka.producer_options("b:9092")
+    assert prod["kafka.acks"] == "all" and prod["kafka.retries"] == "3"
+    assert kafka.anomaly_sink_options("b:9092")["topic"] == "traffic-anomalies"
+
+
+def _pages(spark, folder, alerts):
+    body = json.dumps({"data": {"content": alerts}})
+    spark.createDataFrame([(body,)], "body string").write.mode("append").json(folder)
+
+
+def _alert(i, ts):
+    return {"alertId": i, "timestamp": ts, "deviceId": f"dev-{i}", "severity": "LOW"}
+
+
+def test_poll_once_advances_only_after_publish(spark, tmp_dir):
+    mark_path = f"{tmp_dir}/mark"
+    sent = []
+
+    def ok(df):
+        sent.extend(r.cursor_id for r in df.collect())
+
+    def broken(df):
+        raise RuntimeError("broker down")
+
+    pages = spark.createDataFrame(
+        [(json.dumps({"data": {"content": [_alert("a", "2026-06-11T10:00:00Z"), _alert("b", "2026-06-11T10:00:01Z")]}}),)],
+        "body string",
+    )
+    assert poll_once(spark, pages, mark_path, ok) == 2
+    assert poll_once(spark, pages, mark_path, ok) == 0  # same page again: nothing new
+    more = spark.createDataFrame(
+        [(json.dumps({"data": {"content": [_alert("c", "2026-06-11T10:00:02Z"), _alert("b", "2026-06-11T10:00:01Z")]}}),)],
+        "body string",
+    )
+    with pytest.raises(Exception):
+        poll_once(spark, more, mark_path, broken)
+    # the failed publish did not move the mark: c is still new
+    assert poll_once(spark, more, mark_path, ok) == 1
+    assert sent == ["a", "b", "c"] or sorted(sent) == ["a", "b", "c"]
+    mark = read_mark(spark, mark_path).collect()
+    assert [(r.mark_ts, r.mark_id) for r in mark] == [(dt.datetime(2026, 6, 11, 10, 0, 2), "c")]
+
+
+def test_poller_stream(spark, tmp_dir):
+    src, mark_path, ckpt = f"{tmp_dir}/pages", f"{tmp_dir}/mark", f"{tmp_dir}/ckpt"
+    sent = []
+    _pages(spark, src, [_alert("1", "2026-06-11T10:00:00Z"), _alert("2", "2026-06-11T10:00:00Z"), 5, None])
+    stream = spark.readStream.schema("body string").json(src)
+    q = start_poller(stream, mark_path, lambda df: sent.extend(r.cursor_id for r in df.collect()), ckpt,
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    _pages(spark, src, [_alert("2", "2026-06-11T10:00:00Z"), _alert("3", "2026-06-11T10:00:00Z")])
+    q = start_poller(stream, mark_path, lambda df: sent.extend(r.cursor_id for r in df.collect()), ckpt,
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(sent) == ["1", "2", "3"]
+    assert os.path.isdir(mark_path)
