@@ -77,9 +77,19 @@ def run_detector(spark: SparkSession, messages: DataFrame, p: DetectorParams):
     )
 
 
+# State store for the long-running detector. Window state is
+# keyed by (window, source, device, type); RocksDB keeps it off the JVM heap.
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def main(argv: list[str]) -> int:
     job = argv[1] if len(argv) > 1 else ""
-    spark = S.session(f"alertscope-{job or 'job'}")
+    conf = {}
+    if job == "detector":
+        conf["spark.sql.streaming.stateStore.providerClass"] = S.param(
+            "STATE_STORE_PROVIDER", ROCKSDB_PROVIDER
+        )
+    spark = S.session(f"alertscope-{job or 'job'}", **conf)
     if job == "lake":
         messages = kafka.read_topic_stream(
             spark,

@@ -75,10 +75,14 @@ def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
     is a no-op; the round-robin repartition is deterministic, so a retried
     task sees the same rows.
     """
-    target = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+    if df.isStreaming:
         return df
-    return df.repartition(target)
+    try:
+        target = minimum or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of this session (e.g. a remote client): leave as is
+        return df
+    return df if splits >= target else df.repartition(target)
 
 
 def load_alerts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
