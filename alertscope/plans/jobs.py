@@ -84,12 +84,10 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def main(argv: list[str]) -> int:
     job = argv[1] if len(argv) > 1 else ""
-    conf = {}
-    if job == "detector":
-        conf["spark.sql.streaming.stateStore.providerClass"] = S.param(
-            "STATE_STORE_PROVIDER", ROCKSDB_PROVIDER
-        )
-    spark = S.session(f"alertscope-{job or 'job'}", **conf)
+    spark = S.session(f"alertscope-{job or 'job'}")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if job == "detector" and not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, S.param("STATE_STORE_PROVIDER", ROCKSDB_PROVIDER))
     if job == "lake":
         messages = kafka.read_topic_stream(
             spark,
