@@ -122,13 +122,16 @@ def messages_from_events(events: DataFrame, topic: str = "ids.alerts") -> DataFr
 def pages_from_alerts(alerts: DataFrame, page_size: int = 200) -> DataFrame:
     """Paged API bodies ``{"data":{"content":[alert,…]}}`` of ``page_size`` alerts.
 
-    Pages are cut by alert id range, so every page holds at most
-    ``page_size`` alerts whatever the key distribution: the array built per
-    page is bounded. Each page also carries one ``null`` element, which the
+    Pages are cut by (numeric, unique) alert id range, so every page holds
+    at most ``page_size`` alerts whatever the key distribution: the array
+    built per page is bounded. Each page also carries one ``null`` element, which the
     unnest must skip like any non-object element.
     """
-    page = (F.col("alertId").cast("long") / F.lit(page_size)).cast("long")
-    item = F.struct(F.col("alertId").cast("long").alias("o"), alert_json(alerts).alias("j"))
+    seq = F.coalesce(
+        F.col("alertId").cast("long"), F.raise_error(F.lit("pages are cut by numeric alertId"))
+    )
+    page = F.floor(seq / F.lit(page_size))
+    item = F.struct(seq.alias("o"), alert_json(alerts).alias("j"))
     grouped = alerts.groupBy(page.alias("page_no")).agg(F.collect_list(item).alias("items"))
     content = F.array_join(
         F.transform(F.array_sort("items"), lambda s: s["j"]), ","
