@@ -93,6 +93,7 @@ def main(argv: list[str]) -> int:
             spark,
             servers=S.param("KAFKA_BOOTSTRAP", S.DEFAULT_BOOTSTRAP),
             topic=S.param("ALERTS_TOPIC", S.DEFAULT_ALERTS_TOPIC),
+            min_partitions=S.int_param("KAFKA_MIN_PARTITIONS", 0, 0) or None,
         )
         root = S.checkpoint_root(spark)
         q = start_lake(
@@ -110,7 +111,12 @@ def main(argv: list[str]) -> int:
             print(f"[alertscope] report {name}: {state}")
     elif job == "detector":
         p = DetectorParams.from_env()
-        messages = kafka.read_topic_stream(spark, servers=p.bootstrap, topic=p.alerts_topic)
+        messages = kafka.read_topic_stream(
+            spark,
+            servers=p.bootstrap,
+            topic=p.alerts_topic,
+            min_partitions=S.int_param("KAFKA_MIN_PARTITIONS", 0, 0) or None,
+        )
         run_detector(spark, messages, p).awaitTermination()
     else:
         print("usage: python -m alertscope.plans.jobs lake|reports|detector")

@@ -19,12 +19,15 @@ def source_options(
     topic: str = DEFAULT_ALERTS_TOPIC,
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
+    min_partitions: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Reader options: subscribe one topic from the earliest offset.
 
     On restart the streaming checkpoint's offsets win; ``startingOffsets``
-    applies to the first run only.
+    applies to the first run only. ``min_partitions`` splits topic
+    partitions into at least that many Spark tasks per micro-batch (no
+    shuffle), so a topic with few partitions still parses on every core.
     """
     opts = {
         "kafka.bootstrap.servers": servers,
@@ -32,6 +35,8 @@ def source_options(
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     opts.update(extra)
     return opts
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.parse import parse_events
 from alertscope.session import scratch_path
-from alertscope.sources.events import messages_from_events
+from alertscope.sources.events import ensure_parallelism, messages_from_events
 
 
 def detector_stream(
@@ -63,14 +63,24 @@ def start_detector(
 
 
 def table_stream(spark: SparkSession, table_dir: str, file_name: str) -> DataFrame:
-    """A file stream over the Parquet files named ``file_name`` in ``table_dir``."""
+    """A file stream over the Parquet files named ``file_name`` in ``table_dir``.
+
+    When the files present at start split into fewer tasks than the default
+    parallelism (a small table stored as one row group), the stream is
+    spread round-robin so the per-row JSON work uses every core; a large or
+    many-file input gets no extra shuffle.
+    """
     path = f"{table_dir.rstrip('/')}/{file_name}"
-    schema = spark.read.parquet(path).schema
-    return (
-        spark.readStream.schema(schema)
+    static = spark.read.parquet(path)
+    stream = (
+        spark.readStream.schema(static.schema)
         .option("pathGlobFilter", file_name)
         .parquet(table_dir)
     )
+    spread = ensure_parallelism(static)
+    if spread is not static:
+        stream = stream.repartition(spark.sparkContext.defaultParallelism)
+    return stream
 
 
 def run_detector_available_now(
