@@ -20,7 +20,7 @@ from alertscope.operators.incremental import cursor_fields, empty_mark, new_sinc
 from alertscope.operators.parse import parse_alerts, parse_events
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA
 from alertscope.plans.lake_job import read_lake, start_lake
-from alertscope.session import checkpoint_root, scratch_path
+from alertscope.session import checkpoint_root, ensure_utc, scratch_path
 from alertscope.sources.events import messages_from_events
 from alertscope.streaming.event_time import table_stream
 from alertscope.sources.events import (
@@ -227,7 +227,16 @@ def next_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nxt.select(_iso("mark_ts").alias("mark_ts"), "mark_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _report(name) for name in R.REPORTS},
     **{f"sql_{name}": _sql_report(name) for name in R.REPORT_SQL},
     "total_alerts": total_alerts,
@@ -245,6 +254,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_mark": next_mark_q,
 }
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _in_utc(fn) for name, fn in _QUERIES.items()
+}
+
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")

@@ -57,6 +57,13 @@ def session(app: str = "alertscope", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def ensure_utc(spark: SparkSession) -> None:
+    """Alert semantics are UTC (partition date, ISO instants, zone-less text):
+    pin the session time zone before plans are built, as the jobs do."""
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

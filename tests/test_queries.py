@@ -31,3 +31,10 @@ def test_entry_smoke(spark):
         "sourceIp", "alert_count", "distinct_targets", "distinct_ports", "max_severity_rank",
     ]
     assert df.count() > 0
+
+
+def test_queries_pin_utc(spark, con):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    result = compare(spark, "source_anomalies", SF_SMALL, con)
+    assert result["status"] == "match", result
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
