@@ -216,6 +216,26 @@ WHERE event_ts = (SELECT MAX(event_ts) FROM (SELECT event_ts FROM newrows UNION
 GROUP BY 1, 2"""
 
 
+_REPORT_KEYS = {
+    "top_source_ips": "sourceIp",
+    "alerts_per_device": "deviceId",
+    "severity_distribution": "severity",
+    "type_distribution": '"type"',
+    "daily_trend": "dt",
+    "top_destination_ports": "destinationPort",
+}
+
+_WRITTEN_REPORTS = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, alert_count "
+    f"FROM ({_REPORT_SQL[name]})"
+    for name, key in _REPORT_KEYS.items()
+)
+
+_NEW_SINCE_STORED = f"""
+SELECT alertId, strftime(event_ts, {_ISO_US}) AS cursor_ts
+FROM alerts, m WHERE event_ts IS NULL OR m.mts IS NULL OR event_ts >= m.mts"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -239,4 +259,6 @@ def oracle_sql() -> dict[str, str]:
     out["publish_key"] = _with(_ALERTS, _PUBLISH_KEY)
     out["new_since_mark"] = _with(_ALERTS + "," + _MARK, _NEW_SINCE)
     out["next_mark"] = _with(_ALERTS + "," + _MARK, _NEXT_MARK)
+    out["written_reports"] = _with(_ALERTS, _WRITTEN_REPORTS)
+    out["new_since_stored_mark"] = _with(_ALERTS + "," + _MARK, _NEW_SINCE_STORED)
     return out

@@ -19,7 +19,9 @@ from alertscope.operators.detect import arrival_order, detect_anomalies, to_anom
 from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
 from alertscope.operators.parse import parse_alerts, parse_events
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA
+from alertscope.plans.ingest_job import read_mark, write_mark
 from alertscope.plans.lake_job import read_lake, start_lake
+from alertscope.plans.report_job import run_reports
 from alertscope.session import checkpoint_root, ensure_utc, scratch_path
 from alertscope.sources.events import messages_from_events
 from alertscope.streaming.event_time import table_stream
@@ -236,6 +238,47 @@ def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return run
 
 
+# Group key of each report, for the long read-back form.
+REPORT_KEYS = {
+    "top_source_ips": "sourceIp",
+    "alerts_per_device": "deviceId",
+    "severity_distribution": "severity",
+    "type_distribution": "type",
+    "daily_trend": "dt",
+    "top_destination_ports": "destinationPort",
+}
+
+
+def written_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the report job to files, read every report back as (report, key, alert_count)."""
+    out = scratch_path(spark, "reports")
+    status = run_reports(spark, load_alerts(spark, sf_dir), out)
+    failed = {k: v for k, v in status.items() if v != "ok"}
+    if failed:
+        raise RuntimeError(f"report job failed: {failed}")
+    frames = [
+        spark.read.parquet(f"{out}/{name}").select(
+            F.lit(name).alias("report"), F.col(key).cast("string").alias("key"), "alert_count"
+        )
+        for name, key in REPORT_KEYS.items()
+    ]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
+def new_since_stored_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restart case: the first poll's mark goes through the mark store and is
+    read back timestamp-only, so alerts at exactly the mark instant are new again."""
+    raw = _poll_batch(spark, sf_dir)
+    store = scratch_path(spark, "mark")
+    write_mark(_first_poll_mark(spark, raw), store, 0)
+    stored = read_mark(spark, store, timestamp_only=True)
+    new = new_since_mark(raw, stored)
+    return new.select(F.col("cursor_id").alias("alertId"), _iso("cursor_ts").alias("cursor_ts"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _report(name) for name in R.REPORTS},
     **{f"sql_{name}": _sql_report(name) for name in R.REPORT_SQL},
@@ -252,6 +295,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_key": publish_keys,
     "new_since_mark": new_since_mark_q,
     "next_mark": next_mark_q,
+    "written_reports": written_reports,
+    "new_since_stored_mark": new_since_stored_mark,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
