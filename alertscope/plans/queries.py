@@ -29,7 +29,6 @@ from alertscope.sources.events import (
     load_alerts,
     messages_from_alerts,
     pages_from_alerts,
-    read_table,
 )
 from alertscope.sources.pages import latest, unnest_pages
 
@@ -302,7 +301,3 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: _in_utc(fn) for name, fn in _QUERIES.items()
 }
-
-
-def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
