@@ -6,12 +6,14 @@ mark written. A failed publish fails the batch, so the mark never moves
 past alerts that were not delivered; a crash between publish and mark
 write re-sends that batch (at-least-once, never loss).
 
-The mark is stored as a small Parquet table partitioned by ``version``;
-each poll appends a new version and readers take the highest one, so a
-reader never sees a half-replaced mark. The ids at the mark instant are
-stored too, so a restart does not re-send alerts at exactly that instant
-(pass ``timestamp_only=True`` to read it the way a timestamp-only store
-would).
+The mark is stored as a small Parquet table with two slots (double
+buffering): version ``v`` overwrites slot ``v % 2`` only, and readers take
+the highest version present. A write that dies half-way leaves the other
+slot — the previous mark — intact, so the worst case is a re-send, never a
+loss, and storage stays at two tiny partitions however long the poller
+runs. The ids at the mark instant are stored too, so a restart does not
+re-send alerts at exactly that instant (pass ``timestamp_only=True`` to
+read it the way a timestamp-only store would).
 """
 
 from __future__ import annotations
@@ -64,13 +66,22 @@ def read_mark(spark: SparkSession, path: str, timestamp_only: bool = False) -> D
     return ts_only_mark(mark) if timestamp_only else mark
 
 
+MARK_SLOTS = 2
+
+
 def write_mark(mark: DataFrame, path: str, version: int) -> None:
-    """Append ``mark`` as ``version`` (readers switch to it once it is committed)."""
+    """Write ``mark`` as ``version`` into slot ``version % 2``, leaving the other slot."""
     (
-        mark.select("mark_ts", "mark_id", F.lit(int(version)).cast("long").alias("version"))
+        mark.select(
+            "mark_ts",
+            "mark_id",
+            F.lit(int(version)).cast("long").alias("version"),
+            F.lit(int(version) % MARK_SLOTS).alias("slot"),
+        )
         .coalesce(1)
-        .write.mode("append")
-        .partitionBy("version")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("slot")
         .parquet(path)
     )
 

@@ -47,6 +47,8 @@ def session(app: str = "alertscope", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # remove reliable-checkpoint files once their DataFrame is gone
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     region = os.environ.get("AWS_REGION", "").strip()
     if region:  # object-store region for s3a:// lake and checkpoint paths

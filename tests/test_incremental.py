@@ -115,3 +115,14 @@ def test_load_new_and_mark_store_round_trip(spark, tmp_dir):
 def test_publish_key(spark, device, key):
     df = spark.createDataFrame([(device,)], "d string")
     assert df.select(publish_key("d")).first()[0] == key
+
+
+def test_mark_store_keeps_two_slots(spark, tmp_dir):
+    import os
+
+    path = f"{tmp_dir}/mark"
+    for v in range(5):
+        write_mark(_mark(spark, T1 + dt.timedelta(seconds=v), ["x"]), path, v)
+    slots = sorted(d for d in os.listdir(path) if d.startswith("slot="))
+    assert slots == ["slot=0", "slot=1"]
+    assert _mark_rows(read_mark(spark, path)) == [(T1 + dt.timedelta(seconds=4), "x")]
