@@ -42,7 +42,13 @@ def arrival_order(ts: Column | str, partition: Column | str, offset: Column | st
     ms = F.unix_millis(c(ts))
     part = c(partition).cast("long")
     off = c(offset).cast("long")
-    ok = (ms >= 0) & (ms < F.lit(10**_MS_DIGITS)) & (part >= 0) & (part < F.lit(10**_PARTITION_DIGITS)) & (off >= 0)
+    ok = (
+        (ms >= 0)
+        & (ms < F.lit(10**_MS_DIGITS))
+        & (part >= 0)
+        & (part < F.lit(10**_PARTITION_DIGITS))
+        & (off >= 0)
+    )
     packed = F.concat(
         F.lpad(ms.cast("string"), _MS_DIGITS, "0"),
         F.lpad(part.cast("string"), _PARTITION_DIGITS, "0"),

@@ -157,7 +157,9 @@ REPORT_SQL: dict[str, str] = {
 }
 
 
-def sql_report(spark: SparkSession, alerts: DataFrame, name: str, view: str = "alerts") -> DataFrame:
+def sql_report(
+    spark: SparkSession, alerts: DataFrame, name: str, view: str = "alerts"
+) -> DataFrame:
     """Register ``alerts`` as a temp view and run the named report's SQL text."""
     alerts.createOrReplaceTempView(view)
     return spark.sql(REPORT_SQL[name].replace("{view}", view))

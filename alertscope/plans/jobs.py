@@ -70,7 +70,8 @@ def run_detector(spark: SparkSession, messages: DataFrame, p: DetectorParams):
         writer.save()
 
     events = parse_events(
-        messages.withColumnRenamed("timestamp", "kafka_ts"), keep=("kafka_ts", "partition", "offset")
+        messages.withColumnRenamed("timestamp", "kafka_ts"),
+        keep=("kafka_ts", "partition", "offset"),
     )
     return start_processing_time_detector(
         events, p.window_seconds, p.threshold, to_topic, checkpoint, trigger=trigger
@@ -105,7 +106,9 @@ def main(argv: list[str]) -> int:
     elif job == "reports":
         root = S.checkpoint_root(spark)
         status = run_reports(
-            spark, S.param("LAKE_PATH", f"{root}/alerts"), S.param("REPORTS_PATH", f"{root}/reports")
+            spark,
+            S.param("LAKE_PATH", f"{root}/alerts"),
+            S.param("REPORTS_PATH", f"{root}/reports"),
         )
         for name, state in status.items():
             print(f"[alertscope] report {name}: {state}")

@@ -228,7 +228,10 @@ def next_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nxt.select(_iso("mark_ts").alias("mark_ts"), "mark_id")
 
 
-def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _in_utc(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
         return fn(spark, sf_dir)

@@ -55,7 +55,9 @@ def producer_options(servers: str = DEFAULT_BOOTSTRAP, **extra: str) -> dict[str
     return opts
 
 
-def publish_frame(raw: DataFrame, key_col: str = "publish_key", value_col: str = "json") -> DataFrame:
+def publish_frame(
+    raw: DataFrame, key_col: str = "publish_key", value_col: str = "json"
+) -> DataFrame:
     """Rows → ``(key, value)`` strings for the topic writer."""
     return raw.select(
         F.col(key_col).cast("string").alias("key"), F.col(value_col).cast("string").alias("value")

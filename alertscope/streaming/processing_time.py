@@ -49,13 +49,20 @@ STATE_SCHEMA = (
     "typ_ids array<string>, typ_o1 array<long>, typ_o2 array<long>, typ_o3 array<long>"
 )
 _ORDER = ["o1", "o2", "o3"]
+_PARTIAL_NAMES = [f.split(" ")[0] for f in PARTIAL_SCHEMA.split(", ")]
+
+
+def _empty_firsts() -> pd.DataFrame:
+    return pd.DataFrame(
+        {"v": pd.Series(dtype=object), **{o: pd.Series(dtype="int64") for o in _ORDER}}
+    )
 
 
 def _firsts(pdf: pd.DataFrame, col: str) -> pd.DataFrame:
     """Distinct non-blank values of ``col`` with their earliest arrival order."""
     sub = pdf.loc[pdf[col] != "", [col, *_ORDER]]
     if sub.empty:
-        return pd.DataFrame({"v": pd.Series(dtype=object), **{o: pd.Series(dtype="int64") for o in _ORDER}})
+        return _empty_firsts()
     sub = sub.sort_values(_ORDER, kind="stable").drop_duplicates(col, keep="first")
     return sub.rename(columns={col: "v"})[["v", *_ORDER]]
 
@@ -71,17 +78,21 @@ class _Partial:
     def __init__(self, win_start: int, win_end: int) -> None:
         self.win_start, self.win_end = int(win_start), int(win_end)
         self.n, self.top, self.mid = 0, False, False
-        empty = pd.DataFrame({"v": pd.Series(dtype=object), **{o: pd.Series(dtype="int64") for o in _ORDER}})
-        self.dev, self.typ = empty, empty.copy()
+        self.dev, self.typ = _empty_firsts(), _empty_firsts()
 
     @classmethod
     def from_state(cls, s: tuple) -> "_Partial":
         p = cls(s[0], s[1])
         p.n, p.top, p.mid = int(s[2]), bool(s[3]), bool(s[4])
-        p.dev = pd.DataFrame({"v": list(s[5]), "o1": list(s[6]), "o2": list(s[7]), "o3": list(s[8])})
-        p.typ = pd.DataFrame({"v": list(s[9]), "o1": list(s[10]), "o2": list(s[11]), "o3": list(s[12])})
+        p.dev = cls._frame(s[5:9])
+        p.typ = cls._frame(s[9:13])
         return p
 
+    @staticmethod
+    def _frame(cols: tuple) -> pd.DataFrame:
+        values, o1, o2, o3 = (list(c) for c in cols)
+        return pd.DataFrame({"v": values, "o1": o1, "o2": o2, "o3": o3})
+
     def fold(self, pdf: pd.DataFrame) -> None:
         self.n += len(pdf)
         sev = pdf["sev_norm"]
@@ -94,16 +105,17 @@ class _Partial:
         def cols(df: pd.DataFrame) -> list:
             return [list(df["v"]), *[[int(x) for x in df[o]] for o in _ORDER]]
 
-        return (self.win_start, self.win_end, self.n, self.top, self.mid, *cols(self.dev), *cols(self.typ))
+        head = (self.win_start, self.win_end, self.n, self.top, self.mid)
+        return (*head, *cols(self.dev), *cols(self.typ))
 
 
-def _step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _step(
+    key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
     source_ip, salt = key
 
     def emit(p: _Partial) -> pd.DataFrame:
-        row = (source_ip, int(salt), *p.as_tuple())
-        names = [f.split(" ")[0] for f in PARTIAL_SCHEMA.split(", ")]
-        return pd.DataFrame([row], columns=names)
+        return pd.DataFrame([(source_ip, int(salt), *p.as_tuple())], columns=_PARTIAL_NAMES)
 
     if state.hasTimedOut:
         if state.exists:
@@ -126,15 +138,20 @@ def _step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iter
 
 
 def processing_time_partials(
-    events: DataFrame, window_seconds: int, salts: int = 16, arrival: tuple[str, str, str] = ("kafka_ts", "partition", "offset")
+    events: DataFrame,
+    window_seconds: int,
+    salts: int = 16,
+    arrival: tuple[str, str, str] = ("kafka_ts", "partition", "offset"),
 ) -> DataFrame:
     """Detector events (streaming) → emitted per-(source, salt) window partials."""
     w = F.window(F.current_timestamp(), f"{int(window_seconds)} seconds")
     o1 = F.col(arrival[0])
-    o1 = F.unix_micros(o1) if dict(events.dtypes).get(arrival[0]) == "timestamp" else o1.cast("long")
+    if dict(events.dtypes).get(arrival[0]) == "timestamp":
+        o1 = F.unix_micros(o1)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in arrival]), F.lit(int(salts)))
     keyed = events.select(
         F.col("sourceIp"),
-        (F.pmod(F.xxhash64(*[F.col(c) for c in arrival]), F.lit(int(salts)))).cast("int").alias("salt"),
+        salt.cast("int").alias("salt"),
         F.unix_millis(w.start).alias("win_start"),
         F.unix_millis(w.end).alias("win_end"),
         F.col("deviceId"),
@@ -155,6 +172,7 @@ def processing_time_partials(
 
 def merge_processing_partials(partials: DataFrame, threshold: int) -> DataFrame:
     """Batch merge of the partials emitted in one micro-batch → anomaly rows."""
+
     def pairs(prefix: str, name: str) -> F.Column:
         zipped = F.arrays_zip(
             F.col(f"{prefix}_o1").alias("o1"),
@@ -162,7 +180,12 @@ def merge_processing_partials(partials: DataFrame, threshold: int) -> DataFrame:
             F.col(f"{prefix}_o3").alias("o3"),
             F.col(f"{prefix}_ids").alias(name),
         )
-        return F.transform(zipped, lambda s: F.struct(F.struct(s["o1"], s["o2"], s["o3"]).alias("first"), s[name].alias(name)))
+        return F.transform(
+            zipped,
+            lambda s: F.struct(
+                F.struct(s["o1"], s["o2"], s["o3"]).alias("first"), s[name].alias(name)
+            ),
+        )
 
     exploded_dev = F.flatten(F.collect_list(pairs("dev", "deviceId")))
     exploded_typ = F.flatten(F.collect_list(pairs("typ", "type")))
@@ -172,10 +195,11 @@ def merge_processing_partials(partials: DataFrame, threshold: int) -> DataFrame:
         ordered_distinct(exploded_typ, "type").alias("alertTypes"),
         escalate_flags(F.bool_or("top"), F.bool_or("mid")).alias("severity"),
     ).filter(F.col("alertCount") >= F.lit(int(threshold)))
+    window = F.struct(
+        F.timestamp_millis("win_start").alias("start"), F.timestamp_millis("win_end").alias("end")
+    )
     windowed = merged.select(
-        F.struct(
-            F.timestamp_millis("win_start").alias("start"), F.timestamp_millis("win_end").alias("end")
-        ).alias("window"),
+        window.alias("window"),
         "sourceIp",
         "alertCount",
         "deviceIds",
