@@ -25,15 +25,23 @@ def start_lake(
     checkpoint: str,
     trigger: dict | None = None,
     max_records_per_file: int = 5_000_000,
+    dedupe_within: str | None = None,
 ) -> StreamingQuery:
     """Append parsed alerts to ``path`` partitioned by ``dt``; resume from ``checkpoint``.
 
     Rows whose event time cannot be read land in
     ``dt=__HIVE_DEFAULT_PARTITION__`` (read back as a null ``dt``).
+    ``dedupe_within`` (e.g. ``"1 hour"``) drops re-sent copies of an
+    ``alertId`` arriving within that delay of each other (broker time);
+    the dedupe state is evicted by the watermark, so it stays bounded.
     """
+    alerts = parse_alerts(messages)
+    if dedupe_within:
+        alerts = alerts.withWatermark("kafka_ts", dedupe_within).dropDuplicatesWithinWatermark(
+            ["alertId"]
+        )
     writer = (
-        parse_alerts(messages)
-        .writeStream.format("parquet")
+        alerts.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", str(max_records_per_file))

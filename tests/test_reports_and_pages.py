@@ -146,3 +146,13 @@ def test_latest_n(spark):
         "event_ts", F.timestamp_seconds(F.col("alertId").cast("long"))
     )
     assert [r.alertId for r in latest(alerts, 3).collect()] == ["9", "8", "7"]
+
+
+def test_run_reports_dedupe_is_opt_in(spark, tmp_dir):
+    twice = _alerts(spark, FIXTURE + FIXTURE[:2])
+    run_reports(spark, twice, f"{tmp_dir}/plain")
+    run_reports(spark, twice, f"{tmp_dir}/dedup", dedupe=True)
+    plain = spark.read.parquet(f"{tmp_dir}/plain/top_source_ips").collect()
+    dedup = spark.read.parquet(f"{tmp_dir}/dedup/top_source_ips").collect()
+    assert [(r.sourceIp, r.alert_count) for r in plain][0] == ("s1", 5)
+    assert [(r.sourceIp, r.alert_count) for r in dedup][0] == ("s1", 3)

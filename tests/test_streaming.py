@@ -133,3 +133,15 @@ def test_processing_time_window_closes_while_idle(spark, tmp_dir):
     assert first.deviceIds[0] == "d0" and first.alertTypes == ["SCAN"]
     assert first.severity in ("HIGH", "MEDIUM")
     assert not any(r.sourceIp == "b" for r in got)
+
+
+def test_lake_dedupe_within_watermark(spark, tmp_dir):
+    src, lake, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
+    alerts = [{"alertId": "a", "timestamp": "2026-06-11T10:00:00Z"}] * 3 + [
+        {"alertId": "b", "timestamp": "2026-06-11T10:00:00Z"}
+    ]
+    _write_messages(spark, src, alerts)
+    q = start_lake(_stream(spark, src), lake, ckpt, trigger={"availableNow": True},
+                   dedupe_within="1 hour")
+    q.awaitTermination()
+    assert sorted(r.alertId for r in read_lake(spark, lake).collect()) == ["a", "b"]
