@@ -18,19 +18,19 @@ from alertscope.operators import reports as R
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
 from alertscope.operators.parse import parse_alerts, parse_events
-from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA
 from alertscope.plans.ingest_job import read_mark, write_mark
 from alertscope.plans.lake_job import read_lake, start_lake
 from alertscope.plans.report_job import run_reports
+from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA, LAKE_SCHEMA
 from alertscope.session import checkpoint_root, ensure_utc, scratch_path
-from alertscope.sources.events import messages_from_events
-from alertscope.streaming.event_time import table_stream
 from alertscope.sources.events import (
     load_alerts,
     messages_from_alerts,
+    messages_from_events,
     pages_from_alerts,
 )
 from alertscope.sources.pages import latest, unnest_pages
+from alertscope.streaming.event_time import table_stream
 
 # Detector parameters for the test tables. At 60 s no
 # (source, window) reaches 3 alerts in ``events``, so a 1-day window is used.
@@ -81,7 +81,8 @@ def _written_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return read_lake(spark, f"{base}/alerts")
+    lake = read_lake(spark, f"{base}/alerts")
+    return lake if lake is not None else spark.createDataFrame([], LAKE_SCHEMA)
 
 
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
