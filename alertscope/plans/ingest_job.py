@@ -78,7 +78,6 @@ def write_mark(mark: DataFrame, path: str, version: int) -> None:
             F.lit(int(version)).cast("long").alias("version"),
             F.lit(int(version) % MARK_SLOTS).alias("slot"),
         )
-        .coalesce(1)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("slot")

@@ -15,6 +15,11 @@ from alertscope.operators.reports import REPORTS, in_date_range
 from alertscope.plans.lake_job import read_lake
 
 
+# Reports whose size grows with the data (one row per device) are written
+# by many tasks as key-ordered part files; the bounded ones as one file.
+GROWING_REPORTS = frozenset({"alerts_per_device"})
+
+
 def write_report(report: DataFrame, path: str, single_file: bool = True) -> None:
     """Overwrite ``path`` with the report.
 
@@ -55,7 +60,8 @@ def run_reports(
     status: dict[str, str] = {}
     for name, build in REPORTS.items():
         try:
-            write_report(build(alerts), f"{out.rstrip('/')}/{name}", single_file.get(name, True))
+            one_file = single_file.get(name, name not in GROWING_REPORTS)
+            write_report(build(alerts), f"{out.rstrip('/')}/{name}", one_file)
             status[name] = "ok"
         except Exception as exc:  # one failed report must not stop the others
             status[name] = f"failed: {type(exc).__name__}: {exc}"

@@ -111,7 +111,10 @@ def test_run_reports_writes_each_report(spark, tmp_dir):
     assert status == {name: "ok" for name in R.REPORTS}
     for name in R.REPORTS:
         files = [f for f in os.listdir(f"{tmp_dir}/reports/{name}") if f.endswith(".parquet")]
-        assert len(files) == 1
+        if name == "alerts_per_device":  # grows with the fleet: written by many tasks
+            assert len(files) >= 1
+        else:
+            assert len(files) == 1
     back = spark.read.parquet(f"{tmp_dir}/reports/top_source_ips").collect()
     assert [r.sourceIp for r in back] == ["s1", "s2", "s3"]
 
