@@ -4,12 +4,14 @@ Per (tumbling window, source): alert count, the first-seen-ordered lists
 of distinct non-blank device ids and alert types, and the escalated
 severity; only groups with ``count >= threshold`` are emitted.
 
-Level 1 groups by (window, source, device, type): every measure is then
-algebraic (count, min of the arrival order, two severity flags), so Spark
-combines map-side before the shuffle and a hot source is spread over its
-(device, type) pairs. Level 2 groups by (window, source) and collects the
-already-distinct pairs, so the list it builds is bounded by the number of
-distinct (device, type) pairs, never by the number of alerts.
+Level 1 is one aggregate over two grouping sets, (window, source, device)
+and (window, source, type): every measure is algebraic (count, min of the
+arrival order, two severity flags), so Spark combines map-side before the
+shuffle and a hot source is spread over its devices and types. Level 2
+groups by (window, source): the count and flags come from the device-set
+rows (each alert is in exactly one), and each list is collected from its
+own set's already-distinct rows — so what level 2 holds per group is
+exactly the device list plus the type list it emits, never the alerts.
 """
 
 from __future__ import annotations
@@ -69,27 +71,42 @@ def ordered_distinct(pairs: Column, value: str) -> Column:
 
 
 def anomaly_partials(events: DataFrame, window: Column, order: Column) -> DataFrame:
-    """Level 1: one row per (window, source, device, type) with algebraic measures."""
+    """Level 1: per (window, source, device) and per (window, source, type).
+
+    ``by_device`` marks rows of the first grouping set.
+    """
     sev = normalised_severity("severity")
-    return events.groupBy(
-        window.alias("window"), F.col("sourceIp"), F.col("deviceId"), F.col("type")
-    ).agg(
+    staged = events.select(
+        window.alias("window"),
+        "sourceIp",
+        "deviceId",
+        "type",
+        order.alias("_order"),
+        F.coalesce(sev.isin(*ESCALATE_TOP), F.lit(False)).alias("_top"),
+        F.coalesce(sev == F.lit(ESCALATE_MID), F.lit(False)).alias("_mid"),
+    )
+    w, src, dev, typ = (F.col(c) for c in ("window", "sourceIp", "deviceId", "type"))
+    return staged.groupingSets([[w, src, dev], [w, src, typ]], w, src, dev, typ).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(order).alias("first"),
-        F.bool_or(F.coalesce(sev.isin(*ESCALATE_TOP), F.lit(False))).alias("top"),
-        F.bool_or(F.coalesce(sev == F.lit(ESCALATE_MID), F.lit(False))).alias("mid"),
+        F.min("_order").alias("first"),
+        F.bool_or("_top").alias("top"),
+        F.bool_or("_mid").alias("mid"),
+        (F.grouping("type") == 1).alias("by_device"),
     )
 
 
 def merge_partials(partials: DataFrame, threshold: int) -> DataFrame:
     """Level 2: merge level-1 rows per (window, source) and apply the threshold."""
-    device = F.when(F.col("deviceId") != "", F.struct(F.col("first"), F.col("deviceId")))
-    kind = F.when(F.col("type") != "", F.struct(F.col("first"), F.col("type")))
+    by_dev = F.col("by_device")
+    device = F.when(by_dev & (F.col("deviceId") != ""), F.struct("first", "deviceId"))
+    kind = F.when(~by_dev & (F.col("type") != ""), F.struct("first", "type"))
     merged = partials.groupBy("window", "sourceIp").agg(
-        F.sum("n").alias("alertCount"),
+        F.sum(F.when(by_dev, F.col("n"))).alias("alertCount"),
         ordered_distinct(F.collect_list(device), "deviceId").alias("deviceIds"),
         ordered_distinct(F.collect_list(kind), "type").alias("alertTypes"),
-        escalate_flags(F.bool_or("top"), F.bool_or("mid")).alias("severity"),
+        escalate_flags(
+            F.bool_or(by_dev & F.col("top")), F.bool_or(by_dev & F.col("mid"))
+        ).alias("severity"),
     )
     return merged.filter(F.col("alertCount") >= F.lit(int(threshold)))
 
