@@ -159,3 +159,23 @@ def test_run_reports_dedupe_is_opt_in(spark, tmp_dir):
     dedup = spark.read.parquet(f"{tmp_dir}/dedup/top_source_ips").collect()
     assert [(r.sourceIp, r.alert_count) for r in plain][0] == ("s1", 5)
     assert [(r.sourceIp, r.alert_count) for r in dedup][0] == ("s1", 3)
+
+
+def test_reports_with_a_source_holding_a_third_of_rows(spark):
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        src = "hot" if i % 3 == 0 else f"s{rnd.randrange(200)}"
+        rows.append((str(i), f"d{rnd.randrange(30)}", "SCAN", rnd.choice(["LOW", "HIGH"]), src,
+                     f"t{rnd.randrange(500)}", rnd.randrange(1000), DAY))
+    alerts = _alerts(spark, rows).repartition(8)
+    top = R.top_source_ips(alerts)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "partial_count" in plan
+    got = {r.sourceIp: (r.alert_count, r.distinct_targets, r.distinct_ports) for r in top.collect()}
+    hot = [r for r in rows if r[4] == "hot"]
+    assert got["hot"] == (1000, len({r[5] for r in hot}), len({r[6] for r in hot}))
+    per_dev = {r.deviceId: r.alert_count for r in R.alerts_per_device(alerts).collect()}
+    assert sum(per_dev.values()) == 3000
