@@ -9,6 +9,8 @@ aggregation per micro-batch, state in the configured state store).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -83,25 +85,50 @@ def table_stream(spark: SparkSession, table_dir: str, file_name: str) -> DataFra
     return stream
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int):
+    """Start a new streaming query with ``n`` state partitions.
+
+    A stateful query fixes its partition count from
+    ``spark.sql.shuffle.partitions`` when its checkpoint is created; the
+    session value is restored afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_detector_available_now(
-    spark: SparkSession, table_dir: str, window_seconds: int, threshold: int, delay: str
+    spark: SparkSession,
+    table_dir: str,
+    window_seconds: int,
+    threshold: int,
+    delay: str,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Stream the ``events`` table to completion, return the anomalies.
 
     Output and checkpoint go to a new folder under the session's checkpoint
-    root; a rerun on the same checkpoint would resume, not repeat.
+    root; a rerun on the same checkpoint would resume, not repeat. The new
+    checkpoint gets ``partitions`` state partitions (default: the cluster's
+    default parallelism).
     """
     stream = table_stream(spark, table_dir, "events.parquet")
     anomalies = detector_stream(messages_from_events(stream), window_seconds, threshold, delay)
     base = scratch_path(spark, "detector-stream")
-    query = start_detector(
-        anomalies,
-        "parquet",
-        f"{base}/_checkpoint",
-        trigger={"availableNow": True},
-        path=f"{base}/anomalies",
-    )
-    query.awaitTermination()
+    with state_partitions(spark, partitions or spark.sparkContext.defaultParallelism):
+        query = start_detector(
+            anomalies,
+            "parquet",
+            f"{base}/_checkpoint",
+            trigger={"availableNow": True},
+            path=f"{base}/anomalies",
+        )
+        query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return spark.read.schema(anomalies.schema).parquet(f"{base}/anomalies")
