@@ -145,3 +145,45 @@ def test_lake_dedupe_within_watermark(spark, tmp_dir):
                    dedupe_within="1 hour")
     q.awaitTermination()
     assert sorted(r.alertId for r in read_lake(spark, lake).collect()) == ["a", "b"]
+
+
+def test_event_time_detector_resumes_from_checkpoint(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+
+    def minute_alerts(minutes, offset):
+        rows = []
+        for minute in minutes:
+            for k in range(3):
+                rows.append({
+                    "sourceIp": "s1" if k < 2 else "s2",
+                    "deviceId": f"d{k}",
+                    "type": "SCAN",
+                    "severity": "LOW",
+                    "timestamp": (T0 + dt.timedelta(minutes=minute, seconds=k)).strftime(
+                        "%Y-%m-%dT%H:%M:%SZ"
+                    ),
+                })
+        _write_messages(spark, src, rows, offset)
+
+    def run():
+        anoms = detector_stream(_stream(spark, src), 60, 2, "5 seconds")
+        q = (
+            anoms.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", ckpt).outputMode("append")
+            .trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+        return anoms.schema
+
+    minute_alerts(range(0, 3), 0)
+    run()  # state for the open minute is kept in the checkpoint
+    minute_alerts(range(3, 6), 100)
+    schema = run()
+    got = sorted(
+        (r.sourceIp, r.windowStart, r.alertCount)
+        for r in spark.read.schema(schema).parquet(out).collect()
+    )
+    # s1 has 2 alerts per minute (threshold 2). Final watermark 00:05:02 - 5 s
+    # = 00:04:57: minutes 0-3 closed (minute 0 in the first run, 1-3 after the
+    # restart), each exactly once; minutes 4-5 still open.
+    assert got == [("s1", f"2024-01-01T00:0{m}:00Z", 2) for m in range(4)]
