@@ -64,14 +64,16 @@ def parse_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     staged = messages.select(
         F.col("value").cast("string").alias("_text"), *keep
     ).select("*", F.try_parse_json(text).alias("_v"))
+    # The variant parser rejects duplicate keys; the struct parser keeps the
+    # last value, as a tree-model reader does, so it is the fallback — run
+    # only for rows the variant parser gave up on.
     nodes = staged.select(
         "*",
         F.schema_of_variant(v).alias("_kind"),
         *[F.try_variant_get(v, f"$.{n}", "variant").alias(f"_n_{n}") for n in EVENT_DEFAULTS],
+        F.when(v.isNull(), F.from_json(text, _FALLBACK_SCHEMA)).alias("_fb"),
     )
-    # The variant parser rejects duplicate keys; the struct parser keeps the
-    # last value, as a tree-model reader does, so it is the fallback.
-    fallback = F.from_json(text, _FALLBACK_SCHEMA)
+    fallback = F.col("_fb")
     has_text = F.coalesce(unicode_trim(text) != F.lit(""), F.lit(False))
     object_root = F.when(v.isNotNull(), F.col("_kind").startswith("OBJECT")).otherwise(
         F.ltrim(text, F.lit(WHITESPACE_CHARS)).startswith("{") & fallback.isNotNull()
