@@ -109,3 +109,23 @@ def test_poller_stream(spark, tmp_dir):
     q.awaitTermination()
     assert sorted(sent) == ["1", "2", "3"]
     assert os.path.isdir(mark_path)
+
+
+def test_reports_job_entry_point(spark, tmp_dir, monkeypatch, capsys):
+    from alertscope.plans import jobs
+    from alertscope.schema import LAKE_SCHEMA
+
+    ts = dt.datetime(2026, 6, 11, 12, 0, 0)
+    rows = [
+        (str(i), "d1", None, "SCAN", "HIGH", "TCP", f"s{i % 2}", "t", 1, 80, 1, 1, 60, None,
+         False, None, ts, ts, ts.date())
+        for i in range(4)
+    ]
+    spark.createDataFrame(rows, LAKE_SCHEMA).write.partitionBy("dt").parquet(f"{tmp_dir}/lake")
+    monkeypatch.setenv("LAKE_PATH", f"{tmp_dir}/lake")
+    monkeypatch.setenv("REPORTS_PATH", f"{tmp_dir}/reports")
+    assert jobs.main(["jobs", "reports"]) == 0
+    assert "report top_source_ips: ok" in capsys.readouterr().out
+    back = spark.read.parquet(f"{tmp_dir}/reports/top_source_ips").collect()
+    assert sorted((r.sourceIp, r.alert_count) for r in back) == [("s0", 2), ("s1", 2)]
+    assert jobs.main(["jobs", "unknown"]) == 2
