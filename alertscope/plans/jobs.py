@@ -42,7 +42,7 @@ class DetectorParams:
             alerts_topic=S.param("ALERTS_TOPIC", S.DEFAULT_ALERTS_TOPIC),
             anomalies_topic=S.param("ANOMALIES_TOPIC", S.DEFAULT_ANOMALIES_TOPIC),
             window_seconds=S.int_param("WINDOW_SECONDS", S.DEFAULT_WINDOW_SECONDS, 1),
-            threshold=S.int_param("ALERT_THRESHOLD", S.DEFAULT_ALERT_THRESHOLD, 1),
+            threshold=S.int_param("ALERT_THRESHOLD", S.DEFAULT_ALERT_THRESHOLD, 1, bits=32),
             checkpoint_interval_ms=S.int_param(
                 "CHECKPOINT_INTERVAL_MS", S.DEFAULT_CHECKPOINT_INTERVAL_MS, 1000
             ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,11 +27,12 @@ def param(key: str, default: str) -> str:
     return value
 
 
-def int_param(key: str, default: int, minimum: int) -> int:
-    """Integer parameter: unparsable text falls back to ``default``, then clamp."""
-    try:
-        value = int(param(key, str(default)).strip())
-    except ValueError:
+def int_param(key: str, default: int, minimum: int, bits: int = 64) -> int:
+    """Integer parameter: text that is not a plain signed integer of ``bits``
+    bits (spaces, decimals, overflow) falls back to ``default``; then clamp."""
+    raw = param(key, str(default))
+    value = int(raw) if re.fullmatch(r"[+-]?[0-9]+", raw) else default
+    if not -(2 ** (bits - 1)) <= value < 2 ** (bits - 1):
         value = default
     return max(value, minimum)
 

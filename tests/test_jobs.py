@@ -24,7 +24,9 @@ def test_param_blank_means_default(monkeypatch):
 
 
 @pytest.mark.parametrize(
-    "raw,expected", [("", 60), ("abc", 60), ("0", 1), ("-5", 1), ("30", 30), (" 90 ", 90)]
+    "raw,expected",
+    [("", 60), ("abc", 60), ("0", 1), ("-5", 1), ("30", 30), ("+30", 30), (" 90 ", 60),
+     ("1.5", 60), ("99999999999999999999", 60)],
 )
 def test_window_seconds_clamped(monkeypatch, raw, expected):
     monkeypatch.setenv("WINDOW_SECONDS", raw)
@@ -41,6 +43,8 @@ def test_detector_defaults(monkeypatch):
     monkeypatch.setenv("ALERT_THRESHOLD", "0")
     p = DetectorParams.from_env()
     assert p.checkpoint_interval_ms == 1000 and p.threshold == 1
+    monkeypatch.setenv("ALERT_THRESHOLD", "3000000000")  # beyond 32 bits → default
+    assert DetectorParams.from_env().threshold == 3
     assert int_param("NOT_SET_ANYWHERE", 7, 1) == 7
 
 
