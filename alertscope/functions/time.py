@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from alertscope.functions.text import _col
 
 # An ISO-8601 instant with seconds and an explicit zone
-# ('Z' or +HH:MM), the only shape the incremental loader accepts.
+# ('Z' or +HH:MM[:SS]; letters in either case), the only shape the
+# incremental loader accepts.
 STRICT_INSTANT_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
+    r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2}(:\d{2})?)$"
 )
 
 # Instant text for whole-second instants, UTC.
@@ -29,7 +30,7 @@ def lenient_timestamp(c: Column | str) -> Column:
 def strict_instant(c: Column | str) -> Column:
     """Full date-time with zone only; date-only, zone-less or bad text → null."""
     col = _col(c)
-    return F.when(col.rlike(STRICT_INSTANT_PATTERN), F.try_to_timestamp(col))
+    return F.when(col.rlike(STRICT_INSTANT_PATTERN), F.try_to_timestamp(F.upper(col)))
 
 
 def iso_instant(c: Column | str, micros: bool = False) -> Column:

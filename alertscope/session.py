@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from alertscope.functions.text import WHITESPACE_CHARS
+
 # Job defaults.
 DEFAULT_WINDOW_SECONDS = 60
 DEFAULT_ALERT_THRESHOLD = 3
@@ -22,7 +24,7 @@ DEFAULT_BOOTSTRAP = "localhost:9092"
 def param(key: str, default: str) -> str:
     """Environment value for ``key``; a missing or blank value means ``default``."""
     value = os.environ.get(key)
-    if value is None or value.strip() == "":
+    if value is None or value.strip(WHITESPACE_CHARS) == "":
         return default
     return value
 
