@@ -46,17 +46,29 @@ def default_if_blank(c: Column | str, default: str) -> Column:
     return F.when(non_blank(col), col).otherwise(F.lit(default))
 
 
-def node_text(node: Column, default: str) -> Column:
+def node_text(node: Column, default: str, number_text: Column | None = None) -> Column:
     """Text of a JSON node (a variant), coerced the way a tree-model reader does.
 
-    Missing node or JSON null → ``default``; string → its value; number or
-    boolean → its literal text; object or array → empty text. ``node``
-    should be a column reference (it is read several times).
+    Missing node or JSON null → ``default``; string → its value; integer or
+    boolean → its literal text; a number with a fraction or exponent → the
+    text of the double it denotes (``1.50`` → ``1.5``, ``100.0`` →
+    ``100.0``, ``1e3`` → ``1000.0``); object or array → empty text.
+
+    The variant keeps ``100.0`` and a 20-digit integer as the same decimal
+    kind, so for decimal nodes ``number_text`` — the field as a JSON reader
+    re-serializes it, e.g. ``get_json_object`` — is used when given; it is
+    evaluated only for such rows. ``node`` should be a column reference
+    (it is read several times).
     """
     kind = F.schema_of_variant(node)
+    if number_text is None:
+        number_text = F.when(
+            kind.endswith(",0)"), F.try_variant_get(node, "$", "string")
+        ).otherwise(F.try_variant_get(node, "$", "double").cast("string"))
     return (
         F.when(node.isNull() | (kind == F.lit("VOID")), F.lit(default))
         .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
+        .when(kind.startswith("DECIMAL"), number_text)
         .otherwise(F.coalesce(F.try_variant_get(node, "$", "string"), F.lit(default)))
     )
 

@@ -81,7 +81,9 @@ def parse_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     def field(name: str) -> F.Column:
         default = EVENT_DEFAULTS[name]
-        primary = node_text(F.col(f"_n_{name}"), default)
+        primary = node_text(
+            F.col(f"_n_{name}"), default, F.get_json_object(text, f"$.{name}")
+        )
         second = F.coalesce(fallback[name], F.lit(default))
         return unicode_trim(F.when(v.isNotNull(), primary).otherwise(second))
 

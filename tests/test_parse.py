@@ -125,3 +125,15 @@ def test_detector_parse_is_narrow(spark):
     assert "Exchange" not in plan
     assert plan.count("parseJson") == 1
     assert df.select(F.count("*")).first()[0] == 1
+
+
+def test_detector_parse_number_text(spark):
+    # numbers read as text the way a tree-model JSON reader renders them
+    cases = {
+        "3": "3", "-7": "-7", "1.50": "1.5", "100.0": "100.0", "0.10": "0.1",
+        "1e3": "1000.0", "1E-7": "1.0E-7", "-0.0": "-0.0",
+        "12345678901234567890": "12345678901234567890",
+    }
+    values = ['{"sourceIp":"s","deviceId":%s}' % raw for raw in cases]
+    out = parse_events(_messages(spark, values), keep=("offset",)).orderBy("offset").collect()
+    assert [r.deviceId for r in out] == list(cases.values())
