@@ -38,6 +38,19 @@ def mark_instant(mark: DataFrame) -> F.Column:
     return mark.select(F.max("mark_ts")).scalar()
 
 
+def is_new(ts: F.Column, rid: F.Column, mark_ts: F.Column, mark_ids: F.Column) -> F.Column:
+    """The "is new" rule as a Column, for a mark given as values (a literal
+    instant and an array of ids, or columns of a joined one-row mark).
+    For a mark kept as a table use ``new_since_mark``."""
+    seen = F.coalesce(F.array_contains(mark_ids, rid), F.lit(False))
+    return (
+        ts.isNull()
+        | mark_ts.isNull()
+        | (ts > mark_ts)
+        | ((ts == mark_ts) & rid.isNotNull() & ~seen)
+    )
+
+
 def new_since_mark(
     batch: DataFrame, mark: DataFrame, ts_col: str = "cursor_ts", id_col: str = "cursor_id"
 ) -> DataFrame:

@@ -126,3 +126,20 @@ def test_mark_store_keeps_two_slots(spark, tmp_dir):
     slots = sorted(d for d in os.listdir(path) if d.startswith("slot="))
     assert slots == ["slot=0", "slot=1"]
     assert _mark_rows(read_mark(spark, path)) == [(T1 + dt.timedelta(seconds=4), "x")]
+
+
+def test_is_new_column(spark):
+    from pyspark.sql import functions as F
+
+    from alertscope.operators.incremental import is_new
+
+    rows = [(T2, "b"), (T2, "a"), (T2, None), (T1, "x"), (None, "y"), (T2 + dt.timedelta(seconds=1), "z")]
+    df = spark.createDataFrame(rows, "ts timestamp, id string")
+    mark_ts = F.lit(T2).cast("timestamp")
+    mark_ids = F.array(F.lit("a"))
+    got = [r.n for r in df.select(is_new(F.col("ts"), F.col("id"), mark_ts, mark_ids).alias("n")).collect()]
+    assert got == [True, False, False, False, True, True]
+    no_mark = df.select(
+        is_new(F.col("ts"), F.col("id"), F.lit(None).cast("timestamp"), F.array().cast("array<string>")).alias("n")
+    )
+    assert all(r.n for r in no_mark.collect())
