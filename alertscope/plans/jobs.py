@@ -17,7 +17,8 @@ from alertscope.operators.parse import parse_events
 from alertscope.plans.lake_job import start_lake
 from alertscope.plans.report_job import run_reports
 from alertscope.sources import kafka
-from alertscope.streaming.event_time import detector_stream, start_detector
+from alertscope.operators.detect import to_anomaly_json
+from alertscope.streaming.event_time import detector_stream
 from alertscope.streaming.processing_time import start_processing_time_detector
 
 
@@ -52,19 +53,32 @@ class DetectorParams:
         )
 
 
-def run_detector(spark: SparkSession, messages: DataFrame, p: DetectorParams):
-    """Start the detector on topic-shaped ``messages``; anomalies go to the topic."""
+def run_detector(
+    spark: SparkSession,
+    messages: DataFrame,
+    p: DetectorParams,
+    sink_format: str = "kafka",
+    **sink_options: str,
+):
+    """Start the detector on topic-shaped ``messages``.
+
+    Anomalies go to the anomalies topic as JSON values by default; another
+    sink format (with its options, e.g. ``path``) receives the same values.
+    """
     checkpoint = p.checkpoint_dir or f"{S.checkpoint_root(spark)}/anomaly-detector"
     trigger = {"processingTime": f"{p.checkpoint_interval_ms} milliseconds"}
-    options = kafka.anomaly_sink_options(p.bootstrap, p.anomalies_topic)
+    options = sink_options or kafka.anomaly_sink_options(p.bootstrap, p.anomalies_topic)
     if p.mode == "event":
         anomalies = detector_stream(messages, p.window_seconds, p.threshold, p.watermark_delay)
-        return start_detector(anomalies, "kafka", checkpoint, trigger, **options)
-
-    from alertscope.operators.detect import to_anomaly_json
+        values = to_anomaly_json(anomalies)
+        writer = values.writeStream.format(sink_format).outputMode("append")
+        writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
+        for key, value in options.items():
+            writer = writer.option(key, value)
+        return writer.start()
 
-    def to_topic(batch: DataFrame, batch_id: int) -> None:
-        writer = to_anomaly_json(batch).write.format("kafka")
+    def to_sink(batch: DataFrame, batch_id: int) -> None:
+        writer = to_anomaly_json(batch).write.format(sink_format).mode("append")
         for key, value in options.items():
             writer = writer.option(key, value)
         writer.save()
@@ -74,7 +88,7 @@ def run_detector(spark: SparkSession, messages: DataFrame, p: DetectorParams):
         keep=("kafka_ts", "partition", "offset"),
     )
     return start_processing_time_detector(
-        events, p.window_seconds, p.threshold, to_topic, checkpoint, trigger=trigger
+        events, p.window_seconds, p.threshold, to_sink, checkpoint, trigger=trigger
     )
 
 

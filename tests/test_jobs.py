@@ -133,3 +133,40 @@ def test_reports_job_entry_point(spark, tmp_dir, monkeypatch, capsys):
     back = spark.read.parquet(f"{tmp_dir}/reports/top_source_ips").collect()
     assert sorted((r.sourceIp, r.alert_count) for r in back) == [("s0", 2), ("s1", 2)]
     assert jobs.main(["jobs", "unknown"]) == 2
+
+
+@pytest.mark.parametrize("mode", ["event", "processing"])
+def test_run_detector_wiring(spark, tmp_dir, mode):
+    import time
+
+    from alertscope.plans.jobs import run_detector
+    from alertscope.schema import KAFKA_ROW_SCHEMA
+
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    base = dt.datetime(2024, 1, 1)
+    alerts = [{"sourceIp": "a", "deviceId": f"d{i}", "type": "SCAN", "severity": "HIGH",
+               "timestamp": (base + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ")}
+              for i in range(4)]
+    alerts.append({"sourceIp": "late", "timestamp": "2024-01-01T00:10:00Z"})  # moves the watermark
+    rows = [(None, json.dumps(a).encode(), "t", 0, i, base + dt.timedelta(seconds=i), 0)
+            for i, a in enumerate(alerts)]
+    spark.createDataFrame(rows, KAFKA_ROW_SCHEMA).write.parquet(src)
+    params = DetectorParams(window_seconds=60 if mode == "event" else 2, threshold=3,
+                            checkpoint_interval_ms=1000, checkpoint_dir=f"{tmp_dir}/ckpt",
+                            mode=mode, watermark_delay="1 second")
+    stream = spark.readStream.schema(KAFKA_ROW_SCHEMA).parquet(src)
+    q = run_detector(spark, stream, params, sink_format="parquet", path=out)
+    try:
+        found = []
+        deadline = time.time() + 45
+        while time.time() < deadline and not found:
+            time.sleep(1)
+            if os.path.isdir(out) and any(f.endswith(".parquet") for f in os.listdir(out)):
+                found = [json.loads(r.value) for r in spark.read.parquet(out).collect()]
+    finally:
+        q.stop()
+    assert q.exception() is None
+    hits = [a for a in found if a["sourceIp"] == "a"]
+    assert len(hits) == 1
+    assert hits[0]["alertCount"] == 4 and hits[0]["severity"] == "CRITICAL"
+    assert hits[0]["deviceIds"] == ["d0", "d1", "d2", "d3"]
