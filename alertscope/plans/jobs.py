@@ -1,6 +1,6 @@
 """Job entry points configured from the environment (blank value = unset).
 
-``python -m alertscope.plans.jobs lake|reports|detector`` runs one job
+``python -m alertscope.plans.jobs ingest|lake|reports|detector`` runs one job
 against a Kafka topic and a shared folder; the Kafka connector must be on
 the classpath for the topic jobs.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from alertscope import session as S
 from alertscope.operators.parse import parse_events
+from alertscope.plans.ingest_job import start_poller
 from alertscope.plans.lake_job import start_lake
 from alertscope.plans.report_job import run_reports
 from alertscope.sources import kafka
@@ -92,6 +93,30 @@ def run_detector(
     )
 
 
+def start_ingest(spark: SparkSession, publish=None, trigger: dict | None = None):
+    """Poll landed page bodies (one file per fetched page, ``PAGES_PATH``)
+    against the mark store and publish new alerts to the alerts topic."""
+    root = S.checkpoint_root(spark)
+    pages = spark.readStream.text(
+        S.param("PAGES_PATH", f"{root}/pages"), wholetext=True
+    ).withColumnRenamed("value", "body")
+    if publish is None:
+        servers = S.param("KAFKA_BOOTSTRAP", S.DEFAULT_BOOTSTRAP)
+        topic = S.param("ALERTS_TOPIC", S.DEFAULT_ALERTS_TOPIC)
+
+        def publish(new: DataFrame) -> None:
+            kafka.publish(new, topic, servers=servers)
+
+    interval = S.int_param("POLL_INTERVAL_MS", 5000, 1)
+    return start_poller(
+        pages,
+        S.param("MARK_PATH", f"{root}/alert-mark"),
+        publish,
+        S.param("INGEST_CHECKPOINT", f"{root}/_checkpoints/ingest"),
+        trigger=trigger or {"processingTime": f"{interval} milliseconds"},
+    )
+
+
 # State store for the long-running detector. Window state is
 # keyed by (window, source, device, type); RocksDB keeps it off the JVM heap.
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -126,6 +151,8 @@ def main(argv: list[str]) -> int:
         )
         for name, state in status.items():
             print(f"[alertscope] report {name}: {state}")
+    elif job == "ingest":
+        start_ingest(spark).awaitTermination()
     elif job == "detector":
         p = DetectorParams.from_env()
         messages = kafka.read_topic_stream(
@@ -136,7 +163,7 @@ def main(argv: list[str]) -> int:
         )
         run_detector(spark, messages, p).awaitTermination()
     else:
-        print("usage: python -m alertscope.plans.jobs lake|reports|detector")
+        print("usage: python -m alertscope.plans.jobs ingest|lake|reports|detector")
         return 2
     return 0
 

@@ -170,3 +170,24 @@ def test_run_detector_wiring(spark, tmp_dir, mode):
     assert len(hits) == 1
     assert hits[0]["alertCount"] == 4 and hits[0]["severity"] == "CRITICAL"
     assert hits[0]["deviceIds"] == ["d0", "d1", "d2", "d3"]
+
+
+def test_ingest_job_wiring(spark, tmp_dir, monkeypatch):
+    from alertscope.plans.jobs import start_ingest
+
+    pages = f"{tmp_dir}/pages"
+    os.makedirs(pages)
+    body = {"data": {"content": [_alert("1", "2026-06-11T10:00:00Z"), _alert("2", "2026-06-11T10:00:01Z")]}}
+    with open(f"{pages}/page-0001.json", "w") as fh:
+        json.dump(body, fh, indent=2)  # a page body spans lines: read whole
+    monkeypatch.setenv("PAGES_PATH", pages)
+    monkeypatch.setenv("MARK_PATH", f"{tmp_dir}/mark")
+    monkeypatch.setenv("INGEST_CHECKPOINT", f"{tmp_dir}/ckpt")
+    sent = []
+    publish = lambda df: sent.extend((r.publish_key, r.cursor_id) for r in df.collect())
+    start_ingest(spark, publish, trigger={"availableNow": True}).awaitTermination()
+    with open(f"{pages}/page-0002.json", "w") as fh:  # next poll: one old, one new alert
+        json.dump({"data": {"content": [_alert("2", "2026-06-11T10:00:01Z"),
+                                        _alert("3", "2026-06-11T10:00:02Z")]}}, fh)
+    start_ingest(spark, publish, trigger={"availableNow": True}).awaitTermination()
+    assert sorted(sent) == [("dev-1", "1"), ("dev-2", "2"), ("dev-3", "3")]
