@@ -205,7 +205,7 @@ def _poll_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan of the written batch, not a rebuild of the pages.
     """
     checkpoint_root(spark)
-    return _raw_alerts(spark, sf_dir).drop("alert").checkpoint()
+    return _raw_alerts(spark, sf_dir).select("cursor_ts", "cursor_id", "publish_key").checkpoint()
 
 
 def _first_poll_mark(spark: SparkSession, raw: DataFrame) -> DataFrame:
