@@ -56,6 +56,7 @@ def test_lake_parse_types_and_partition(spark):
         '{"alertId":"3","timestamp":""}',
         '{"alertId":"4","timestamp":"2026-06-11T10:00:00.123Z"}',
         '{"alertId":"5","timestamp":"2026-06-11"}',
+        '{"alertId":"6","timestamp":"2026-06-11T23:30:00"}',
     ]
     out = parse_alerts(_messages(spark, values))
     assert out.columns == LAKE_COLUMNS
@@ -73,6 +74,8 @@ def test_lake_parse_types_and_partition(spark):
     assert rows["3"].event_ts is None and rows["3"].dt is None
     assert rows["4"].event_ts == dt.datetime(2026, 6, 11, 10, 0, 0, 123000)
     assert rows["5"].dt == dt.date(2026, 6, 11)
+    # zone-less text is read in the (UTC) session zone
+    assert rows["6"].event_ts == dt.datetime(2026, 6, 11, 23, 30) and rows["6"].dt == dt.date(2026, 6, 11)
 
 
 def test_detector_parse_edges(spark):
