@@ -231,3 +231,42 @@ def test_processing_time_salted_merge_is_exact(spark, tmp_dir):
     assert row.deviceIds == devices and row.deviceId == devices[0]
     assert row.alertTypes == types
     assert row.severity == "HIGH"
+
+
+def test_processing_time_state_survives_restart(spark, tmp_dir):
+    src, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/ckpt"
+    got = []
+    _write_messages(spark, src, [{"sourceIp": "x"}])
+
+    def start():
+        events = parse_events(
+            _stream(spark, src).withColumnRenamed("timestamp", "kafka_ts"),
+            keep=("kafka_ts", "partition", "offset"),
+        )
+        return start_processing_time_detector(
+            events, window_seconds=10, threshold=3, sink=lambda df, _: got.extend(df.collect()),
+            checkpoint=ckpt, salts=4, trigger={"processingTime": "500 milliseconds"},
+        )
+
+    q = start()
+    try:
+        time.sleep(1.5)
+        # land the burst near the start of a 10 s processing-time window
+        time.sleep((10 - time.time() % 10) + 0.3)
+        window_end = time.time() - time.time() % 10 + 10
+        _write_messages(spark, src, [{"sourceIp": "r", "deviceId": f"d{i}"} for i in range(4)], 10)
+        time.sleep(3)
+    finally:
+        q.stop()
+    assert not any(r.sourceIp == "r" for r in got)  # window still open when stopped
+    time.sleep(max(window_end - time.time(), 0) + 0.5)  # the window ends while down
+    q = start()
+    try:
+        deadline = time.time() + 30
+        while time.time() < deadline and not any(r.sourceIp == "r" for r in got):
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    hits = [r for r in got if r.sourceIp == "r"]
+    assert len(hits) == 1 and hits[0].alertCount == 4
+    assert hits[0].deviceIds == ["d0", "d1", "d2", "d3"]
