@@ -270,3 +270,31 @@ def test_processing_time_state_survives_restart(spark, tmp_dir):
     hits = [r for r in got if r.sourceIp == "r"]
     assert len(hits) == 1 and hits[0].alertCount == 4
     assert hits[0].deviceIds == ["d0", "d1", "d2", "d3"]
+
+
+def test_event_time_drops_rows_behind_the_watermark(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+
+    def alert(src_ip, minute, second):
+        ts = T0 + dt.timedelta(minutes=minute, seconds=second)
+        return {"sourceIp": src_ip, "deviceId": "d", "timestamp": ts.strftime("%Y-%m-%dT%H:%M:%SZ")}
+
+    def run():
+        anoms = detector_stream(_stream(spark, src), 60, 2, "5 seconds")
+        q = (
+            anoms.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", ckpt).outputMode("append")
+            .trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+        return spark.read.schema(anoms.schema).parquet(out).collect()
+
+    _write_messages(spark, src, [alert("on-time", m, s) for m in range(6) for s in (1, 2)])
+    run()  # watermark now past minute 4
+    _write_messages(spark, src, [alert("late", 0, s) for s in (10, 20, 30)], 100)
+    rows = run()
+    assert not any(r.sourceIp == "late" for r in rows)
+    # watermark 00:05:02 - 5 s = 00:04:57: minutes 0-3 closed, 4-5 open
+    assert sorted(r.windowStart for r in rows if r.sourceIp == "on-time") == [
+        f"2024-01-01T00:0{m}:00Z" for m in range(4)
+    ]
