@@ -148,6 +148,9 @@ def main(argv: list[str]) -> int:
             spark,
             S.param("LAKE_PATH", f"{root}/alerts"),
             S.param("REPORTS_PATH", f"{root}/reports"),
+            since=S.param("REPORTS_SINCE", "") or None,
+            until=S.param("REPORTS_UNTIL", "") or None,
+            dedupe=S.param("REPORTS_DEDUPE", "false").strip().lower() == "true",
         )
         for name, state in status.items():
             print(f"[alertscope] report {name}: {state}")

@@ -132,6 +132,9 @@ def test_reports_job_entry_point(spark, tmp_dir, monkeypatch, capsys):
     assert "report top_source_ips: ok" in capsys.readouterr().out
     back = spark.read.parquet(f"{tmp_dir}/reports/top_source_ips").collect()
     assert sorted((r.sourceIp, r.alert_count) for r in back) == [("s0", 2), ("s1", 2)]
+    monkeypatch.setenv("REPORTS_SINCE", "2026-06-12")  # after the only day: nothing to report
+    assert jobs.main(["jobs", "reports"]) == 0
+    assert "skipped: no alerts" in capsys.readouterr().out
     assert jobs.main(["jobs", "unknown"]) == 2
 
 
