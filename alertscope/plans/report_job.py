@@ -58,10 +58,12 @@ def run_reports(
     if alerts is None:
         return {name: "skipped: no readable input" for name in REPORTS}
     alerts = in_date_range(alerts, since, until)
-    if dedupe:
-        alerts = alerts.dropDuplicates(["alertId"])
+    # Checked before any dedupe: emptiness does not change, and a limit over
+    # the dedupe would run its whole shuffle just to find one row.
     if alerts.isEmpty():
         return {name: "skipped: no alerts" for name in REPORTS}
+    if dedupe:
+        alerts = alerts.dropDuplicates(["alertId"])
     single_file = single_file or {}
 
     def one(name: str) -> str:
