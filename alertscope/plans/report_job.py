@@ -48,8 +48,10 @@ def run_reports(
     """Write every report; returns ``{name: "ok" | "failed: …" | "skipped: …"}``.
 
     ``dedupe=True`` counts each ``alertId`` once (re-sent alerts otherwise
-    count again, as at-least-once delivery implies); it adds one shuffle
-    keyed by the id, which spreads evenly whatever the report key.
+    count again, as at-least-once delivery implies). Each report then adds
+    one shuffle keyed by the id — spread evenly whatever the report key, and
+    carrying only the id plus that report's 1–4 columns — instead of writing
+    a full-width deduplicated copy of the lake.
     Reports are submitted ``parallel`` at a time (default: all six) as
     independent jobs sharing the executors, so their small final stages
     overlap; ``parallel=1`` runs them one after another.
