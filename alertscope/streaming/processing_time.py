@@ -209,6 +209,26 @@ def merge_processing_partials(partials: DataFrame, threshold: int) -> DataFrame:
     return anomaly_rows(windowed)
 
 
+def with_heartbeat(events: DataFrame, rows_per_second: int = 1) -> DataFrame:
+    """Union a built-in ``rate`` source whose rows are all filtered out.
+
+    Spark starts a micro-batch when a source has new data or when the last
+    batch of this run asks for another; right after a restart there is no
+    last batch, so windows restored from the checkpoint would wait for the
+    next alert. The heartbeat's offsets advance every second, so a batch —
+    and with it the processing-time timeouts — runs on every trigger.
+    """
+    beat = events.sparkSession.readStream.format("rate").option(
+        "rowsPerSecond", str(int(rows_per_second))
+    ).load()
+    # ``value`` counts up from 0: never negative, but not a constant the
+    # optimizer could fold away with the source.
+    none = beat.filter(F.col("value") < 0).select(
+        *[F.lit(None).cast(t).alias(n) for n, t in events.dtypes]
+    )
+    return events.unionByName(none)
+
+
 def start_processing_time_detector(
     events: DataFrame,
     window_seconds: int,
@@ -217,8 +237,11 @@ def start_processing_time_detector(
     checkpoint: str,
     salts: int = 16,
     trigger: dict | None = None,
+    heartbeat: bool = True,
 ) -> StreamingQuery:
     """Run the detector; ``sink(anomalies, batch_id)`` receives each batch's anomalies."""
+    if heartbeat:
+        events = with_heartbeat(events)
     partials = processing_time_partials(events, window_seconds, salts)
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -233,19 +233,23 @@ def test_processing_time_salted_merge_is_exact(spark, tmp_dir):
     assert row.severity == "HIGH"
 
 
-def test_processing_time_state_survives_restart(spark, tmp_dir):
+def test_processing_time_state_survives_restart(spark, tmp_dir, heartbeat=True):
     src, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/ckpt"
-    got = []
+    got, batches = [], []
     _write_messages(spark, src, [{"sourceIp": "x"}])
 
+    def sink(df, batch_id):
+        got.extend(df.collect())
+        batches.append(batch_id)
+
     def start():
         events = parse_events(
             _stream(spark, src).withColumnRenamed("timestamp", "kafka_ts"),
             keep=("kafka_ts", "partition", "offset"),
         )
         return start_processing_time_detector(
-            events, window_seconds=10, threshold=3, sink=lambda df, _: got.extend(df.collect()),
-            checkpoint=ckpt, salts=4, trigger={"processingTime": "500 milliseconds"},
+            events, window_seconds=10, threshold=3, sink=sink, checkpoint=ckpt, salts=4,
+            trigger={"processingTime": "500 milliseconds"}, heartbeat=heartbeat,
         )
 
     q = start()
@@ -255,14 +259,17 @@ def test_processing_time_state_survives_restart(spark, tmp_dir):
         time.sleep((10 - time.time() % 10) + 0.3)
         window_end = time.time() - time.time() % 10 + 10
         _write_messages(spark, src, [{"sourceIp": "r", "deviceId": f"d{i}"} for i in range(4)], 10)
-        time.sleep(3)
+        seen = len(batches)
+        deadline = time.time() + 6
+        while time.time() < deadline and len(batches) < seen + 2:  # burst batch committed
+            time.sleep(0.2)
     finally:
         q.stop()
     assert not any(r.sourceIp == "r" for r in got)  # window still open when stopped
     time.sleep(max(window_end - time.time(), 0) + 0.5)  # the window ends while down
-    q = start()
+    q = start()  # no new alerts after the restart
     try:
-        deadline = time.time() + 30
+        deadline = time.time() + 20
         while time.time() < deadline and not any(r.sourceIp == "r" for r in got):
             time.sleep(0.5)
     finally:
