@@ -134,6 +134,7 @@ def main(argv: list[str]) -> int:
             servers=S.param("KAFKA_BOOTSTRAP", S.DEFAULT_BOOTSTRAP),
             topic=S.param("ALERTS_TOPIC", S.DEFAULT_ALERTS_TOPIC),
             min_partitions=S.int_param("KAFKA_MIN_PARTITIONS", 0, 0) or None,
+            max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", 0, 0) or None,
         )
         root = S.checkpoint_root(spark)
         q = start_lake(
@@ -163,6 +164,7 @@ def main(argv: list[str]) -> int:
             servers=p.bootstrap,
             topic=p.alerts_topic,
             min_partitions=S.int_param("KAFKA_MIN_PARTITIONS", 0, 0) or None,
+            max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", 0, 0) or None,
         )
         run_detector(spark, messages, p).awaitTermination()
     else:

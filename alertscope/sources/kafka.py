@@ -20,6 +20,7 @@ def source_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     min_partitions: int | None = None,
+    max_offsets_per_trigger: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Reader options: subscribe one topic from the earliest offset.
@@ -28,6 +29,9 @@ def source_options(
     applies to the first run only. ``min_partitions`` splits topic
     partitions into at least that many Spark tasks per micro-batch (no
     shuffle), so a topic with few partitions still parses on every core.
+    ``max_offsets_per_trigger`` bounds each micro-batch, so a first run from
+    ``earliest`` over a large backlog proceeds in sized steps instead of
+    one batch holding the whole topic.
     """
     opts = {
         "kafka.bootstrap.servers": servers,
@@ -37,6 +41,8 @@ def source_options(
     }
     if min_partitions:
         opts["minPartitions"] = str(int(min_partitions))
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     opts.update(extra)
     return opts
 

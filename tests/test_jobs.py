@@ -56,6 +56,8 @@ def test_topic_options():
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
+    bounded = kafka.source_options("b:9092", "t", min_partitions=64, max_offsets_per_trigger=10**6)
+    assert bounded["minPartitions"] == "64" and bounded["maxOffsetsPerTrigger"] == "1000000"
     prod = kafka.producer_options("b:9092")
     assert prod["kafka.acks"] == "all" and prod["kafka.retries"] == "3"
     assert kafka.anomaly_sink_options("b:9092")["topic"] == "traffic-anomalies"
