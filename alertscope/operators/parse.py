@@ -114,3 +114,17 @@ def emit_if(df: DataFrame, condition: F.Column, record: F.Column) -> DataFrame:
     """
     rows = F.when(F.coalesce(condition, F.lit(False)), F.array(record))
     return df.select(F.explode(rows).alias("_e")).select("_e.*")
+
+
+def detector_events(messages: DataFrame) -> DataFrame:
+    """Topic rows → detector events carrying arrival order and event time.
+
+    Adds ``kafka_ts``, ``partition``, ``offset`` (arrival order) and
+    ``event_ts`` (the alert's own timestamp, leniently parsed; null when
+    unreadable) to the five detector fields.
+    """
+    events = parse_events(
+        messages.withColumnRenamed("timestamp", "kafka_ts"),
+        keep=("kafka_ts", "partition", "offset"),
+    )
+    return events.withColumn("event_ts", lenient_timestamp("timestamp"))

@@ -141,6 +141,7 @@ def main(argv: list[str]) -> int:
             messages,
             S.param("LAKE_PATH", f"{root}/alerts"),
             S.param("LAKE_CHECKPOINT", f"{root}/_checkpoints/alerts"),
+            dedupe_within=S.param("LAKE_DEDUPE_WITHIN", "") or None,
         )
         q.awaitTermination()
     elif job == "reports":

@@ -17,7 +17,7 @@ from alertscope.functions.time import ISO_MICROS_FORMAT
 from alertscope.operators import reports as R
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
-from alertscope.operators.parse import parse_alerts, parse_events
+from alertscope.operators.parse import detector_events, parse_alerts
 from alertscope.plans.ingest_job import read_mark, write_mark
 from alertscope.plans.lake_job import read_lake, start_lake
 from alertscope.plans.report_job import run_reports
@@ -115,10 +115,7 @@ def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detector_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = messages_from_alerts(load_alerts(spark, sf_dir, spread=True))
-    return parse_events(
-        msgs.withColumnRenamed("timestamp", "kafka_ts"), keep=("kafka_ts", "partition", "offset")
-    ).withColumn("event_ts", F.try_to_timestamp("timestamp"))
+    return detector_events(messages_from_alerts(load_alerts(spark, sf_dir, spread=True)))
 
 
 def detector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,11 +12,10 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
-from alertscope.operators.parse import parse_events
+from alertscope.operators.parse import detector_events
 from alertscope.session import scratch_path
 from alertscope.sources.events import ensure_parallelism, messages_from_events
 
@@ -29,11 +28,7 @@ def detector_stream(
     Event time is the alert's own ``timestamp``; arrival order for the
     first-seen lists is (broker time, partition, offset).
     """
-    events = parse_events(
-        messages.withColumnRenamed("timestamp", "kafka_ts"),
-        keep=("kafka_ts", "partition", "offset"),
-    ).withColumn("event_ts", F.try_to_timestamp("timestamp"))
-    watermarked = events.withWatermark("event_ts", delay)
+    watermarked = detector_events(messages).withWatermark("event_ts", delay)
     return detect_anomalies(
         watermarked,
         window_seconds,
