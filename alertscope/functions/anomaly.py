@@ -35,11 +35,37 @@ def anomaly_struct(
     return F.struct(*[fields[name].alias(name) for name in ANOMALY_FIELDS])
 
 
+# Escape forms of the anomaly wire format that differ from
+# Spark's JSON writer — backspace and form feed as \u escapes, and the
+# hex digits of \u escapes in lower case (only control characters reach
+# \u escapes here: 0x0B, 0x0E, 0x0F and 0x1A-0x1F carry letters).
+_WIRE_ESCAPES = [
+    ("b", "u0008"),
+    ("f", "u000c"),
+    ("u000B", "u000b"),
+    ("u000E", "u000e"),
+    ("u000F", "u000f"),
+    ("u001A", "u001a"),
+    ("u001B", "u001b"),
+    ("u001C", "u001c"),
+    ("u001D", "u001d"),
+    ("u001E", "u001e"),
+    ("u001F", "u001f"),
+]
+# An escape starts at a backslash preceded by an even number of backslashes.
+_ESCAPE_START = r"(?<!\\)((?:\\\\)*)\\"
+
+
 def anomaly_json(record: Column | str = "anomaly") -> Column:
-    """Compact JSON text of an anomaly struct (field order preserved).
+    """Compact JSON text of an anomaly struct, in the wire format's bytes.
 
-    Parse-equal to the hand-written serializer; control characters are
-    escaped in Spark's own style (e.g. ``\\b`` rather than ``\\u0008``).
+    ``to_json`` keeps the field order and already writes quotes, backslash,
+    newline, return and tab as short escapes and non-ASCII text as is; only
+    the escapes listed above are rewritten (anomalies are few rows, so the
+    extra replacements cost nothing that grows with the alert volume).
     """
     col = F.col(record) if isinstance(record, str) else record
-    return F.to_json(col)
+    text = F.to_json(col)
+    for spark_form, wire_form in _WIRE_ESCAPES:
+        text = F.regexp_replace(text, _ESCAPE_START + spark_form, "$1\\\\" + wire_form)
+    return text

@@ -124,3 +124,47 @@ def test_anomaly_first_device_defaults_to_empty(spark):
     rec = anomaly_struct(F.col("s"), F.col("d"), F.col("c"), F.lit("MEDIUM"), F.lit("a"), F.lit("b"), F.col("d"))
     row = df.select(rec.alias("r")).first().r
     assert row.deviceId == "" and row.deviceIds == [] and row.alertTypes == []
+
+
+def _wire(value: str) -> str:
+    """The anomaly wire format's string escaping, written from its rules."""
+    out = []
+    for ch in value:
+        if ch == "\\":
+            out.append("\\\\")
+        elif ch == '"':
+            out.append('\\"')
+        elif ch == "\n":
+            out.append("\\n")
+        elif ch == "\r":
+            out.append("\\r")
+        elif ch == "\t":
+            out.append("\\t")
+        elif ch < " ":
+            out.append("\\u%04x" % ord(ch))
+        else:
+            out.append(ch)
+    return '"' + "".join(out) + '"'
+
+
+def test_anomaly_json_is_byte_equal_to_the_wire_format(spark):
+    tricky = "".join(chr(c) for c in range(32)) + ' a\\b \\\\f "q" é日 / \x7f'
+    devices = ["d\x08", "d\\u000B", tricky]
+    types = ["T\x0c", "x\x1f"]
+    df = spark.createDataFrame(
+        [(tricky, devices, 3, "HIGH", "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", types)],
+        "s string, d array<string>, c long, sev string, ws string, we string, t array<string>",
+    )
+    rec = anomaly_struct(
+        F.col("s"), F.col("d"), F.col("c"), F.col("sev"), F.col("ws"), F.col("we"), F.col("t")
+    )
+    got = df.select(anomaly_json(rec)).first()[0]
+    arr = lambda xs: "[" + ",".join(_wire(x) for x in xs) + "]"
+    want = (
+        '{"type":"ESCALATED_SOURCE","sourceIp":' + _wire(tricky)
+        + ',"deviceId":' + _wire(devices[0]) + ',"deviceIds":' + arr(devices)
+        + ',"alertCount":3,"severity":"HIGH","windowStart":"2024-01-01T00:00:00Z"'
+        + ',"windowEnd":"2024-01-02T00:00:00Z","alertTypes":' + arr(types) + "}"
+    )
+    assert got == want
+    assert json.loads(got)["deviceIds"] == devices
