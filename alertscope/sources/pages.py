@@ -9,23 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertscope.operators.parse import emit_if
 from alertscope.session import DEFAULT_PAGE_SIZE
 
+# The envelope, with each content element kept as its JSON text.
+_PAGE_SCHEMA = "data struct<content: array<string>>"
+
 
 def unnest_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
     """Page bodies ``{"data":{"content":[…]}}`` → one row per object element.
 
     A body that is not JSON, has no ``data`` object or no ``content``
     array gives zero rows (not an error); elements that are not objects
-    are skipped. The element is returned as a variant column ``alert``
-    (unknown fields pass through unchanged) plus its JSON text ``json``.
+    are skipped. ``content`` is read as an array of element texts, so each
+    alert keeps its own text (``json``, in the source's key order, as it is
+    published) and is parsed on its own into ``alert`` (a variant: unknown
+    fields pass through) — one malformed element affects only itself.
     """
-    v = F.try_parse_json(F.col(body_col))
-    content = F.try_variant_get(v, "$.data.content", "array<variant>")
-    items = pages.select(F.explode(content).alias("alert"))
-    return items.filter(F.schema_of_variant("alert").startswith("OBJECT")).select(
-        "alert", F.to_json("alert").alias("json")
-    )
+    content = F.from_json(F.col(body_col), _PAGE_SCHEMA)["data"]["content"]
+    items = pages.select(F.explode(content).alias("json"))
+    parsed = items.select("json", F.try_parse_json("json").alias("alert"))
+    is_object = F.schema_of_variant("alert").startswith("OBJECT")
+    return emit_if(parsed, is_object, F.struct("alert", "json"))
 
 
 def latest(alerts: DataFrame, n: int = DEFAULT_PAGE_SIZE, ts_col: str = "event_ts",

@@ -137,10 +137,13 @@ def test_unnest_pages(spark):
         "[1]",
         None,
     ]
+    bodies.append('{"data":{"content":[{"z":1,"alertId":"7"},{"alertId":"8","alertId":"9"},"s",[1]]}}')
     pages = spark.createDataFrame([(b,) for b in bodies], "body string")
     out = unnest_pages(pages)
     got = sorted(r.json for r in out.collect())
-    assert got == ['{"alertId":"1"}', '{"alertId":"2","x":{"y":1}}']
+    # elements keep their own text and key order; a malformed element
+    # (duplicate key) drops alone, not with its page
+    assert got == ['{"alertId":"1"}', '{"alertId":"2","x":{"y":1}}', '{"z":1,"alertId":"7"}']
 
 
 def test_latest_n(spark):
