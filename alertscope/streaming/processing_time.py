@@ -133,8 +133,13 @@ def _step(
             cur.fold(part)
     if cur is not None:
         state.update(cur.as_tuple())
-        # Fire at the window end, measured on the micro-batch clock.
-        state.setTimeoutDuration(max(cur.win_end - state.getCurrentProcessingTimeMs(), 1))
+        # A state times out when its timeout is strictly before the batch
+        # time; ending it 1 ms before the window end makes "timed out" the
+        # same test as "this batch is in a later window" (batch time >= end),
+        # which is when a salt with new data flushes. So every salt of a
+        # window surfaces in the same micro-batch.
+        now = state.getCurrentProcessingTimeMs()
+        state.setTimeoutDuration(max(cur.win_end - 1 - now, 1))
 
 
 def processing_time_partials(
