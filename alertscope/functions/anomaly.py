@@ -61,11 +61,15 @@ def anomaly_json(record: Column | str = "anomaly") -> Column:
 
     ``to_json`` keeps the field order and already writes quotes, backslash,
     newline, return and tab as short escapes and non-ASCII text as is; only
-    the escapes listed above are rewritten (anomalies are few rows, so the
-    extra replacements cost nothing that grows with the alert volume).
+    the escapes listed above are rewritten, and only in text that holds a
+    backslash at all (almost none does), so the rewrite costs next to nothing.
     """
     col = F.col(record) if isinstance(record, str) else record
     text = F.to_json(col)
+    rewritten = text
     for spark_form, wire_form in _WIRE_ESCAPES:
-        text = F.regexp_replace(text, _ESCAPE_START + spark_form, "$1\\\\" + wire_form)
-    return text
+        rewritten = F.regexp_replace(
+            rewritten, _ESCAPE_START + spark_form, "$1\\\\" + wire_form
+        )
+    # Only text holding an escape can differ; the rest skips the rewrite.
+    return F.when(text.contains("\\"), rewritten).otherwise(text)
