@@ -116,10 +116,10 @@ _DETECTOR_PARSE = 'SELECT sourceIp, deviceId, "type", severity, "timestamp" FROM
 _WIN_US = 86_400 * 1_000_000
 
 
-def _anomaly_ctes(extra_having: str = "") -> str:
+def _anomaly_ctes(extra_having: str = "", win_us: int = _WIN_US) -> str:
     return f"""
 b AS (
-  SELECT *, make_timestamp((epoch_us(event_ts) // {_WIN_US}) * {_WIN_US}) AS ws FROM ev
+  SELECT *, make_timestamp((epoch_us(event_ts) // {win_us}) * {win_us}) AS ws FROM ev
   WHERE event_ts IS NOT NULL
 ),
 agg AS (
@@ -151,7 +151,7 @@ anom AS (
          COALESCE(d.deviceIds, []::VARCHAR[]) AS deviceIds,
          CAST(a.alertCount AS INTEGER) AS alertCount, a.severity,
          strftime(a.ws, {_ISO_S}) AS windowStart,
-         strftime(a.ws + INTERVAL 1 DAY, {_ISO_S}) AS windowEnd,
+         strftime(a.ws + to_microseconds({win_us}), {_ISO_S}) AS windowEnd,
          COALESCE(t.alertTypes, []::VARCHAR[]) AS alertTypes
   FROM agg a
   LEFT JOIN devl d ON d.ws = a.ws AND d.sourceIp = a.sourceIp
@@ -251,6 +251,9 @@ def oracle_sql() -> dict[str, str]:
     out["detector_parse"] = _with(_ALERTS + "," + _EV, _DETECTOR_PARSE)
     out["source_anomalies"] = _with(_ALERTS + "," + _EV + "," + _anomaly_ctes(), _ANOM_FLAT)
     out["anomaly_json"] = _with(_ALERTS + "," + _EV + "," + _anomaly_ctes(), _ANOM_JSON)
+    out["source_anomalies_6h"] = _with(
+        _ALERTS + "," + _EV + "," + _anomaly_ctes(win_us=6 * 3600 * 1_000_000), _ANOM_FLAT
+    )
     out["source_anomalies_stream"] = _with(
         _ALERTS + "," + _EV + "," + _anomaly_ctes(_STREAM_HAVING), _ANOM_FLAT
     )

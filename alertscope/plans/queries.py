@@ -35,6 +35,7 @@ from alertscope.streaming.event_time import table_stream
 # Detector parameters for the test tables. At 60 s no
 # (source, window) reaches 3 alerts in ``events``, so a 1-day window is used.
 DETECT_WINDOW_SECONDS = 86_400
+DETECT_WINDOW_6H_SECONDS = 21_600
 DETECT_THRESHOLD = 3
 STREAM_DELAY = "1 minute"
 # The first poll of the incremental-load scenario ends this many days
@@ -156,6 +157,19 @@ def source_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(source_anomalies_frame(spark, sf_dir))
 
 
+def source_anomalies_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detector with 6-hour windows (epoch-aligned, sub-day)."""
+    return _flat(
+        detect_anomalies(
+            _detector_events(spark, sf_dir),
+            DETECT_WINDOW_6H_SECONDS,
+            DETECT_THRESHOLD,
+            time_col="event_ts",
+            order=_arrival_order(),
+        )
+    )
+
+
 def anomaly_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_anomaly_json(source_anomalies_frame(spark, sf_dir))
 
@@ -288,6 +302,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_daily_trend": lake_daily_trend,
     "detector_parse": detector_parse,
     "source_anomalies": source_anomalies,
+    "source_anomalies_6h": source_anomalies_6h,
     "anomaly_json": anomaly_json,
     "source_anomalies_stream": source_anomalies_stream,
     "latest_alerts": latest_alerts,
