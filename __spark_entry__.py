@@ -18,6 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from alertscope.plans.queries import QUERIES  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline  # noqa: E402
+    from alertscope.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "alertscope.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -27,7 +35,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    out = dict(QUERIES)
+    if llm_queries is not None:
+        out |= llm_queries.QUERIES
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 # The events → alerts mapping, in DuckDB SQL.
@@ -264,4 +276,6 @@ def oracle_sql() -> dict[str, str]:
     out["next_mark"] = _with(_ALERTS + "," + _MARK, _NEXT_MARK)
     out["written_reports"] = _with(_ALERTS, _WRITTEN_REPORTS)
     out["new_since_stored_mark"] = _with(_ALERTS + "," + _MARK, _NEW_SINCE_STORED)
+    if llm_queries is not None:
+        out |= llm_queries.ORACLE_SQL
     return out
