@@ -4,12 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertscope.llm.common import prepare, table
+from alertscope.llm.common import materialize, prepare, table
+from alertscope.llm.embedding_dedup import embedding_groups
+from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
 from alertscope.llm.simhash_dedup import simhash_groups
+from alertscope.llm.token_cache import read_vocabulary
+from alertscope.llm.token_index import indexed_tokens
+from alertscope.llm.token_rollup import TokenRollups, count_tokens, inserted
+from alertscope.llm.toxicity import toxicity_scores
+from alertscope.session import scratch_path
+
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+
+
+def vocabulary(name: str) -> str:
+    return read_vocabulary(public_tokenizers.path(name))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by source, language and tokenizer version after four batches: all
+    documents inserted under either tokenizer, the byte tokenizer's counts
+    revised to those of texts with runs of white space squeezed, and exact
+    copies (all but the smallest id) deleted. The last two are sent twice.
+    """
+    squeezed = F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")
+    docs = table(spark, sf_dir, "documents").withColumn("md5", F.md5(F.coalesce("text", F.lit(""))))
+    counts = materialize(
+        count_tokens(
+            docs,
+            {"byte": vocabulary(BYTE_BPE), "word": vocabulary(WORD_BPE)},
+            {"raw": F.col("text"), "squeezed": squeezed},
+            ["doc_id", "source", "lang", "md5"],
+        ),
+        "token-counts",
+    )
+    first = counts.groupBy("md5").agg(F.min("doc_id").alias("first_id"))
+    copies = counts.join(first, "md5").where("doc_id <> first_id")
+    revised = counts.where("byte_raw <> byte_squeezed").select(
+        F.lit("revise").alias("op"), "source", "lang", F.lit("byte_bpe_50k").alias("tokenizer"),
+        F.col("byte_squeezed").alias("n_tokens"), F.col("byte_raw").alias("old_tokens"),
+    )
+    gone = inserted(copies, "byte_bpe_50k", "byte_squeezed", "delete").union(
+        inserted(copies, "word_bpe_49k", "word_raw", "delete")
+    )
+    store = TokenRollups(spark, scratch_path(spark, "token-rollups"))
+    store.commit("1-byte", inserted(counts, "byte_bpe_50k", "byte_raw"))
+    store.commit("2-word", inserted(counts, "word_bpe_49k", "word_raw"))
+    for _ in range(2):
+        store.commit("3-squeeze", revised)
+        store.commit("4-copies", gone)
+    return store.totals()
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,14 +75,36 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 ids."""
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), capacity=4096, end_id=1)
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector, at a cosine of 0.93 within a label."""
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to shards, found through the index and read back."""
+    return indexed_tokens(
+        table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), scratch_path(spark, "token-index"), end_id=2
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_token_index": op10_token_index,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
