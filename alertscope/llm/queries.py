@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from alertscope.llm.common import materialize, prepare, table
 from alertscope.llm.embedding_dedup import embedding_groups
+from alertscope.llm.line_dedup import line_report
 from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
 from alertscope.llm.simhash_dedup import simhash_groups
+from alertscope.llm.suffix_dedup import repeat_report
 from alertscope.llm.token_cache import read_vocabulary
 from alertscope.llm.token_index import indexed_tokens
 from alertscope.llm.token_rollup import TokenRollups, count_tokens, inserted
@@ -85,6 +87,16 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that repeat."""
+    return repeat_report(table(spark, sf_dir, "documents"), length=400)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and which of them go as near copies of an earlier one."""
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -103,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_index": op10_token_index,
 }

@@ -9,20 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from alertscope.llm.common import materialize, prepare, release, table
+from alertscope.llm.line_dedup import dedup_lines
+from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
+from alertscope.llm.queries import WORD_BPE, vocabulary
 from alertscope.llm.simhash_dedup import simhash_groups
+from alertscope.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality cascade keeps."""
     prepare(spark)
     return quality_cascade(docs).where("kept").select(*COLUMNS)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that are near copies of an earlier line. ``n_chars``
+    follows the text."""
+    return _counted(dedup_lines(docs))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies."""
     prepare(spark)
@@ -30,9 +43,22 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.join(keep, "doc_id", "left_semi").select(*COLUMNS)
 
 
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without strings of 400 bytes that repeat anywhere."""
+    return _counted(remove_repeats(docs, length=400))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces of the documents in sequences of 4096 ids."""
+    return pack_documents(docs, vocabulary(WORD_BPE), capacity=4096, end_id=1)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 
