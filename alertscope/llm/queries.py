@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from alertscope.llm.common import materialize, prepare, table
 from alertscope.llm.embedding_dedup import embedding_groups
+from alertscope.llm.gumbel_segment import sample_segmentations
 from alertscope.llm.line_dedup import line_report
 from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
@@ -22,12 +23,23 @@ from alertscope.llm.toxicity import toxicity_scores
 from alertscope.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
     return read_vocabulary(public_tokenizers.path(name))
 
 
+def op1_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four distinct sampled segmentations of every conversation turn, seeded by its key."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.concat_ws("/", "conv_id", "turn").alias("turn_key"), "text"
+    )
+    with open(public_tokenizers.path(PIECE_BPE), "rb") as f:
+        model = f.read()
+    return sample_segmentations(turns, model, k=4, id_col="turn_key").withColumnRenamed("doc_id", "turn_key")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by source, language and tokenizer version after four batches: all
     documents inserted under either tokenizer, the byte tokenizer's counts
@@ -110,6 +122,7 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_gumbel_segmentations": op1_gumbel_segmentations,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
 from alertscope.llm.common import materialize, prepare, release, table
 from alertscope.llm.line_dedup import dedup_lines
 from alertscope.llm.packing import pack_documents
