@@ -43,7 +43,6 @@ UNKNOWN_PENALTY = 10.0
 BATCH_CHARS = 300_000
 KEPT_EDGES = 3_000_000
 
-_CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _U = np.uint64
 
 
@@ -69,6 +68,9 @@ class Lattices:
         self.longest = max(map(len, self.pieces))
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece crosses the start of a word")
+        # a line end that no piece joins to anything is a word of its own
+        alone = "" if any("\n" in p and len(p) > 1 for p in self.pieces) else "\n"
+        self._words = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + ("|\n" if alone else ""))
         self.unknown = math.exp((min(score.values()) - UNKNOWN_PENALTY) * smoothing)
         self.bytes = {sp.id_to_piece(i): i for i in range(n) if sp.is_byte(i)}
         self.unk_id = sp.unk_id()
@@ -81,6 +83,10 @@ class Lattices:
         self._kept = [np.zeros(1 << 16, dtype=t) for t in (float, np.int64, float, np.int64, np.uint32, np.int64)]
         self._used = [0] * 6
 
+    def words(self, text: str | None) -> list[str]:
+        """The words of a text with their spaces; a space goes before the first."""
+        return self._words.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
     def fallback(self, char: str) -> list[int]:
         """Ids of a character that no piece covers: its bytes, else the unknown id."""
         if not self.bytes:
@@ -315,11 +321,6 @@ class _Search:
         return self.l.ids[at]
 
 
-def words_of(text: str | None) -> list[str]:
-    """The words of a text with their spaces; a space goes before the first."""
-    return _CHUNKS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-
-
 def draw(lattices: Lattices, texts: list[str | None], keys: list, k: int, seed: int) -> list[tuple]:
     """``(text number, draw, ids, log probability, perturbed value, inclusion score)``."""
     out: list[tuple] = []
@@ -329,7 +330,7 @@ def draw(lattices: Lattices, texts: list[str | None], keys: list, k: int, seed:
             lattices.clear()
         some, chars = [], 0
         while at + len(some) < len(texts) and (not some or chars < BATCH_CHARS):
-            some.append(words_of(texts[at + len(some)]))
+            some.append(lattices.words(texts[at + len(some)]))
             chars += sum(map(len, some[-1]))
         for word in {w for t in some for w in t}:
             if word not in lattices.start:

@@ -31,13 +31,10 @@ def vocabulary(name: str) -> str:
 
 
 def op1_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four distinct sampled segmentations of every conversation turn, seeded by its key."""
-    turns = table(spark, sf_dir, "conversations").select(
-        F.concat_ws("/", "conv_id", "turn").alias("turn_key"), "text"
-    )
+    """Two distinct sampled segmentations of every document, seeded by its id."""
     with open(public_tokenizers.path(PIECE_BPE), "rb") as f:
         model = f.read()
-    return sample_segmentations(turns, model, k=4, id_col="turn_key").withColumnRenamed("doc_id", "turn_key")
+    return sample_segmentations(table(spark, sf_dir, "documents"), model, k=2)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
