@@ -7,19 +7,29 @@ The vocabulary travels to the executors as text; nothing is trained.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 
+import numpy as np
 from tokenizers import Tokenizer
 
+# One thread per task: the cores are Spark's to share out.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
 # What a regular expression engine of the tokenizers library
 # counts as white space (the Unicode property White_Space).
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_BYTE_LEVEL = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_WORD_LEVEL = re.compile("[^ \n]+")
+# A run of these letters ends for either tokenizer at these marks.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_MARKS = r"[!\"#$%&()*+,./:;<=>?@\[\\\]^`{|}~-]"
+_BYTE_LEVEL = re.compile(
+    f" ?{_LETTERS}(?={_MARKS}|[ \n]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+)
+_WORD_LEVEL = re.compile(f"{_LETTERS}(?={_MARKS}|[ \n]|$)|[^ \n]+")
 
 #: Distinct pieces that a worker keeps; a full cache starts anew.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 600_000
 #: Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
 
@@ -28,17 +38,18 @@ _encoders: dict[int, PieceEncoder] = {}
 
 def byte_level_pieces(text: str) -> list[str]:
     """Cut where the byte-level pre-tokenizer always cuts: before a space and
-    its word, and around other white space."""
+    its word, around other white space, and after letters before a mark."""
     return _BYTE_LEVEL.findall(text)
 
 
 def word_level_pieces(text: str) -> list[str]:
-    """Cut at spaces and line ends, which the word tokenizer drops."""
+    """Cut at spaces and line ends, which the word tokenizer drops, and after
+    letters before a mark."""
     return _WORD_LEVEL.findall(text)
 
 
 class PieceEncoder(dict):
-    """piece → id bytes, filled on demand."""
+    """piece → id bytes, filled on demand, a text's new pieces together."""
 
     def __init__(self, vocabulary: str) -> None:
         super().__init__()
@@ -50,13 +61,21 @@ class PieceEncoder(dict):
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces in one call: a special token between them cuts the text
+        before all else, and its id tells their ids apart."""
+        if len(self) + len(new) > CACHE_PIECES:
+            self.clear()
+        ids = np.array(
+            self.tokenizer.encode(self.special[0].join(new), add_special_tokens=False).ids, dtype="<u4"
+        )
+        cuts = np.flatnonzero(ids == self.tokenizer.token_to_id(self.special[0])).tolist()
+        data = ids.tobytes()
+        for piece, start, end in zip(new, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
+            self[piece] = data[4 * start : 4 * end]
+
     def __missing__(self, piece: str) -> bytes:
-        out = self.ids(piece)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = out
-        return out
+        return self.ids(piece)
 
     def encode(self, text: str | None) -> bytes:
         """Id bytes of a whole text; null is empty."""
@@ -64,7 +83,10 @@ class PieceEncoder(dict):
             return b""
         if any(s in text for s in self.special):  # cuts before the pre-tokenizer does
             return self.ids(text)
-        return b"".join(map(self.__getitem__, self.pieces(text)))
+        pieces = self.pieces(text)
+        if self.special and (new := [p for p in set(pieces) if p not in self and len(p) <= LONGEST_KEPT]):
+            self._learn(new)
+        return b"".join(map(self.__getitem__, pieces))
 
 
 def encoder(vocabulary: str) -> PieceEncoder:
