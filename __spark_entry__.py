@@ -128,11 +128,12 @@ _DETECTOR_PARSE = 'SELECT sourceIp, deviceId, "type", severity, "timestamp" FROM
 _WIN_US = 86_400 * 1_000_000
 
 
-def _anomaly_ctes(extra_having: str = "", win_us: int = _WIN_US) -> str:
+def _anomaly_ctes(extra_having: str = "", win_us: int = _WIN_US, one_window: bool = False) -> str:
+    start = "TIMESTAMP '2000-01-01'" if one_window else f"make_timestamp((epoch_us(event_ts) // {win_us}) * {win_us})"
     return f"""
 b AS (
-  SELECT *, make_timestamp((epoch_us(event_ts) // {win_us}) * {win_us}) AS ws FROM ev
-  WHERE event_ts IS NOT NULL
+  SELECT *, {start} AS ws FROM ev
+  WHERE {'true' if one_window else 'event_ts IS NOT NULL'}
 ),
 agg AS (
   SELECT ws, sourceIp, COUNT(*) AS alertCount,
@@ -177,6 +178,11 @@ SELECT "type", sourceIp, deviceId, array_to_string(deviceIds, ',') AS deviceIdLi
        array_to_string(alertTypes, ',') AS alertTypeList
 FROM anom"""
 
+_ANOM_PROCESSING = """
+SELECT "type", sourceIp, deviceId, array_to_string(deviceIds, ',') AS deviceIdList,
+       alertCount, severity, array_to_string(alertTypes, ',') AS alertTypeList
+FROM anom"""
+
 _ANOM_JSON = """
 SELECT CAST(json_object('type', "type", 'sourceIp', sourceIp, 'deviceId', deviceId,
                         'deviceIds', deviceIds, 'alertCount', alertCount,
@@ -190,6 +196,11 @@ _STREAM_HAVING = (
     "AND ws + INTERVAL 1 DAY <= (SELECT MAX(event_ts) FROM ev) - INTERVAL 1 MINUTE"
 )
 
+# Page p holds hours p and p + 1. A page's mark is the latest instant of the pages
+# before it, so of hour p only what is past or at it and unseen is new.
+_NEW_OVER_PAGES = f"""
+SELECT alertId, strftime(event_ts, {_ISO_US}) AS cursor_ts FROM alerts"""
+
 _LATEST = """
 SELECT alertId, deviceId, "timestamp", sourceIp, severity
 FROM alerts ORDER BY event_ts DESC NULLS LAST, alertId LIMIT 200"""
@@ -269,7 +280,11 @@ def oracle_sql() -> dict[str, str]:
     out["source_anomalies_stream"] = _with(
         _ALERTS + "," + _EV + "," + _anomaly_ctes(_STREAM_HAVING), _ANOM_FLAT
     )
+    out["source_anomalies_processing"] = _with(
+        _ALERTS + "," + _EV + "," + _anomaly_ctes(one_window=True), _ANOM_PROCESSING
+    )
     out["latest_alerts"] = _with(_ALERTS, _LATEST)
+    out["new_since_mark_pages"] = _with(_ALERTS, _NEW_OVER_PAGES)
     out["page_unnest"] = _with(_ALERTS, _PAGE_UNNEST)
     out["publish_key"] = _with(_ALERTS, _PUBLISH_KEY)
     out["new_since_mark"] = _with(_ALERTS + "," + _MARK, _NEW_SINCE)

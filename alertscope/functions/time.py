@@ -11,9 +11,11 @@ from alertscope.functions.text import _col
 # ('Z' or +HH:MM[:SS]; letters in either case), the only shape the
 # incremental loader accepts.
 STRICT_INSTANT_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2}(:\d{2})?)$"
+    r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2}(:\d{2})?)\z"
 )
 
+END_OF_DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt]24:00:00(\.0+)?[^.\d]"
+
 # Instant text for whole-second instants, UTC.
 ISO_SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_MICROS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -30,7 +32,11 @@ def lenient_timestamp(c: Column | str) -> Column:
 def strict_instant(c: Column | str) -> Column:
     """Full date-time with zone only; date-only, zone-less or bad text → null."""
     col = _col(c)
-    return F.when(col.rlike(STRICT_INSTANT_PATTERN), F.try_to_timestamp(F.upper(col)))
+    midnight = col.rlike(END_OF_DAY_PATTERN)  # 24:00 is the next day's start
+    plain = F.when(midnight, F.regexp_replace(col, "[Tt]24:", "T00:")).otherwise(col)
+    at = F.try_to_timestamp(F.upper(plain))
+    at = F.when(midnight, at + F.expr("INTERVAL 1 DAY")).otherwise(at)
+    return F.when(col.rlike(STRICT_INSTANT_PATTERN), at)
 
 
 def iso_instant(c: Column | str, micros: bool = False) -> Column:

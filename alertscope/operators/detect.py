@@ -36,27 +36,25 @@ def arrival_order(ts: Column | str, partition: Column | str, offset: Column | st
     Ordering the decimal is ordering the triple, and ``min`` over a decimal
     keeps a fixed-width aggregation buffer, so the level-1 aggregate stays
     a hash aggregate (a struct ``min`` would fall back to a sort-based
-    aggregate). Broker timestamps carry milliseconds; a value outside the
-    widths (time before 1970, partition >= 10^5) raises instead of
-    mis-ordering.
+    aggregate). Broker timestamps carry milliseconds. Every value has a place:
+    a null or pre-1970 time, partition or offset comes first, one beyond the
+    widths last, and the next part of the triple decides between such rows.
     """
     c = lambda x: F.col(x) if isinstance(x, str) else x
-    ms = F.unix_millis(c(ts))
-    part = c(partition).cast("long")
-    off = c(offset).cast("long")
-    ok = (
-        (ms >= 0)
-        & (ms < F.lit(10**_MS_DIGITS))
-        & (part >= 0)
-        & (part < F.lit(10**_PARTITION_DIGITS))
-        & (off >= 0)
-    )
-    packed = F.concat(
-        F.lpad(ms.cast("string"), _MS_DIGITS, "0"),
-        F.lpad(part.cast("string"), _PARTITION_DIGITS, "0"),
-        F.lpad(off.cast("string"), _OFFSET_DIGITS, "0"),
+
+    def digits(value: Column, width: int) -> Column:
+        # 0 is kept for what comes first; a long has 19 digits and needs no cap
+        shifted = F.greatest(F.coalesce(value, F.lit(-1)), F.lit(-1)) + F.lit(1)
+        if width < 19:
+            shifted = F.least(shifted, F.lit(10**width - 1))
+        return F.lpad(shifted.cast("string"), width, "0")
+
+    offset_ = F.least(c(offset).cast("long"), F.lit((1 << 63) - 2))
+    return F.concat(
+        digits(F.unix_millis(c(ts)), _MS_DIGITS),
+        digits(c(partition).cast("long"), _PARTITION_DIGITS),
+        digits(offset_, _OFFSET_DIGITS),
     ).cast("decimal(38,0)")
-    return F.when(ok, packed).otherwise(F.raise_error(F.lit("arrival order out of range")))
 
 
 def window_spec(time_col: Column | str, window_seconds: int) -> Column:

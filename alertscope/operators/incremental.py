@@ -19,10 +19,10 @@ batch does not matter and in-batch duplicates both pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from alertscope.functions.text import non_blank
+from alertscope.functions.text import node_text, non_blank
 from alertscope.functions.time import strict_instant
 from alertscope.schema import MARK_SCHEMA
 
@@ -74,6 +74,46 @@ def new_since_mark(
     )
 
 
+def new_over_pages(
+    batch: DataFrame,
+    mark: DataFrame,
+    page_col: str = "page_seq",
+    ts_col: str = "cursor_ts",
+    id_col: str = "cursor_id",
+) -> DataFrame:
+    """Rows of ``batch`` that are new when its pages are polled one after another.
+
+    Each page is tested against the mark as the pages before it, in the order of
+    ``page_col``, have left it; rows of one page are tested against one snapshot,
+    so its own duplicates both pass. The mark's instant before a page is the
+    latest of the stored mark and of all earlier pages (one row per page), and
+    an id was seen at it if it is in the stored mark or on an earlier page.
+    """
+    ts, rid = F.col(ts_col), F.col(id_col)
+    earlier = Window.orderBy(page_col).rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        batch.groupBy(page_col)
+        .agg(F.max(ts_col).alias("_top"))
+        .select(page_col, F.max("_top").over(earlier).alias("_before"))
+    )
+    stored = mark_instant(mark)
+    rows = batch.join(before, page_col).withColumn("_at", F.greatest("_before", stored))
+    at = F.col("_at")
+    rows = rows.filter(ts.isNull() | at.isNull() | (ts > at) | ((ts == at) & rid.isNotNull()))
+    seen = mark.filter(F.col("mark_id").isNotNull()).select(
+        F.col("mark_ts").alias("_seen_ts"), F.col("mark_id").alias("_seen_id")
+    )
+    rows = rows.join(seen, (ts == F.col("_seen_ts")) & (rid == F.col("_seen_id")), "left_anti")
+    first = (
+        batch.filter(ts.isNotNull() & rid.isNotNull())
+        .groupBy(ts.alias("_first_ts"), rid.alias("_first_id"))
+        .agg(F.min(page_col).alias("_first_page"))
+    )
+    rows = rows.join(first, (ts == F.col("_first_ts")) & (rid == F.col("_first_id")), "left")
+    again = (ts == at) & (F.col("_first_page") < F.col(page_col))
+    return rows.filter(~F.coalesce(again, F.lit(False))).select(*batch.columns)
+
+
 def next_mark(
     observed: DataFrame, mark: DataFrame, ts_col: str = "cursor_ts", id_col: str = "cursor_id"
 ) -> DataFrame:
@@ -89,20 +129,12 @@ def next_mark(
         F.col(ts_col).cast("timestamp").alias("mark_ts"), F.col(id_col).alias("mark_id")
     )
     both = rows.unionByName(mark.select("mark_ts", "mark_id").filter(F.col("mark_ts").isNotNull()))
-    # Latest instant and how many ids it has: a partial aggregate per
-    # instant, then the top one (at most one row, so broadcasting it is safe).
-    latest = (
-        both.groupBy("mark_ts")
-        .agg(F.count("mark_id").alias("_ids"))
-        .orderBy(F.desc("mark_ts"))
-        .limit(1)
-    )
-    at_latest = both.join(F.broadcast(latest), "mark_ts")
-    return (
-        at_latest.filter(F.col("mark_id").isNotNull() | (F.col("_ids") == 0))
-        .select("mark_ts", "mark_id")
-        .distinct()
-    )
+    # one row per task to the maximum, then the rows at it
+    at_latest = both.filter(F.col("mark_ts") == both.select(F.max("mark_ts")).scalar())
+    known = at_latest.filter(F.col("mark_id").isNotNull()).distinct()
+    none = at_latest.groupBy("mark_ts").agg(F.count("mark_id").alias("n"))
+    bare = none.filter("n = 0").select("mark_ts", F.lit(None).cast("string").alias("mark_id"))
+    return known.unionByName(bare)
 
 
 def timestamp_only(mark: DataFrame) -> DataFrame:
@@ -122,23 +154,26 @@ def publish_key(device: F.Column | str) -> F.Column:
     return F.when(non_blank(col), col).otherwise(F.lit(UNKNOWN_KEY))
 
 
-def cursor_fields(raw: DataFrame, alert_col: str = "alert") -> DataFrame:
+def cursor_fields(raw: DataFrame, alert_col: str = "alert", json_col: str = "json") -> DataFrame:
     """Add ``cursor_ts`` / ``cursor_id`` / ``publish_key`` to raw alerts (variant).
 
     ``cursor_ts`` is set only when ``timestamp`` holds a full ISO-8601
     instant with zone (a JSON number or container never renders as one, so
     the pattern also enforces "is a string"); ``cursor_id`` is the text of
-    ``alertId`` whatever its JSON type; a JSON null reads as null.
+    ``alertId`` whatever its JSON type (``100.0`` stays ``100.0``, ``1e3`` reads
+    ``1000.0``); a JSON null reads as null.
     """
     v = F.col(alert_col)
-    staged = raw.select(
-        "*",
-        F.try_variant_get(v, "$.timestamp", "string").alias("_ts_text"),
-        F.try_variant_get(v, "$.deviceId", "string").alias("_device"),
-    )
+    names = ("timestamp", "deviceId", "alertId")
+    nodes = raw.select("*", *[F.try_variant_get(v, f"$.{n}", "variant").alias(f"_n_{n}") for n in names])
+    text = {
+        n: node_text(F.col(f"_n_{n}"), None, F.get_json_object(json_col, f"$.{n}") if json_col in raw.columns else None)
+        for n in names
+    }
+    staged = nodes.select(*raw.columns, *[text[n].alias(f"_t_{n}") for n in names])
     return staged.select(
         *raw.columns,
-        strict_instant("_ts_text").alias("cursor_ts"),
-        F.try_variant_get(v, "$.alertId", "string").alias("cursor_id"),
-        publish_key("_device").alias("publish_key"),
+        strict_instant("_t_timestamp").alias("cursor_ts"),
+        F.col("_t_alertId").alias("cursor_id"),
+        publish_key("_t_deviceId").alias("publish_key"),
     )

@@ -12,11 +12,12 @@ tie-break, so the row kept at a tie on the cut is deterministic.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertscope.functions.severity import severity_rank
+from alertscope.functions.severity import SEVERITY_RANKS
 
 # Top-k sizes of the two bounded reports and the label of a
 # missing severity or type.
@@ -25,66 +26,89 @@ TOP_PORTS = 50
 UNKNOWN = "UNKNOWN"
 
 
-def _count() -> F.Column:
-    return F.count(F.lit(1)).alias("alert_count")
-
-
-def top_source_ips(alerts: DataFrame, limit: int = TOP_SOURCES) -> DataFrame:
-    return (
-        alerts.filter(F.col("sourceIp").isNotNull())
-        .groupBy("sourceIp")
-        .agg(
-            _count(),
-            F.count_distinct("destinationIp").alias("distinct_targets"),
-            F.count_distinct("destinationPort").alias("distinct_ports"),
-            F.max(severity_rank("severity")).alias("max_severity_rank"),
-        )
-        .orderBy(F.desc("alert_count"), F.asc("sourceIp"))
-        .limit(limit)
-    )
-
-
-def alerts_per_device(alerts: DataFrame) -> DataFrame:
-    return (
-        alerts.groupBy("deviceId")
-        .agg(_count(), F.count_distinct("sourceIp").alias("distinct_sources"))
-        .orderBy(F.desc("alert_count"), F.asc_nulls_first("deviceId"))
-    )
-
-
-def _distribution(alerts: DataFrame, column: str) -> DataFrame:
-    key = F.coalesce(F.col(column), F.lit(UNKNOWN)).alias(column)
-    return alerts.groupBy(key).agg(_count()).orderBy(F.desc("alert_count"), F.asc(column))
-
-
-def severity_distribution(alerts: DataFrame) -> DataFrame:
-    return _distribution(alerts, "severity")
-
-
-def type_distribution(alerts: DataFrame) -> DataFrame:
-    return _distribution(alerts, "type")
+@dataclass(frozen=True)
+class Report:
+    """One report: group key, measures as SQL expressions, order, optional cut.
 
+    Both forms, DataFrame and SQL text, are built from this.
+    """
 
-def daily_trend(alerts: DataFrame) -> DataFrame:
-    return (
-        alerts.groupBy("dt")
-        .agg(
-            _count(),
-            F.count_distinct("sourceIp").alias("distinct_sources"),
-            F.count_distinct("deviceId").alias("active_devices"),
+    key: str
+    measures: tuple[tuple[str, str], ...]
+    missing: str | None = None  # label of a null key; without one null keys stay or go
+    known_only: bool = False  # drop null keys
+    by_count: bool = True  # most alerts first, then key; else by key alone
+    limit: int | None = None
+
+    def _key(self) -> str:
+        return f"coalesce({self.key}, '{self.missing}')" if self.missing else self.key
+
+    def frame(self, alerts: DataFrame, limit: int | None = None) -> DataFrame:
+        if self.known_only:
+            alerts = alerts.filter(F.col(self.key).isNotNull())
+        grouped = alerts.groupBy(F.expr(self._key()).alias(self.key)).agg(
+            *[F.expr(sql).alias(name) for name, sql in self.measures]
         )
-        .orderBy(F.asc_nulls_first("dt"))
-    )
+        order = [F.desc("alert_count")] if self.by_count else []
+        out = grouped.orderBy(*order, F.asc_nulls_first(self.key))
+        cut = limit or self.limit
+        return out if cut is None else out.limit(cut)
+
+    def sql(self, view: str) -> str:
+        parts = [f"SELECT {self._key()} AS {self.key}"]
+        parts += [f", {sql} AS {name}" for name, sql in self.measures]
+        parts.append(f" FROM {view}")
+        if self.known_only:
+            parts.append(f" WHERE {self.key} IS NOT NULL")
+        parts.append(f" GROUP BY {self._key()} ORDER BY ")
+        parts.append(f"alert_count DESC, {self.key}" if self.by_count else self.key)
+        if self.limit is not None:
+            parts.append(f" LIMIT {self.limit}")
+        return "".join(parts)
+
+
+def _distinct(column: str) -> str:
+    return f"count(DISTINCT {column})"
+
+
+_RANK = "max(CASE {} ELSE 0 END)".format(
+    " ".join(f"WHEN severity = '{name}' THEN {rank}" for name, rank in SEVERITY_RANKS.items())
+)
+_COUNT = ("alert_count", "count(1)")
+
+# The six reports' names, keys and output columns, in the order
+# the report job writes them.
+DEFINITIONS: dict[str, Report] = {
+    "top_source_ips": Report(
+        "sourceIp",
+        (
+            _COUNT,
+            ("distinct_targets", _distinct("destinationIp")),
+            ("distinct_ports", _distinct("destinationPort")),
+            ("max_severity_rank", _RANK),
+        ),
+        known_only=True,
+        limit=TOP_SOURCES,
+    ),
+    "alerts_per_device": Report("deviceId", (_COUNT, ("distinct_sources", _distinct("sourceIp")))),
+    "severity_distribution": Report("severity", (_COUNT,), missing=UNKNOWN),
+    "type_distribution": Report("type", (_COUNT,), missing=UNKNOWN),
+    "daily_trend": Report(
+        "dt",
+        (_COUNT, ("distinct_sources", _distinct("sourceIp")), ("active_devices", _distinct("deviceId"))),
+        by_count=False,
+    ),
+    "top_destination_ports": Report("destinationPort", (_COUNT,), known_only=True, limit=TOP_PORTS),
+}
 
+REPORTS: dict[str, Callable[..., DataFrame]] = {name: r.frame for name, r in DEFINITIONS.items()}
 
-def top_destination_ports(alerts: DataFrame, limit: int = TOP_PORTS) -> DataFrame:
-    return (
-        alerts.filter(F.col("destinationPort").isNotNull())
-        .groupBy("destinationPort")
-        .agg(_count())
-        .orderBy(F.desc("alert_count"), F.asc("destinationPort"))
-        .limit(limit)
-    )
+top_source_ips = REPORTS["top_source_ips"]
+alerts_per_device = REPORTS["alerts_per_device"]
+severity_distribution = REPORTS["severity_distribution"]
+type_distribution = REPORTS["type_distribution"]
+daily_trend = REPORTS["daily_trend"]
+top_destination_ports = REPORTS["top_destination_ports"]
 
 
 def total_alerts(alerts: DataFrame) -> DataFrame:
@@ -92,17 +116,6 @@ def total_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.agg(F.count(F.lit(1)).alias("total_alerts"))
 
 
-# Report registry, in the order the report job writes them.
-REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "top_source_ips": top_source_ips,
-    "alerts_per_device": alerts_per_device,
-    "severity_distribution": severity_distribution,
-    "type_distribution": type_distribution,
-    "daily_trend": daily_trend,
-    "top_destination_ports": top_destination_ports,
-}
-
-
 def in_date_range(alerts: DataFrame, since=None, until=None) -> DataFrame:
     """Restrict to partitions ``since <= dt <= until`` (either end optional).
 
@@ -116,50 +129,9 @@ def in_date_range(alerts: DataFrame, since=None, until=None) -> DataFrame:
     return alerts
 
 
-# The same reports as SQL text over a registered view (``{view}``), for
-# users who keep reports as named SQL. Ties at the cut are broken by key.
-_RANK_SQL = (
-    "MAX(CASE severity WHEN 'CRITICAL' THEN 4 WHEN 'HIGH' THEN 3 "
-    "WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END)"
-)
-REPORT_SQL: dict[str, str] = {
-    "top_source_ips": (
-        "SELECT sourceIp, COUNT(*) AS alert_count, "
-        "COUNT(DISTINCT destinationIp) AS distinct_targets, "
-        "COUNT(DISTINCT destinationPort) AS distinct_ports, "
-        f"{_RANK_SQL} AS max_severity_rank "
-        "FROM {view} WHERE sourceIp IS NOT NULL "
-        f"GROUP BY sourceIp ORDER BY alert_count DESC, sourceIp LIMIT {TOP_SOURCES}"
-    ),
-    "alerts_per_device": (
-        "SELECT deviceId, COUNT(*) AS alert_count, COUNT(DISTINCT sourceIp) AS distinct_sources "
-        "FROM {view} GROUP BY deviceId ORDER BY alert_count DESC, deviceId"
-    ),
-    "severity_distribution": (
-        f"SELECT COALESCE(severity, '{UNKNOWN}') AS severity, COUNT(*) AS alert_count "
-        "FROM {view} "
-        f"GROUP BY COALESCE(severity, '{UNKNOWN}') ORDER BY alert_count DESC, severity"
-    ),
-    "type_distribution": (
-        f"SELECT COALESCE(type, '{UNKNOWN}') AS type, COUNT(*) AS alert_count "
-        "FROM {view} "
-        f"GROUP BY COALESCE(type, '{UNKNOWN}') ORDER BY alert_count DESC, type"
-    ),
-    "daily_trend": (
-        "SELECT dt, COUNT(*) AS alert_count, COUNT(DISTINCT sourceIp) AS distinct_sources, "
-        "COUNT(DISTINCT deviceId) AS active_devices FROM {view} GROUP BY dt ORDER BY dt"
-    ),
-    "top_destination_ports": (
-        "SELECT destinationPort, COUNT(*) AS alert_count "
-        "FROM {view} WHERE destinationPort IS NOT NULL "
-        f"GROUP BY destinationPort ORDER BY alert_count DESC, destinationPort LIMIT {TOP_PORTS}"
-    ),
-}
-
-
 def sql_report(
     spark: SparkSession, alerts: DataFrame, name: str, view: str = "alerts"
 ) -> DataFrame:
-    """Register ``alerts`` as a temp view and run the named report's SQL text."""
+    """Register ``alerts`` as a temp view and run the named report as SQL over it."""
     alerts.createOrReplaceTempView(view)
-    return spark.sql(REPORT_SQL[name].replace("{view}", view))
+    return spark.sql(DEFINITIONS[name].sql(view))

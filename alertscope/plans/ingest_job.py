@@ -1,7 +1,8 @@
 """Incremental alert ingest: page bodies → new alerts → topic → advanced mark.
 
-One poll is set-at-a-time: the batch is unnested, tested against the mark
-taken at batch start, published as one write, and only then is the next
+A batch is worked set-at-a-time: it is unnested, each page is tested against
+the mark that the pages before it leave, the new alerts are published as one
+write, and only then is the next
 mark written. A failed publish fails the batch, so the mark never moves
 past alerts that were not delivered; a crash between publish and mark
 write re-sends that batch (at-least-once, never loss).
@@ -28,45 +29,62 @@ from pyspark.sql.streaming import StreamingQuery
 from alertscope.operators.incremental import (
     cursor_fields,
     empty_mark,
+    new_over_pages,
     new_since_mark,
     next_mark,
     timestamp_only as ts_only_mark,
 )
-from alertscope.session import checkpoint_root
+from alertscope.session import checkpoint_root, delete_path, scratch_path
 from alertscope.sources.pages import unnest_pages
 
 
+MARK_SLOTS = 2
+STORED_SCHEMA = "mark_ts timestamp, mark_id string, version long"
+
+
 def load_new(batch: DataFrame, mark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(new rows, next mark)`` for one poll batch with cursor fields."""
-    new = new_since_mark(batch, mark)
+    """``(new rows, next mark)`` for rows with cursor fields: page after page if they
+    have a ``page_seq``, else as one poll."""
+    paged = "page_seq" in batch.columns
+    new = new_over_pages(batch, mark) if paged else new_since_mark(batch, mark)
     return new, next_mark(new, mark)
 
 
-def mark_version(spark: SparkSession, path: str) -> int:
-    """Highest stored mark version, or -1 when there is none."""
+def _slot(spark: SparkSession, path: str, slot: int) -> tuple[int, DataFrame] | None:
+    """Version and rows of one slot, read whole; None when missing or unreadable."""
     try:
-        latest = spark.read.parquet(path).select(F.max("version")).first()[0]
+        stored = spark.read.schema(STORED_SCHEMA).parquet(f"{path}/slot={slot}")
+        version = stored.select(F.max("version")).first()[0]
+        if version is None:
+            return None
+        rows = stored.filter(F.col("version") == version).select("mark_ts", "mark_id")
+        return int(version), rows.checkpoint()
     except AnalysisException:
-        return -1
-    return -1 if latest is None else int(latest)
+        return None
+    except Exception as exc:  # a damaged file: the other slot may still be good
+        print(f"[alertscope] unreadable mark slot {slot} at {path}: {exc}")
+        return None
+
+
+def stored_mark(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
+    """``(version, mark)`` of the newest readable slot; version -1 and an empty mark
+    when there is none."""
+    checkpoint_root(spark)
+    found = [s for s in (_slot(spark, path, k) for k in range(MARK_SLOTS)) if s is not None]
+    return max(found, key=lambda s: s[0]) if found else (-1, empty_mark(spark))
+
+
+def mark_version(spark: SparkSession, path: str) -> int:
+    """Highest readable mark version, or -1 when there is none."""
+    return stored_mark(spark, path)[0]
 
 
 def read_mark(spark: SparkSession, path: str, timestamp_only: bool = False) -> DataFrame:
-    """Latest stored mark; a missing or unreadable store means "no mark"."""
-    try:
-        stored = spark.read.parquet(path)
-        latest = stored.select(F.max("version")).scalar()
-        mark = stored.filter(F.col("version") == latest).select("mark_ts", "mark_id")
-        mark = mark.checkpoint()
-    except AnalysisException:
-        return empty_mark(spark)
-    except Exception as exc:  # corrupt store: start without a mark, as the cursor file does
-        print(f"[alertscope] unreadable mark at {path}: {exc}")
-        return empty_mark(spark)
+    """Newest readable mark; a missing or unreadable store means "no mark"."""
+    mark = stored_mark(spark, path)[1]
     return ts_only_mark(mark) if timestamp_only else mark
 
 
-MARK_SLOTS = 2
 
 
 def write_mark(mark: DataFrame, path: str, version: int) -> None:
@@ -91,19 +109,29 @@ def poll_once(
     mark_path: str,
     publish: Callable[[DataFrame], None],
 ) -> int:
-    """One poll over a batch of page bodies; returns the number of new alerts."""
-    checkpoint_root(spark)
-    version = mark_version(spark, mark_path) + 1
-    raw = cursor_fields(unnest_pages(pages)).checkpoint()
-    mark = read_mark(spark, mark_path)
-    new, nxt = load_new(raw, mark)
-    new = new.checkpoint()
-    publish(new)
+    """Poll a batch of page bodies; returns the number of new alerts.
+
+    With a ``page_seq`` column the pages are polled in its order, each against the
+    mark that the pages before it leave; without one the batch is a single poll.
+    Rows pass through Parquet in a folder of the poll's own, deleted at its end.
+    """
+    version, mark = stored_mark(spark, mark_path)
+    folder = scratch_path(spark, "poll")
     try:
-        write_mark(nxt, mark_path, version)
-    except Exception as exc:  # the next poll re-reads the old mark: re-send, never loss
-        print(f"[alertscope] could not persist mark to {mark_path}: {exc}")
-    return new.count()
+        rows = cursor_fields(unnest_pages(pages)).drop("alert")
+        rows.write.parquet(f"{folder}/raw")
+        raw = spark.read.schema(rows.schema).parquet(f"{folder}/raw")
+        new, nxt = load_new(raw, mark)
+        new.write.parquet(f"{folder}/new")
+        new = spark.read.schema(new.schema).parquet(f"{folder}/new")
+        publish(new)
+        try:
+            write_mark(nxt, mark_path, version + 1)
+        except Exception as exc:  # the next poll re-reads the old mark: re-send, never loss
+            print(f"[alertscope] could not persist mark to {mark_path}: {exc}")
+        return new.count()
+    finally:
+        delete_path(spark, folder)
 
 
 def start_poller(

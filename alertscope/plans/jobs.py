@@ -11,6 +11,7 @@ import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from alertscope import session as S
 from alertscope.operators.parse import parse_events
@@ -97,9 +98,12 @@ def start_ingest(spark: SparkSession, publish=None, trigger: dict | None = None)
     """Poll landed page bodies (one file per fetched page, ``PAGES_PATH``)
     against the mark store and publish new alerts to the alerts topic."""
     root = S.checkpoint_root(spark)
-    pages = spark.readStream.text(
+    landed = spark.readStream.option("maxFilesPerTrigger", str(S.int_param("PAGES_PER_TRIGGER", 1000, 1))).text(
         S.param("PAGES_PATH", f"{root}/pages"), wholetext=True
-    ).withColumnRenamed("value", "body")
+    )
+    # pages are polled in the order in which they landed
+    seq = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    pages = landed.select(F.col("value").alias("body"), seq.alias("page_seq"))
     if publish is None:
         servers = S.param("KAFKA_BOOTSTRAP", S.DEFAULT_BOOTSTRAP)
         topic = S.param("ALERTS_TOPIC", S.DEFAULT_ALERTS_TOPIC)
@@ -125,6 +129,10 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 def main(argv: list[str]) -> int:
     job = argv[1] if len(argv) > 1 else ""
     spark = S.session(f"alertscope-{job or 'job'}")
+    # the state's partitions are fixed when a checkpoint is made
+    partitions = S.int_param("STATE_PARTITIONS", 0, 0)
+    if partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     key = "spark.sql.streaming.stateStore.providerClass"
     if job == "detector" and not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, S.param("STATE_STORE_PROVIDER", ROCKSDB_PROVIDER))
@@ -134,7 +142,8 @@ def main(argv: list[str]) -> int:
             servers=S.param("KAFKA_BOOTSTRAP", S.DEFAULT_BOOTSTRAP),
             topic=S.param("ALERTS_TOPIC", S.DEFAULT_ALERTS_TOPIC),
             min_partitions=S.int_param("KAFKA_MIN_PARTITIONS", 0, 0) or None,
-            max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", 0, 0) or None,
+            max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", S.DEFAULT_MAX_OFFSETS, 1),
+            group_id=S.param("KAFKA_GROUP_ID", S.DEFAULT_GROUP_ID) if job == "detector" else None,
         )
         root = S.checkpoint_root(spark)
         q = start_lake(
@@ -165,7 +174,8 @@ def main(argv: list[str]) -> int:
             servers=p.bootstrap,
             topic=p.alerts_topic,
             min_partitions=S.int_param("KAFKA_MIN_PARTITIONS", 0, 0) or None,
-            max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", 0, 0) or None,
+            max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", S.DEFAULT_MAX_OFFSETS, 1),
+            group_id=S.param("KAFKA_GROUP_ID", S.DEFAULT_GROUP_ID) if job == "detector" else None,
         )
         run_detector(spark, messages, p).awaitTermination()
     else:

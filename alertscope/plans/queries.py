@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 from alertscope.functions.time import ISO_MICROS_FORMAT
 from alertscope.operators import reports as R
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
-from alertscope.operators.incremental import cursor_fields, empty_mark, new_since_mark, next_mark
+from alertscope.operators.incremental import (
+    cursor_fields,
+    empty_mark,
+    new_over_pages,
+    new_since_mark,
+    next_mark,
+)
 from alertscope.operators.parse import detector_events, parse_alerts
 from alertscope.plans.ingest_job import read_mark, write_mark
 from alertscope.plans.lake_job import read_lake, start_lake
 from alertscope.plans.report_job import run_reports
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA, LAKE_SCHEMA
-from alertscope.session import checkpoint_root, ensure_utc, scratch_path
+from alertscope.session import ensure_utc, scratch_path
 from alertscope.sources.events import (
+    alert_json,
     load_alerts,
     messages_from_alerts,
     messages_from_events,
@@ -31,6 +38,7 @@ from alertscope.sources.events import (
 )
 from alertscope.sources.pages import latest, unnest_pages
 from alertscope.streaming.event_time import table_stream
+from alertscope.streaming.processing_time import run_processing_time_once
 
 # Detector parameters for the test tables. At 60 s no
 # (source, window) reaches 3 alerts in ``events``, so a 1-day window is used.
@@ -106,7 +114,7 @@ def total_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """alerts → topic messages (JSON) → typed lake rows."""
-    lake = parse_alerts(messages_from_alerts(load_alerts(spark, sf_dir, spread=True)))
+    lake = parse_alerts(messages_from_alerts(load_alerts(spark, sf_dir)))
     return lake.select(
         *ALERT_FIELDS,
         _iso("kafka_ts").alias("kafka_ts"),
@@ -116,7 +124,7 @@ def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detector_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detector_events(messages_from_alerts(load_alerts(spark, sf_dir, spread=True)))
+    return detector_events(messages_from_alerts(load_alerts(spark, sf_dir)))
 
 
 def detector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,12 +202,13 @@ def latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = pages_from_alerts(load_alerts(spark, sf_dir, spread=True))
-    return cursor_fields(unnest_pages(pages))
+    """The poll's raw alerts straight from message text: narrow, no pages."""
+    texts = load_alerts(spark, sf_dir).select(alert_json().alias("json"))
+    return cursor_fields(texts.select("json", F.try_parse_json("json").alias("alert")))
 
 
 def page_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw_alerts(spark, sf_dir)
+    raw = unnest_pages(pages_from_alerts(load_alerts(spark, sf_dir)))
     return raw.select(F.from_json("json", ALERT_SCHEMA).alias("a")).select("a.*")
 
 
@@ -209,14 +218,12 @@ def publish_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _poll_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The unnested poll batch, materialized once in the checkpoint folder.
-
-    The mark computations read it several times (scalar subqueries, the
-    anti join); a reliable checkpoint cuts the lineage so each read is a
-    scan of the written batch, not a rebuild of the pages.
-    """
-    checkpoint_root(spark)
-    return _raw_alerts(spark, sf_dir).select("cursor_ts", "cursor_id", "publish_key").checkpoint()
+    """The poll batch's cursor columns, written once and read back: the mark
+    computations read it several times, each a pruned scan."""
+    path = scratch_path(spark, "poll-batch")
+    rows = _raw_alerts(spark, sf_dir).select("cursor_ts", "cursor_id")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _first_poll_mark(spark: SparkSession, raw: DataFrame) -> DataFrame:
@@ -240,6 +247,30 @@ def next_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nxt.select(_iso("mark_ts").alias("mark_ts"), "mark_id")
 
 
+def new_since_mark_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping pages in one batch: page p holds the alerts of hours p and p + 1,
+    so every alert but the last hour's is on two pages, and is published once."""
+    base = _raw_alerts(spark, sf_dir).select("cursor_ts", "cursor_id")
+    hour = F.floor(F.unix_seconds("cursor_ts") / 3600)
+    rows = base.withColumn("page_seq", F.explode(F.array(hour - 1, hour)))
+    path = scratch_path(spark, "poll-pages")
+    rows.write.parquet(path)
+    batch = spark.read.schema(rows.schema).parquet(path)
+    new = new_over_pages(batch, empty_mark(spark))
+    return new.select(F.col("cursor_id").alias("alertId"), _iso("cursor_ts").alias("cursor_ts"))
+
+
+def source_anomalies_processing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detector in its default mode: ``events`` as one micro-batch, so one
+    processing-time window; the wall-clock columns are left out."""
+    stream = table_stream(spark, sf_dir, "events.parquet", max_files=1_000_000)
+    events = detector_events(messages_from_events(stream)).drop("event_ts")
+    out = run_processing_time_once(
+        events, DETECT_WINDOW_SECONDS, DETECT_THRESHOLD, scratch_path(spark, "detector-processing")
+    )
+    return _flat(out).drop("windowStart", "windowEnd")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -295,7 +326,7 @@ def new_since_stored_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _report(name) for name in R.REPORTS},
-    **{f"sql_{name}": _sql_report(name) for name in R.REPORT_SQL},
+    **{f"sql_{name}": _sql_report(name) for name in R.REPORTS},
     "total_alerts": total_alerts,
     "lake_parse": lake_parse,
     "lake_roundtrip": lake_roundtrip,
@@ -305,6 +336,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_anomalies_6h": source_anomalies_6h,
     "anomaly_json": anomaly_json,
     "source_anomalies_stream": source_anomalies_stream,
+    "source_anomalies_processing": source_anomalies_processing,
+    "new_since_mark_pages": new_since_mark_pages,
     "latest_alerts": latest_alerts,
     "page_unnest": page_unnest,
     "publish_key": publish_keys,

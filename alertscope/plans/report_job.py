@@ -4,22 +4,37 @@ Reports run in registry order, each as its own query: every one reads
 only the columns it needs (Parquet column pruning), so six pruned scans
 cost far less than one full-width cached copy of a large lake. A failure
 in one report is recorded and the rest still run. An empty lake (or
-date range) skips all reports; the check reads at most one row.
+date range) skips all reports, and so does a lake whose files do not open.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from alertscope.operators.reports import REPORTS, in_date_range
 from alertscope.plans.lake_job import read_lake
+from alertscope.session import delete_path, scratch_path
 
 
-# Reports whose size grows with the data (one row per device) are written
-# by many tasks as key-ordered part files; the bounded ones as one file.
-GROWING_REPORTS = frozenset({"alerts_per_device"})
+# Reports whose size grows with the data (devices, and the free text of severity
+# and type) are written by many tasks as key-ordered part files; the bounded
+# ones as one file.
+GROWING_REPORTS = frozenset({"alerts_per_device", "severity_distribution", "type_distribution"})
+# The columns that the reports read.
+REPORT_COLUMNS = ("sourceIp", "destinationIp", "destinationPort", "severity", "deviceId", "type", "dt")
+
+
+def one_per_alert(alerts: DataFrame) -> DataFrame:
+    """The earliest copy of each ``alertId`` by broker time, then by its fields."""
+    rest = [c for c in REPORT_COLUMNS if c in alerts.columns]
+    order = [c for c in ("kafka_ts", "event_ts") if c in alerts.columns] + rest
+    first = Window.partitionBy("alertId").orderBy(*[F.asc_nulls_first(c) for c in order])
+    return alerts.select("alertId", *dict.fromkeys(order)).withColumn("_n", F.row_number().over(first)).filter(
+        "_n = 1"
+    ).select(*rest)
 
 
 def write_report(report: DataFrame, path: str, single_file: bool = True) -> None:
@@ -48,10 +63,9 @@ def run_reports(
     """Write every report; returns ``{name: "ok" | "failed: …" | "skipped: …"}``.
 
     ``dedupe=True`` counts each ``alertId`` once (re-sent alerts otherwise
-    count again, as at-least-once delivery implies). Each report then adds
-    one shuffle keyed by the id — spread evenly whatever the report key, and
-    carrying only the id plus that report's 1–4 columns — instead of writing
-    a full-width deduplicated copy of the lake.
+    count again, as at-least-once delivery implies): the copies are sorted out
+    once, the report columns of the earliest copies are written to a scratch
+    folder that all reports read, and the folder is deleted at the end.
     Reports are submitted ``parallel`` at a time (default: all six) as
     independent jobs sharing the executors, so their small final stages
     overlap; ``parallel=1`` runs them one after another.
@@ -60,12 +74,20 @@ def run_reports(
     if alerts is None:
         return {name: "skipped: no readable input" for name in REPORTS}
     alerts = in_date_range(alerts, since, until)
-    # Checked before any dedupe: emptiness does not change, and a limit over
-    # the dedupe would run its whole shuffle just to find one row.
-    if alerts.isEmpty():
+    try:
+        total = alerts.count()
+    except Exception as exc:  # files that do not open: no input, as when there are none
+        print(f"[alertscope] unreadable lake: {exc}")
+        return {name: "skipped: no readable input" for name in REPORTS}
+    print(f"[alertscope] {total} alerts to report on")
+    if not total:
         return {name: "skipped: no alerts" for name in REPORTS}
+    scratch = None
     if dedupe:
-        alerts = alerts.dropDuplicates(["alertId"])
+        scratch = scratch_path(spark, "report-dedupe")
+        once = one_per_alert(alerts)
+        once.write.parquet(scratch)
+        alerts = spark.read.schema(once.schema).parquet(scratch)
     single_file = single_file or {}
 
     def one(name: str) -> str:
@@ -76,7 +98,11 @@ def run_reports(
         except Exception as exc:  # one failed report must not stop the others
             return f"failed: {type(exc).__name__}: {exc}"
 
-    if parallel > 1:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            return dict(zip(REPORTS, pool.map(one, REPORTS)))
-    return {name: one(name) for name in REPORTS}
+    try:
+        if parallel > 1:
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                return dict(zip(REPORTS, pool.map(one, REPORTS)))
+        return {name: one(name) for name in REPORTS}
+    finally:
+        if scratch:
+            delete_path(spark, scratch)

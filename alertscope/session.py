@@ -19,6 +19,10 @@ DEFAULT_PAGE_SIZE = 200
 DEFAULT_ALERTS_TOPIC = "ids.alerts"
 DEFAULT_ANOMALIES_TOPIC = "traffic-anomalies"
 DEFAULT_BOOTSTRAP = "localhost:9092"
+DEFAULT_GROUP_ID = "anomaly-detector"
+DEFAULT_REGION = "eu-central-1"
+#: Messages in one micro-batch of a topic job, so that a first run goes in steps.
+DEFAULT_MAX_OFFSETS = 5_000_000
 
 
 def param(key: str, default: str) -> str:
@@ -51,12 +55,12 @@ def session(app: str = "alertscope", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
         # remove reliable-checkpoint files once their DataFrame is gone
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
-    region = os.environ.get("AWS_REGION", "").strip()
-    if region:  # object-store region for s3a:// lake and checkpoint paths
-        settings["spark.hadoop.fs.s3a.endpoint.region"] = region
+    # object-store region for s3a:// lake and checkpoint paths
+    settings["spark.hadoop.fs.s3a.endpoint.region"] = param("AWS_REGION", DEFAULT_REGION)
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -93,6 +97,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever Spark's file systems reach; a missing one is fine."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the checkpoint root for one run of ``name``."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -65,32 +65,11 @@ def alerts_from_events(events: DataFrame) -> DataFrame:
     return events.select(*[cols[c].alias(c) for c in LAKE_COLUMNS])
 
 
-def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Spread a static frame over at least ``minimum`` partitions (default:
-    the cluster's default parallelism) when its scan yields fewer.
-
-    For CPU-heavy per-row work (JSON text in and out) ahead of the first
-    shuffle: a small table stored as one row group is read by one task.
-    On a large input the scan already has more splits than cores and this
-    is a no-op; the round-robin repartition is deterministic, so a retried
-    task sees the same rows.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        target = minimum or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of this session (e.g. a remote client): leave as is
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
-def load_alerts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
-    return alerts_from_events(ensure_parallelism(events) if spread else events)
+def load_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts_from_events(read_table(spark, sf_dir, "events"))
 
 
-def alert_json(alerts: DataFrame) -> F.Column:
+def alert_json() -> F.Column:
     """JSON text of the 16 message fields of an alert row (nulls omitted)."""
     return F.to_json(F.struct(*[F.col(c) for c in ALERT_FIELDS]))
 
@@ -106,7 +85,7 @@ def messages_from_alerts(alerts: DataFrame, topic: str = "ids.alerts") -> DataFr
     aid = F.col("alertId").cast("long")
     return alerts.select(
         F.col("deviceId").cast("binary").alias("key"),
-        alert_json(alerts).cast("binary").alias("value"),
+        alert_json().cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         (F.coalesce(aid, F.lit(0)) % 3).cast("int").alias("partition"),
         F.coalesce(aid, F.lit(0)).alias("offset"),
@@ -131,7 +110,7 @@ def pages_from_alerts(alerts: DataFrame, page_size: int = 200) -> DataFrame:
         F.col("alertId").cast("long"), F.raise_error(F.lit("pages are cut by numeric alertId"))
     )
     page = F.floor(seq / F.lit(page_size))
-    item = F.struct(seq.alias("o"), alert_json(alerts).alias("j"))
+    item = F.struct(seq.alias("o"), alert_json().alias("j"))
     grouped = alerts.groupBy(page.alias("page_no")).agg(F.collect_list(item).alias("items"))
     content = F.array_join(
         F.transform(F.array_sort("items"), lambda s: s["j"]), ","
@@ -145,7 +124,6 @@ __all__ = [
     "ALERT_SCHEMA",
     "alert_json",
     "alerts_from_events",
-    "ensure_parallelism",
     "load_alerts",
     "messages_from_alerts",
     "messages_from_events",

@@ -21,6 +21,7 @@ def source_options(
     fail_on_data_loss: bool = False,
     min_partitions: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    group_id: str | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Reader options: subscribe one topic from the earliest offset.
@@ -43,6 +44,8 @@ def source_options(
         opts["minPartitions"] = str(int(min_partitions))
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if group_id:
+        opts["kafka.group.id"] = group_id
     opts.update(extra)
     return opts
 
@@ -55,8 +58,15 @@ def read_topic_stream(spark: SparkSession, **kwargs: str) -> DataFrame:
 
 
 def producer_options(servers: str = DEFAULT_BOOTSTRAP, **extra: str) -> dict[str, str]:
-    """Writer options for keyed alert publishing: acks=all, 3 retries."""
-    opts = {"kafka.bootstrap.servers": servers, "kafka.acks": "all", "kafka.retries": "3"}
+    """Writer options for keyed alert publishing: acks=all, 3 retries, 10 s to deliver."""
+    opts = {
+        "kafka.bootstrap.servers": servers,
+        "kafka.acks": "all",
+        "kafka.retries": "3",
+        "kafka.delivery.timeout.ms": "10000",
+        "kafka.request.timeout.ms": "5000",
+        "kafka.linger.ms": "0",
+    }
     opts.update(extra)
     return opts
 

@@ -12,25 +12,33 @@ from pyspark.sql import functions as F
 from alertscope.operators.parse import emit_if
 from alertscope.session import DEFAULT_PAGE_SIZE
 
-# The envelope, with each content element kept as its JSON text.
-_PAGE_SCHEMA = "data struct<content: array<string>>"
+# The envelope, with each content element as its text and as a typed value.
+_TEXT_SCHEMA = "data struct<content: array<string>>"
+_VALUE_SCHEMA = "data struct<content: array<variant>>"
 
 
 def unnest_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
     """Page bodies ``{"data":{"content":[…]}}`` → one row per object element.
 
     A body that is not JSON, has no ``data`` object or no ``content``
-    array gives zero rows (not an error); elements that are not objects
-    are skipped. ``content`` is read as an array of element texts, so each
-    alert keeps its own text (``json``, in the source's key order, as it is
-    published) and is parsed on its own into ``alert`` (a variant: unknown
-    fields pass through) — one malformed element affects only itself.
+    array gives zero rows (not an error); elements that are not objects,
+    text that looks like one included, are skipped. Each alert keeps its own
+    text (``json``, in the source's key order, as it is published) beside the
+    value read from it (``alert``, a variant: unknown fields pass through); of
+    a key given twice in an alert the last value counts. Other columns of
+    ``pages`` are carried.
     """
-    content = F.from_json(F.col(body_col), _PAGE_SCHEMA)["data"]["content"]
-    items = pages.select(F.explode(content).alias("json"))
-    parsed = items.select("json", F.try_parse_json("json").alias("alert"))
+    # a setting of the JSON reader: a repeated key keeps its last value
+    pages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    body = F.col(body_col)
+    pairs = F.arrays_zip(
+        F.from_json(body, _TEXT_SCHEMA)["data"]["content"].alias("json"),
+        F.from_json(body, _VALUE_SCHEMA)["data"]["content"].alias("alert"),
+    )
+    carried = [c for c in pages.columns if c != body_col]
+    items = pages.select(*carried, F.explode(pairs).alias("_p")).select(*carried, "_p.json", "_p.alert")
     is_object = F.schema_of_variant("alert").startswith("OBJECT")
-    return emit_if(parsed, is_object, F.struct("alert", "json"))
+    return emit_if(items, is_object, F.struct(*carried, "alert", "json"))
 
 
 def latest(alerts: DataFrame, n: int = DEFAULT_PAGE_SIZE, ts_col: str = "event_ts",

@@ -17,7 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.parse import detector_events
 from alertscope.session import scratch_path
-from alertscope.sources.events import ensure_parallelism, messages_from_events
+from alertscope.sources.events import messages_from_events
+
+#: Files in one micro-batch, so that a first run over a large table goes in steps.
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def detector_stream(
@@ -59,25 +62,18 @@ def start_detector(
     return writer.start()
 
 
-def table_stream(spark: SparkSession, table_dir: str, file_name: str) -> DataFrame:
-    """A file stream over the Parquet files named ``file_name`` in ``table_dir``.
-
-    When the files present at start split into fewer tasks than the default
-    parallelism (a small table stored as one row group), the stream is
-    spread round-robin so the per-row JSON work uses every core; a large or
-    many-file input gets no extra shuffle.
-    """
+def table_stream(
+    spark: SparkSession, table_dir: str, file_name: str, max_files: int = MAX_FILES_PER_TRIGGER
+) -> DataFrame:
+    """A file stream over the Parquet files named ``file_name`` in ``table_dir``,
+    at most ``max_files`` of them in a micro-batch."""
     path = f"{table_dir.rstrip('/')}/{file_name}"
-    static = spark.read.parquet(path)
-    stream = (
-        spark.readStream.schema(static.schema)
+    return (
+        spark.readStream.schema(spark.read.parquet(path).schema)
         .option("pathGlobFilter", file_name)
+        .option("maxFilesPerTrigger", str(int(max_files)))
         .parquet(table_dir)
     )
-    spread = ensure_parallelism(static)
-    if spread is not static:
-        stream = stream.repartition(spark.sparkContext.defaultParallelism)
-    return stream
 
 
 @contextmanager

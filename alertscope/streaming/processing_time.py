@@ -1,237 +1,103 @@
 """Processing-time tumbling windows that close on a timer, even when idle.
 
-A native streaming aggregate only closes a window when later data moves
-the watermark, so a quiet source would never be reported. This mode keeps
-per-key state with ``applyInPandasWithState`` and a processing-time
-timeout set to the window end, so the window is flushed at its end like a
-timer would do.
-
-Scale:
-
-* Keys are ``(sourceIp, salt)`` with ``salt = hash(arrival id) % salts``,
-  so one hot source is spread over ``salts`` groups and tasks.
-* State is a partial aggregate — count, two severity flags and the
-  distinct devices / types with their first arrival — never raw alerts.
-  Pandas chunks of a group are folded one at a time.
-* All salts of one (source, window) share the same timeout (the window
-  end), so their partials are emitted in the same micro-batch: the first
-  one whose batch time passes the window end. ``foreachBatch`` merges them
-  with an ordinary batch aggregate and applies the threshold, which is
-  exact.
-
-A row's window is the processing time of the micro-batch that reads it,
-as a timer-driven window assigner would give; a replayed old alert counts
-in the window in which it is read.
+A native streaming aggregate only closes a window when later data moves the
+watermark, so a quiet source would never be reported. Here each micro-batch is
+reduced to the same level-1 partial aggregate as the other modes, with the
+batch's clock as its window, and written below a store folder that all
+executors share, as ``window=<start ms>/batch=<id>``. The first batch whose
+clock is at or past a window's end reads that window's partials, merges them
+and emits the anomalies.
+
+* There is no Python and no per-key state: a batch is one aggregate, and a window
+  is read once, when it closes.
+* A batch that is run again after a failure has the clock that the stream's log
+  recorded, overwrites its own partials, and closes the same windows again: a
+  window is marked with the batch that closed it before it is emitted, and is
+  only deleted by a later batch, which starts after that one was committed. The
+  sink gets the batch id to make its own write idempotent.
+* A heartbeat source lets a batch, and so the closing, run on every trigger.
+
+A row's window is the processing time of the micro-batch that reads it; a
+replayed old alert counts in the window in which it is read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from alertscope.functions.severity import ESCALATE_MID, ESCALATE_TOP, escalate_flags
-from alertscope.operators.detect import anomaly_rows, ordered_distinct
-
-# Columns the stateful step reads: key, window bounds (ms), arrival order.
-PARTIAL_SCHEMA = (
-    "sourceIp string, salt int, win_start long, win_end long, n long, top boolean, mid boolean, "
-    "dev_ids array<string>, dev_o1 array<long>, dev_o2 array<long>, dev_o3 array<long>, "
-    "typ_ids array<string>, typ_o1 array<long>, typ_o2 array<long>, typ_o3 array<long>"
-)
-STATE_SCHEMA = (
-    "win_start long, win_end long, n long, top boolean, mid boolean, "
-    "dev_ids array<string>, dev_o1 array<long>, dev_o2 array<long>, dev_o3 array<long>, "
-    "typ_ids array<string>, typ_o1 array<long>, typ_o2 array<long>, typ_o3 array<long>"
-)
-_ORDER = ["o1", "o2", "o3"]
-_PARTIAL_NAMES = [f.split(" ")[0] for f in PARTIAL_SCHEMA.split(", ")]
-
-
-def _empty_firsts() -> pd.DataFrame:
-    return pd.DataFrame(
-        {"v": pd.Series(dtype=object), **{o: pd.Series(dtype="int64") for o in _ORDER}}
-    )
 
+from alertscope.operators.detect import anomaly_partials, anomaly_rows, arrival_order, merge_partials
 
-def _firsts(pdf: pd.DataFrame, col: str) -> pd.DataFrame:
-    """Distinct non-blank values of ``col`` with their earliest arrival order."""
-    sub = pdf.loc[pdf[col] != "", [col, *_ORDER]]
-    if sub.empty:
-        return _empty_firsts()
-    sub = sub.sort_values(_ORDER, kind="stable").drop_duplicates(col, keep="first")
-    return sub.rename(columns={col: "v"})[["v", *_ORDER]]
-
-
-def _merge_firsts(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-    both = pd.concat([old, new], ignore_index=True)
-    return both.sort_values(_ORDER, kind="stable").drop_duplicates("v", keep="first")
-
-
-class _Partial:
-    """Mutable fold of one (source, salt, window)."""
-
-    def __init__(self, win_start: int, win_end: int) -> None:
-        self.win_start, self.win_end = int(win_start), int(win_end)
-        self.n, self.top, self.mid = 0, False, False
-        self.dev, self.typ = _empty_firsts(), _empty_firsts()
-
-    @classmethod
-    def from_state(cls, s: tuple) -> "_Partial":
-        p = cls(s[0], s[1])
-        p.n, p.top, p.mid = int(s[2]), bool(s[3]), bool(s[4])
-        p.dev = cls._frame(s[5:9])
-        p.typ = cls._frame(s[9:13])
-        return p
-
-    @staticmethod
-    def _frame(cols: tuple) -> pd.DataFrame:
-        values, o1, o2, o3 = (list(c) for c in cols)
-        return pd.DataFrame({"v": values, "o1": o1, "o2": o2, "o3": o3})
-
-    def fold(self, pdf: pd.DataFrame) -> None:
-        self.n += len(pdf)
-        sev = pdf["sev_norm"]
-        self.top = self.top or bool(sev.isin(list(ESCALATE_TOP)).any())
-        self.mid = self.mid or bool((sev == ESCALATE_MID).any())
-        self.dev = _merge_firsts(self.dev, _firsts(pdf, "deviceId"))
-        self.typ = _merge_firsts(self.typ, _firsts(pdf, "type"))
-
-    def as_tuple(self) -> tuple:
-        def cols(df: pd.DataFrame) -> list:
-            return [list(df["v"]), *[[int(x) for x in df[o]] for o in _ORDER]]
-
-        head = (self.win_start, self.win_end, self.n, self.top, self.mid)
-        return (*head, *cols(self.dev), *cols(self.typ))
-
-
-def _step(
-    key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    source_ip, salt = key
-
-    def emit(p: _Partial) -> pd.DataFrame:
-        return pd.DataFrame([(source_ip, int(salt), *p.as_tuple())], columns=_PARTIAL_NAMES)
-
-    if state.hasTimedOut:
-        if state.exists:
-            yield emit(_Partial.from_state(state.get))
-        state.remove()
-        return
-    cur = _Partial.from_state(state.get) if state.exists else None
-    for pdf in chunks:
-        for (ws, we), part in pdf.groupby(["win_start", "win_end"], sort=True):
-            if cur is not None and cur.win_start != ws:
-                yield emit(cur)  # the batch landed in a later window: flush the old one
-                cur = None
-            if cur is None:
-                cur = _Partial(ws, we)
-            cur.fold(part)
-    if cur is not None:
-        state.update(cur.as_tuple())
-        # A state times out when its timeout is strictly before the batch
-        # time; ending it 1 ms before the window end makes "timed out" the
-        # same test as "this batch is in a later window" (batch time >= end),
-        # which is when a salt with new data flushes. So every salt of a
-        # window surfaces in the same micro-batch.
-        now = state.getCurrentProcessingTimeMs()
-        state.setTimeoutDuration(max(cur.win_end - 1 - now, 1))
-
-
-def processing_time_partials(
-    events: DataFrame,
-    window_seconds: int,
-    salts: int = 16,
-    arrival: tuple[str, str, str] = ("kafka_ts", "partition", "offset"),
-) -> DataFrame:
-    """Detector events (streaming) → emitted per-(source, salt) window partials."""
-    w = F.window(F.current_timestamp(), f"{int(window_seconds)} seconds")
-    o1 = F.col(arrival[0])
-    if dict(events.dtypes).get(arrival[0]) == "timestamp":
-        o1 = F.unix_micros(o1)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in arrival]), F.lit(int(salts)))
-    keyed = events.select(
-        F.col("sourceIp"),
-        salt.cast("int").alias("salt"),
-        F.unix_millis(w.start).alias("win_start"),
-        F.unix_millis(w.end).alias("win_end"),
-        F.col("deviceId"),
-        F.col("type"),
-        F.upper(F.col("severity")).alias("sev_norm"),
-        o1.alias("o1"),
-        F.col(arrival[1]).cast("long").alias("o2"),
-        F.col(arrival[2]).cast("long").alias("o3"),
-    )
-    return keyed.groupBy("sourceIp", "salt").applyInPandasWithState(
-        _step,
-        outputStructType=PARTIAL_SCHEMA,
-        stateStructType=STATE_SCHEMA,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
-    )
+_CLOCK, _BEAT = "_clock", "_beat"
 
 
-def merge_processing_partials(partials: DataFrame, threshold: int) -> DataFrame:
-    """Batch merge of the partials emitted in one micro-batch → anomaly rows."""
-
-    def pairs(prefix: str, name: str) -> F.Column:
-        zipped = F.arrays_zip(
-            F.col(f"{prefix}_o1").alias("o1"),
-            F.col(f"{prefix}_o2").alias("o2"),
-            F.col(f"{prefix}_o3").alias("o3"),
-            F.col(f"{prefix}_ids").alias(name),
-        )
-        return F.transform(
-            zipped,
-            lambda s: F.struct(
-                F.struct(s["o1"], s["o2"], s["o3"]).alias("first"), s[name].alias(name)
-            ),
-        )
-
-    exploded_dev = F.flatten(F.collect_list(pairs("dev", "deviceId")))
-    exploded_typ = F.flatten(F.collect_list(pairs("typ", "type")))
-    merged = partials.groupBy("sourceIp", "win_start", "win_end").agg(
-        F.sum("n").alias("alertCount"),
-        ordered_distinct(exploded_dev, "deviceId").alias("deviceIds"),
-        ordered_distinct(exploded_typ, "type").alias("alertTypes"),
-        escalate_flags(F.bool_or("top"), F.bool_or("mid")).alias("severity"),
-    ).filter(F.col("alertCount") >= F.lit(int(threshold)))
-    window = F.struct(
-        F.timestamp_millis("win_start").alias("start"), F.timestamp_millis("win_end").alias("end")
-    )
-    windowed = merged.select(
-        window.alias("window"),
-        "sourceIp",
-        "alertCount",
-        "deviceIds",
-        "alertTypes",
-        "severity",
-    )
-    return anomaly_rows(windowed)
+class WindowStore:
+    """Partials of open windows in a shared folder."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        root = self._path(self.folder)
+        self._fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _names(self, kind: str) -> list[str]:
+        at = self._path(f"{self.folder}/{kind}")
+        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def put(self, partials: DataFrame, window_ms: int, batch_id: int) -> None:
+        partials.write.mode("overwrite").parquet(f"{self.folder}/open/{window_ms}/{batch_id}")
+
+    def drop_closed_before(self, batch_id: int) -> None:
+        """Delete windows that an earlier, and so committed, batch closed."""
+        for name in self._names("closed"):
+            window, closer = name.split("-")
+            if int(closer) < batch_id:
+                self._fs.delete(self._path(f"{self.folder}/open/{window}"), True)
+                self._fs.delete(self._path(f"{self.folder}/closed/{name}"), True)
+
+    def due(self, clock_ms: int, length_ms: int) -> list[int]:
+        """Starts of the windows that end at or before the clock."""
+        return sorted(int(n) for n in self._names("open") if int(n) + length_ms <= clock_ms)
+
+    def close(self, window_ms: int, batch_id: int) -> None:
+        self._fs.mkdirs(self._path(f"{self.folder}/closed/{window_ms}-{batch_id}"))
+
+    def read(self, windows: list[int], length_ms: int) -> DataFrame:
+        """The partials of windows, with their ``window`` column."""
+        paths = [f"{self.folder}/open/{w}/{b}" for w in windows for b in self._names(f"open/{w}")]
+        rows = self.spark.read.parquet(*paths)
+        start, end = F.timestamp_millis("window_ms"), F.timestamp_millis(F.col("window_ms") + length_ms)
+        return rows.withColumn("window", F.struct(start.alias("start"), end.alias("end"))).drop("window_ms")
+
+
+def batch_partials(events: DataFrame, window_ms: int) -> DataFrame:
+    """Level-1 partials of one batch, all of it in the window that starts at ``window_ms``."""
+    order = arrival_order("kafka_ts", "partition", "offset")
+    partials = anomaly_partials(events, F.lit(int(window_ms)).cast("long"), order)
+    return partials.withColumnRenamed("window", "window_ms")
+
+
+def closed_anomalies(store: WindowStore, windows: list[int], length_ms: int, threshold: int) -> DataFrame:
+    return anomaly_rows(merge_partials(store.read(windows, length_ms), threshold))
 
 
 def with_heartbeat(events: DataFrame, rows_per_second: int = 1) -> DataFrame:
-    """Union a built-in ``rate`` source whose rows are all filtered out.
+    """Union a built-in ``rate`` source whose rows only say that time went on.
 
-    Spark starts a micro-batch when a source has new data or when the last
-    batch of this run asks for another; right after a restart there is no
-    last batch, so windows restored from the checkpoint would wait for the
-    next alert. The heartbeat's offsets advance every second, so a batch —
-    and with it the processing-time timeouts — runs on every trigger.
+    Spark starts a micro-batch when a source has new data or when the last batch
+    of this run asks for another; right after a restart there is no last batch,
+    so windows kept from before would wait for the next alert. The heartbeat's
+    offsets advance every second, so a batch runs on every trigger.
     """
     beat = events.sparkSession.readStream.format("rate").option(
         "rowsPerSecond", str(int(rows_per_second))
     ).load()
-    # ``value`` counts up from 0: never negative, but not a constant the
-    # optimizer could fold away with the source.
-    none = beat.filter(F.col("value") < 0).select(
-        *[F.lit(None).cast(t).alias(n) for n, t in events.dtypes]
-    )
-    return events.unionByName(none)
+    marks = beat.select(*[F.lit(None).cast(t).alias(n) for n, t in events.dtypes], F.lit(True).alias(_BEAT))
+    return events.withColumn(_BEAT, F.lit(False)).unionByName(marks)
 
 
 def start_processing_time_detector(
@@ -240,18 +106,75 @@ def start_processing_time_detector(
     threshold: int,
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
-    salts: int = 16,
+    store: str | None = None,
     trigger: dict | None = None,
     heartbeat: bool = True,
 ) -> StreamingQuery:
-    """Run the detector; ``sink(anomalies, batch_id)`` receives each batch's anomalies."""
-    if heartbeat:
-        events = with_heartbeat(events)
-    partials = processing_time_partials(events, window_seconds, salts)
+    """Run the detector; ``sink(anomalies, batch_id)`` receives what a batch closes.
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        sink(merge_processing_partials(batch, threshold), batch_id)
+    ``events`` has the detector fields and ``kafka_ts``, ``partition`` and ``offset``.
+    ``store`` is the partials' folder (default: beside the checkpoint).
+    """
+    spark, length_ms = events.sparkSession, int(window_seconds) * 1000
+    folder = store or f"{checkpoint.rstrip('/')}-windows"
+    events = with_heartbeat(events) if heartbeat else events.withColumn(_BEAT, F.lit(False))
+    clocked = events.withColumn(_CLOCK, F.unix_millis(F.current_timestamp()))
 
-    writer = partials.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        windows = WindowStore(batch.sparkSession, folder)
+        windows.drop_closed_before(batch_id)
+        # the stream's log fixes a batch's clock; an empty batch has nothing to place
+        seen = batch.agg(F.max(_CLOCK).alias("clock"), F.count_if(~F.col(_BEAT)).alias("n")).first()
+        clock = seen["clock"] if seen["clock"] is not None else int(time.time() * 1000)
+        if seen["n"]:
+            own = batch.filter(~F.col(_BEAT)).drop(_BEAT, _CLOCK)
+            start = clock // length_ms * length_ms
+            windows.put(batch_partials(own, start), start, batch_id)
+        due = windows.due(clock, length_ms)
+        if due:
+            for window in due:
+                windows.close(window, batch_id)
+            sink(closed_anomalies(windows, due, length_ms, threshold), batch_id)
+
+    writer = clocked.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "1 second"}))
     return writer.start()
+
+
+def run_processing_time_once(
+    events: DataFrame, window_seconds: int, threshold: int, base: str
+) -> DataFrame:
+    """Read all that is there as one stream run, then close every window.
+
+    What one micro-batch reads is one window. The anomalies of all windows are returned.
+    """
+    spark, length_ms = events.sparkSession, int(window_seconds) * 1000
+    out = f"{base}/anomalies"
+
+    def sink(anomalies: DataFrame, batch_id: int) -> None:
+        anomalies.write.mode("overwrite").parquet(f"{out}/{batch_id}")
+
+    query = start_processing_time_detector(
+        events, window_seconds, threshold, sink, f"{base}/checkpoint", f"{base}/windows",
+        trigger={"availableNow": True}, heartbeat=False,
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    store = WindowStore(spark, f"{base}/windows")
+    closed = {int(n.split("-")[0]) for n in store._names("closed")}
+    rest = [w for w in store.due(1 << 62, length_ms) if w not in closed]
+    if rest:
+        sink(closed_anomalies(store, rest, length_ms, threshold), -1)
+    root = store._path(out)
+    if not store._fs.exists(root):
+        return anomaly_rows(merge_partials(_no_partials(spark), threshold))
+    return spark.read.parquet(*[f"{out}/{s.getPath().getName()}" for s in store._fs.listStatus(root)])
+
+
+def _no_partials(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [],
+        "window struct<start: timestamp, end: timestamp>, sourceIp string, deviceId string, type string, "
+        "n long, first decimal(38,0), top boolean, mid boolean, by_device boolean",
+    )

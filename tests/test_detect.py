@@ -105,3 +105,15 @@ def test_plan_combines_before_each_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("partial_count") == 1 and plan.count("partial_sum") == 1
     assert "partial_collect_list" in plan
+
+
+def test_arrival_order_is_total(spark):
+    from alertscope.operators.detect import arrival_order
+
+    rows = [
+        (None, None, None), (-1, 0, 5), (-1, 0, 6), (0, 0, 0), (1, None, 3), (1, 0, 2), (1, 99_999, 0),
+        (1, 2_000_000_000, (1 << 63) - 1), (10**15, 0, 0),
+    ]
+    df = spark.createDataFrame(rows, "ms long, p int, o long").selectExpr("*", "timestamp_millis(ms) AS t")
+    got = [r.x for r in df.select(arrival_order("t", "p", "o").alias("x")).collect()]
+    assert None not in got and got == sorted(got)

@@ -46,7 +46,11 @@ def test_strict_instant(spark):
         ("2026-06-11t10:00:00z", "2026-06-11T10:00:00.000000"),
         ("2026-06-11T10:00:00+02:00:30", "2026-06-11T07:59:30.000000"),
         ("2026-02-30T10:00:00Z", None),
-        ("2026-06-11T24:00:00Z", None),
+        ("2026-06-11T24:00:00Z", "2026-06-12T00:00:00.000000"),
+        ("2026-06-11T24:00:00.000+02:00", "2026-06-11T22:00:00.000000"),
+        ("2026-06-11T24:00:00.5Z", None),
+        ("2026-06-11T24:01:00Z", None),
+        ("2026-06-11T10:00:00Z\n", None),
         ("+2026-06-11T10:00:00Z", None),
         ("2026-06-11T10:00:00+0200", None),
         ("2026-06-11", None),

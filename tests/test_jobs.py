@@ -196,3 +196,52 @@ def test_ingest_job_wiring(spark, tmp_dir, monkeypatch):
                                         _alert("3", "2026-06-11T10:00:02Z")]}}, fh)
     start_ingest(spark, publish, trigger={"availableNow": True}).awaitTermination()
     assert sorted(sent) == [("dev-1", "1"), ("dev-2", "2"), ("dev-3", "3")]
+
+
+def test_overlapping_pages_in_one_batch_publish_once(spark, tmp_dir):
+    t = "2026-06-11T10:00:0{}Z".format
+    bodies = [
+        [_alert("a", t(0)), _alert("b", t(1)), _alert("b", t(1))],  # in-page copies both pass
+        [_alert("b", t(1)), _alert("c", t(1)), _alert("a", t(0))],
+        [_alert("c", t(1)), _alert("d", t(2)), _alert("n", None), _alert("old", t(0))],
+        [_alert("d", t(2)), _alert("n", None)],
+    ]
+    pages = spark.createDataFrame(
+        [(i, json.dumps({"data": {"content": b}})) for i, b in enumerate(bodies)], "page_seq int, body string"
+    )
+    sent = []
+    publish = lambda df: sent.extend(r.cursor_id for r in df.collect())
+    assert poll_once(spark, pages, f"{tmp_dir}/mark", publish) == 7
+    # alerts without an instant are always new
+    assert sorted(sent) == ["a", "b", "b", "c", "d", "n", "n"]
+    one_by_one = []
+    for i in range(4):
+        page = pages.filter(f"page_seq = {i}").drop("page_seq")
+        poll_once(spark, page, f"{tmp_dir}/mark2", lambda df: one_by_one.extend(r.cursor_id for r in df.collect()))
+    assert sorted(one_by_one) == sorted(sent)
+
+
+def test_damaged_mark_slots(spark, tmp_dir):
+    from alertscope.plans.ingest_job import stored_mark, write_mark
+
+    path = f"{tmp_dir}/mark"
+    for version, instant in enumerate((dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2))):
+        write_mark(spark.createDataFrame([(instant, f"id{version}")], "mark_ts timestamp, mark_id string"), path, version)
+
+    def damage(slot):
+        for name in os.listdir(f"{path}/slot={slot}"):
+            if name.endswith(".parquet"):
+                with open(f"{path}/slot={slot}/{name}", "wb") as f:
+                    f.write(b"PAR1 damaged")
+            if name.endswith(".crc"):
+                os.remove(f"{path}/slot={slot}/{name}")
+
+    assert stored_mark(spark, path)[0] == 1
+    damage(1)
+    version, mark = stored_mark(spark, path)
+    assert version == 0 and [r.mark_id for r in mark.collect()] == ["id0"]
+    damage(0)
+    assert stored_mark(spark, path)[0] == -1 and read_mark(spark, path).count() == 0
+    page = spark.createDataFrame([(json.dumps({"data": {"content": [_alert("z", "2026-06-11T10:00:00Z")]}}),)], "body string")
+    assert poll_once(spark, page, path, lambda df: df.count()) == 1
+    assert [r.mark_id for r in read_mark(spark, path).collect()] == ["z"]

@@ -109,7 +109,7 @@ def test_processing_time_window_closes_while_idle(spark, tmp_dir):
         keep=("kafka_ts", "partition", "offset"),
     )
     q = start_processing_time_detector(
-        events, window_seconds=2, threshold=3, sink=sink, checkpoint=ckpt, salts=4,
+        events, window_seconds=2, threshold=3, sink=sink, checkpoint=ckpt,
         trigger={"processingTime": "500 milliseconds"},
     )
     try:
@@ -189,7 +189,7 @@ def test_event_time_detector_resumes_from_checkpoint(spark, tmp_dir):
     assert got == [("s1", f"2024-01-01T00:0{m}:00Z", 2) for m in range(4)]
 
 
-def test_processing_time_salted_merge_is_exact(spark, tmp_dir):
+def test_processing_time_merge_is_exact(spark, tmp_dir):
     import random
 
     src, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/ckpt"
@@ -207,7 +207,7 @@ def test_processing_time_salted_merge_is_exact(spark, tmp_dir):
     )
     q = start_processing_time_detector(
         events, window_seconds=3, threshold=3, sink=lambda df, _: got.extend(df.collect()),
-        checkpoint=ckpt, salts=8, trigger={"processingTime": "500 milliseconds"},
+        checkpoint=ckpt, trigger={"processingTime": "500 milliseconds"},
     )
     try:
         time.sleep(2)
@@ -248,7 +248,7 @@ def test_processing_time_state_survives_restart(spark, tmp_dir, heartbeat=True):
             keep=("kafka_ts", "partition", "offset"),
         )
         return start_processing_time_detector(
-            events, window_seconds=10, threshold=3, sink=sink, checkpoint=ckpt, salts=4,
+            events, window_seconds=10, threshold=3, sink=sink, checkpoint=ckpt,
             trigger={"processingTime": "500 milliseconds"}, heartbeat=heartbeat,
         )
 
@@ -259,10 +259,7 @@ def test_processing_time_state_survives_restart(spark, tmp_dir, heartbeat=True):
         time.sleep((10 - time.time() % 10) + 0.3)
         window_end = time.time() - time.time() % 10 + 10
         _write_messages(spark, src, [{"sourceIp": "r", "deviceId": f"d{i}"} for i in range(4)], 10)
-        seen = len(batches)
-        deadline = time.time() + 6
-        while time.time() < deadline and len(batches) < seen + 2:  # burst batch committed
-            time.sleep(0.2)
+        time.sleep(5)  # the burst's batch is committed
     finally:
         q.stop()
     assert not any(r.sourceIp == "r" for r in got)  # window still open when stopped
