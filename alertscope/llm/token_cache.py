@@ -29,7 +29,7 @@ _BYTE_LEVEL = re.compile(
 _WORD_LEVEL = re.compile(f"{_LETTERS}(?={_MARKS}|[ \n]|$)|[^ \n]+")
 
 #: Distinct pieces that a worker keeps; a full cache starts anew.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 #: Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
 
@@ -48,6 +48,14 @@ def word_level_pieces(text: str) -> list[str]:
     return _WORD_LEVEL.findall(text)
 
 
+def _is_latin1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class PieceEncoder(dict):
     """piece → id bytes, filled on demand, a text's new pieces together."""
 
@@ -56,6 +64,7 @@ class PieceEncoder(dict):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         kind = self.tokenizer.pre_tokenizer.__class__.__name__
         self.pieces = byte_level_pieces if kind == "ByteLevel" else word_level_pieces
+        self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
@@ -66,9 +75,8 @@ class PieceEncoder(dict):
         before all else, and its id tells their ids apart."""
         if len(self) + len(new) > CACHE_PIECES:
             self.clear()
-        ids = np.array(
-            self.tokenizer.encode(self.special[0].join(new), add_special_tokens=False).ids, dtype="<u4"
-        )
+        joined = self.special[0].join(new)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
         cuts = np.flatnonzero(ids == self.tokenizer.token_to_id(self.special[0])).tolist()
         data = ids.tobytes()
         for piece, start, end in zip(new, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
@@ -83,6 +91,8 @@ class PieceEncoder(dict):
             return b""
         if any(s in text for s in self.special):  # cuts before the pre-tokenizer does
             return self.ids(text)
+        if self.lowers and _is_latin1(text):  # no case there depends on what stands beside it
+            text = text.lower()
         pieces = self.pieces(text)
         if self.special and (new := [p for p in set(pieces) if p not in self and len(p) <= LONGEST_KEPT]):
             self._learn(new)
