@@ -138,9 +138,20 @@ def region_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by at least their first ``depth`` symbols, by prefix doubling."""
-    n, span = len(text), 1
-    rank = np.unique(text, return_inverse=True)[1]
-    while True:
+    n = len(text)
+    rank = np.unique(text, return_inverse=True)[1] + 1
+    # the first symbols at once, as many as a key holds; past the end is 0
+    bits = int(rank.max()).bit_length()
+    span = max(1, 62 // bits)
+    symbol = rank
+    for k in range(1, span):
+        rank = rank << bits
+        rank[: n - k] |= symbol[k:]
+    order = np.argsort(rank)
+    new = np.empty(n, dtype=np.int64)
+    new[order] = np.concatenate(([0], np.cumsum(rank[order][1:] != rank[order][:-1])))
+    rank = new
+    while span < depth and rank[order[-1]] != n - 1:
         after = np.zeros(n, dtype=np.int64)
         after[: n - span] = rank[span:] + 1
         key = rank * (n + 2) + after
@@ -148,8 +159,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         new = np.empty(n, dtype=np.int64)
         new[order] = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
         rank, span = new, span * 2
-        if span >= depth or rank[order[-1]] == n - 1:
-            return order
+    return order
 
 
 def common_prefix_breaks(text: np.ndarray, order: np.ndarray, stop: int) -> np.ndarray:
@@ -175,19 +185,30 @@ def common_prefix_breaks(text: np.ndarray, order: np.ndarray, stop: int) -> np.n
     first = text[order]
     broken = np.concatenate(([True], first[1:] != first[:-1]))  # level 0: the empty prefix
     new = np.flatnonzero(broken)
+    # all breaks known, the late few apart, each list closed by n
+    known, late = np.append(new, n), np.array([n])
     for _ in range(1, stop):
         if not len(new):
             break
         # the ranks from each new break to the next known break
-        known = np.flatnonzero(broken)
-        end = np.append(known, n)[np.searchsorted(known, new, "right")]
-        sizes = end - new
+        end = known[np.searchsorted(known, new, "right")]
+        sizes = np.minimum(end, late[np.searchsorted(late, new, "right")]) - new
         rows = np.repeat(new - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         starts = np.repeat(new, sizes)
         hit = rows[(previous[rows] < starts) & (previous[rows] >= 0)]
         hit = lf[hit]
-        new = np.unique(hit[~broken[hit]])
+        hit = hit[~broken[hit]]
+        if len(hit) > n >> 6:  # many: mark them, else sort them
+            found = np.zeros(n, dtype=bool)
+            found[hit] = True
+            new = np.flatnonzero(found)
+        else:
+            new = np.unique(hit)
         broken[new] = True
+        if len(late) + len(new) > n >> 5:
+            known, late = np.append(np.flatnonzero(broken), n), np.array([n])
+        else:
+            late = np.sort(np.concatenate((late, new)))
     return broken
 
 

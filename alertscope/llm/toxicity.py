@@ -1,6 +1,7 @@
 """Toxicity scores from a counterfactually regularised linear classifier.
 
-Features are the distinct words of a text. The model is learnt on a bounded
+Features are the distinct words of a text and the first letters of its longer
+words, which stand for inflected and compound forms. The model is learnt on a bounded
 sample of the labelled rows, ``FIT_ROWS`` at most, taken in the order of a
 hash of their ids: its words are picked by document frequency and smoothed log
 odds of the label, its weights by a logistic fit. For every learning text that names an identity group, a
@@ -42,18 +43,27 @@ FIT_ROWS = 50_000
 #: Bound on the vocabulary.
 VOCABULARY = 4096
 #: A word counts if so many learning documents have it.
-LEAST_DOCUMENTS = 5
+LEAST_DOCUMENTS = 3
 #: Smoothed log odds from which a word counts as a sign of the label.
 LEAST_LOG_ODDS = 1.0
+#: Letters of a word's stem.
+STEM = 4
 #: Weights of the counterfactual penalty and of the squared weights.
 COUNTERFACTUAL = 5.0
-RIDGE = 1e-3
+RIDGE = 1e-4
 STEPS = 400
 
 def distinct_words(text):
-    """Distinct lower-case runs of letters and digits of a column."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: w != ""))
+    """Distinct lower-case runs of letters and digits of a column, then the distinct
+    ``^`` stems of those longer than ``STEM``, identity terms aside."""
+    split = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    words = F.array_distinct(F.filter(split, lambda w: w != ""))
+    terms = [t for g in IDENTITY_GROUPS for t in g]
+    long = lambda w: (F.char_length(w) > STEM) & ~w.isin(terms)
+    stems = lambda ws: F.array_distinct(
+        F.transform(F.filter(ws, long), lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM)))
+    )
+    return F.get(F.transform(F.array(words), lambda ws: F.concat(ws, stems(ws))), F.lit(0))
 
 
 def pick_vocabulary(learning: DataFrame) -> list[str]:
