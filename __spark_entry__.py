@@ -259,6 +259,31 @@ SELECT alertId, strftime(event_ts, {_ISO_US}) AS cursor_ts
 FROM alerts, m WHERE event_ts IS NULL OR m.mts IS NULL OR event_ts >= m.mts"""
 
 
+# The dirty mapping, as the lake and as the detector read it (event_id % 16).
+_DIRTY_LAKE = _ALERTS.replace("alerts AS (", "clean AS (", 1) + """,
+alerts AS (
+  SELECT * REPLACE (
+    CASE k WHEN 2 THEN '  ' || sourceIp || ' ' || chr(9) WHEN 3 THEN '   ' ELSE sourceIp END AS sourceIp,
+    CASE k WHEN 4 THEN ' ' || lower(severity) || ' ' WHEN 5 THEN NULL ELSE severity END AS severity,
+    CASE k WHEN 6 THEN '42' WHEN 7 THEN '{"a":1}' WHEN 8 THEN NULL ELSE deviceId END AS deviceId,
+    CASE k WHEN 9 THEN 'not a time' WHEN 10 THEN NULL ELSE "timestamp" END AS "timestamp",
+    CASE WHEN k NOT IN (9, 10) THEN event_ts END AS event_ts,
+    CASE WHEN k NOT IN (9, 10) THEN dt END AS dt)
+  FROM (SELECT *, CAST(alertId AS BIGINT) % 16 AS k FROM clean) WHERE k NOT IN (0, 1, 11)
+)"""
+_DIRTY_EV = _ALERTS.replace("alerts AS (", "clean AS (", 1) + """,
+ev AS (
+  SELECT sourceIp, CASE k WHEN 6 THEN '42' WHEN 7 THEN '' WHEN 8 THEN '' ELSE coalesce(deviceId, '') END AS deviceId,
+         coalesce("type", '') AS "type",
+         CASE k WHEN 5 THEN 'LOW' WHEN 4 THEN coalesce(lower(severity), 'LOW') ELSE coalesce(severity, 'LOW') END AS severity,
+         CASE k WHEN 9 THEN 'not a time' WHEN 10 THEN '' ELSE coalesce("timestamp", '') END AS "timestamp",
+         CASE WHEN k NOT IN (9, 10) THEN event_ts END AS event_ts, alertId,
+         epoch_ms(kafka_ts) AS arr_ms, CAST(alertId AS BIGINT) % 3 AS arr_part, CAST(alertId AS BIGINT) AS arr_off
+  FROM (SELECT *, CAST(alertId AS BIGINT) % 16 AS k FROM clean)
+  WHERE k NOT IN (0, 1, 3) AND sourceIp IS NOT NULL AND sourceIp <> ''
+)"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -291,6 +316,11 @@ def oracle_sql() -> dict[str, str]:
     out["next_mark"] = _with(_ALERTS + "," + _MARK, _NEXT_MARK)
     out["written_reports"] = _with(_ALERTS, _WRITTEN_REPORTS)
     out["new_since_stored_mark"] = _with(_ALERTS + "," + _MARK, _NEW_SINCE_STORED)
+    out["dirty_lake_parse"] = _with(_DIRTY_LAKE, _LAKE_PARSE)
+    out["dirty_top_source_ips"] = _with(_DIRTY_LAKE, _REPORT_SQL["top_source_ips"])
+    out["dirty_severity_distribution"] = _with(_DIRTY_LAKE, _REPORT_SQL["severity_distribution"])
+    out["dirty_detector_parse"] = _with(_DIRTY_EV, _DETECTOR_PARSE)
+    out["dirty_source_anomalies"] = _with(_DIRTY_EV + "," + _anomaly_ctes(), _ANOM_FLAT)
     if llm_queries is not None:
         out |= llm_queries.ORACLE_SQL
     return out

@@ -31,6 +31,7 @@ from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA, LAKE_SCHEMA
 from alertscope.session import ensure_utc, scratch_path
 from alertscope.sources.events import (
     alert_json,
+    dirty_messages,
     load_alerts,
     messages_from_alerts,
     messages_from_events,
@@ -123,6 +124,39 @@ def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dirty_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_alerts(dirty_messages(load_alerts(spark, sf_dir)))
+
+
+def dirty_lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake parse over messages of which most have something wrong."""
+    return _dirty_lake(spark, sf_dir).select(
+        *ALERT_FIELDS, _iso("kafka_ts").alias("kafka_ts"), _iso("event_ts").alias("event_ts"), "dt"
+    )
+
+
+def dirty_top_source_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.top_source_ips(_dirty_lake(spark, sf_dir))
+
+
+def dirty_severity_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.severity_distribution(_dirty_lake(spark, sf_dir))
+
+
+def dirty_detector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = detector_events(dirty_messages(load_alerts(spark, sf_dir)))
+    return events.select("sourceIp", "deviceId", "type", "severity", "timestamp")
+
+
+def dirty_source_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = detector_events(dirty_messages(load_alerts(spark, sf_dir)))
+    return _flat(
+        detect_anomalies(
+            events, DETECT_WINDOW_SECONDS, DETECT_THRESHOLD, time_col="event_ts", order=_arrival_order()
+        )
+    )
+
+
 def _detector_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detector_events(messages_from_alerts(load_alerts(spark, sf_dir)))
 
@@ -338,6 +372,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_anomalies_stream": source_anomalies_stream,
     "source_anomalies_processing": source_anomalies_processing,
     "new_since_mark_pages": new_since_mark_pages,
+    "dirty_lake_parse": dirty_lake_parse,
+    "dirty_top_source_ips": dirty_top_source_ips,
+    "dirty_severity_distribution": dirty_severity_distribution,
+    "dirty_detector_parse": dirty_detector_parse,
+    "dirty_source_anomalies": dirty_source_anomalies,
     "latest_alerts": latest_alerts,
     "page_unnest": page_unnest,
     "publish_key": publish_keys,

@@ -74,7 +74,9 @@ def alert_json() -> F.Column:
     return F.to_json(F.struct(*[F.col(c) for c in ALERT_FIELDS]))
 
 
-def messages_from_alerts(alerts: DataFrame, topic: str = "ids.alerts") -> DataFrame:
+def messages_from_alerts(
+    alerts: DataFrame, topic: str = "ids.alerts", value: F.Column | None = None
+) -> DataFrame:
     """Kafka-row-shaped frame: key = device, value = alert JSON, broker time.
 
     Broker time has millisecond precision, as a broker records it.
@@ -85,7 +87,7 @@ def messages_from_alerts(alerts: DataFrame, topic: str = "ids.alerts") -> DataFr
     aid = F.col("alertId").cast("long")
     return alerts.select(
         F.col("deviceId").cast("binary").alias("key"),
-        alert_json().cast("binary").alias("value"),
+        (alert_json() if value is None else value).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         (F.coalesce(aid, F.lit(0)) % 3).cast("int").alias("partition"),
         F.coalesce(aid, F.lit(0)).alias("offset"),
@@ -94,6 +96,46 @@ def messages_from_alerts(alerts: DataFrame, topic: str = "ids.alerts") -> DataFr
     )
 
 
+# What is wrong with the alert of event_id % DIRT_KINDS.
+DIRT_KINDS = 16
+(CUT_OFF, ARRAY_ROOT, PADDED_SOURCE, BLANK_SOURCE, PADDED_SEVERITY, NO_SEVERITY, NUMBER_DEVICE,
+ OBJECT_DEVICE, NO_DEVICE, BAD_TIME, NO_TIME, NO_ID) = range(12)
+
+
+def dirty_messages(alerts: DataFrame) -> DataFrame:
+    """Topic rows of all alerts, three quarters of them with one thing wrong each:
+    text cut off, an array root, a padded or blank source, severity padded in
+    lower case or missing, a device that is a number, an object or missing, a bad
+    or missing time, a missing id. Keys, order and broker time stay as they were.
+    """
+    kind = F.col("alertId").cast("long") % DIRT_KINDS
+    is_ = lambda k: kind == k
+    nothing = F.lit(None).cast("string")
+    changed = {
+        "sourceIp": F.when(is_(PADDED_SOURCE), F.concat(F.lit("  "), "sourceIp", F.lit(" \t")))
+        .when(is_(BLANK_SOURCE), F.lit("   "))
+        .otherwise(F.col("sourceIp")),
+        "severity": F.when(is_(PADDED_SEVERITY), F.concat(F.lit(" "), F.lower("severity"), F.lit(" ")))
+        .when(is_(NO_SEVERITY), nothing)
+        .otherwise(F.col("severity")),
+        "deviceId": F.when(is_(NO_DEVICE), nothing).otherwise(F.col("deviceId")),
+        "timestamp": F.when(is_(BAD_TIME), F.lit("not a time"))
+        .when(is_(NO_TIME), nothing)
+        .otherwise(F.col("timestamp")),
+        "alertId": F.when(is_(NO_ID), nothing).otherwise(F.col("alertId")),
+    }
+    text = F.to_json(F.struct(*[changed.get(c, F.col(c)).alias(c) for c in ALERT_FIELDS]))
+    device = lambda value: F.regexp_replace(text, '"deviceId":"[^"]*"', f'"deviceId":{value}')
+    text = (
+        F.when(is_(CUT_OFF), F.substring(text, F.lit(1), F.length(text) - 1))
+        .when(is_(ARRAY_ROOT), F.concat(F.lit("["), text, F.lit("]")))
+        .when(is_(NUMBER_DEVICE), device("42"))
+        .when(is_(OBJECT_DEVICE), device('{"a":1}'))
+        .otherwise(text)
+    )
+    return messages_from_alerts(alerts.withColumn("_dirty", text), value=F.col("_dirty"))
+
+
 def messages_from_events(events: DataFrame, topic: str = "ids.alerts") -> DataFrame:
     return messages_from_alerts(alerts_from_events(events), topic)
 
@@ -124,6 +166,7 @@ __all__ = [
     "ALERT_SCHEMA",
     "alert_json",
     "alerts_from_events",
+    "dirty_messages",
     "load_alerts",
     "messages_from_alerts",
     "messages_from_events",
