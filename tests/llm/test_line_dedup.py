@@ -63,7 +63,7 @@ def brute(docs, max_bits=3, least=0.8, min_words=3):
             if len(words) >= min_words:
                 places.setdefault(" ".join(words), []).append((doc_id, n))
     lines = sorted(places)
-    prints = [plain_simhash(x.split(" ")) for x in lines]
+    prints = [plain_simhash(set(x.split(" "))) for x in lines]
     root = list(range(len(lines)))
 
     def find(i):
@@ -105,6 +105,7 @@ def test_equals_brute_force(spark, monkeypatch, tile, direct):
     monkeypatch.setattr(L, "TILE", tile)
     monkeypatch.setattr(L.clusters, "__defaults__", (direct,))
     docs = corpus(120, 4)
+    docs += [(900, docs[3][1]), (900, docs[3][1])]
     df = spark.createDataFrame([(d, t, "x", 1) for d, t in docs], "doc_id long, text string, line string, uid int")
     got = {(r.doc_id, n) for r in L.removed_lines(df).collect() for n in r.removed}
     want = brute(docs)
@@ -117,7 +118,7 @@ def test_equals_brute_force(spark, monkeypatch, tile, direct):
 
 
 def test_nulls_repeats_and_long_lines(spark):
-    long = " ".join(f"w{i * i % 977}" for i in range(20000))
+    long = " ".join(chr(97 + i % 26) + chr(97 + i // 26 % 26) + chr(97 + i * i % 23) for i in range(20000))
     docs = [(1, None), (2, ""), (3, "one two three four\nshort\nshort"), (4, "One two, three FOUR!"), (4, "One two, three FOUR!"),
             (None, "one two three four"), (5, long), (6, long + " tail"), (7, "\n\n")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
