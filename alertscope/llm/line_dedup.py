@@ -1,7 +1,7 @@
 """Fuzzy line deduplication.
 
 Lines are normalised (lower case, digits alike, marks as spaces) and get a
-128-bit key and a 64-bit SimHash over their words. Equal keys are equal lines.
+128-bit key and a 64-bit SimHash over their distinct words. Equal keys are equal lines.
 Distinct SimHash values that may be within ``max_bits`` agree on some
 combination of whole blocks (pigeonhole); joining on these combinations gives
 clusters of lines. Inside a cluster, pairs within the bit distance are verified
@@ -104,8 +104,11 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Da
                         texts.append(text_key)
                         lines.append(number)
                         keys.append(xxhash.xxh3_128_digest(" ".join(words)))
-                        flat.append(np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words)))
-                        n += len(words)
+                        # each word once: in a long line the common words would
+                        # outweigh all others and make it like any long line
+                        own = set(words)
+                        flat.append(np.fromiter(map(_hashes.__getitem__, own), np.uint64, len(own)))
+                        n += len(own)
                         ends.append(n)
             if ids:
                 key = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
@@ -239,14 +242,16 @@ def removed_lines(
     similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``doc_id, text_key, removed``: the line numbers, from 0, that go, for each
-    document that loses any. ``text_key`` is Spark's ``xxhash64`` of the text.
+    document that loses any (the least long stands for a null id). ``text_key`` is Spark's ``xxhash64`` of the text.
 
     Repeated rows (equal id and text) are one document and lose the same lines. Null
     and empty texts have no lines. A null id sorts first. Ties in first
     occurrence do not arise between different documents. Other columns are ignored.
     """
     prepare(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # a null id stands as the least number; its text tells it from a real one
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    docs = docs.select(number.alias("doc_id"), F.col(text_col).alias("text"))
     lines = materialize(line_keys(docs, "doc_id", "text", min_words), "lines")
     place = F.struct("doc_id", "text_key", "line")
     distinct = materialize(
@@ -268,12 +273,10 @@ def removed_lines(
     wanted = met.groupBy("first.doc_id", "first.text_key").agg(
         F.collect_list(F.struct("uid", "simhash", "cluster", "blocks", F.col("first.line").alias("line"))).alias("wanted")
     )
-    keyed = docs.withColumn("text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "text_key"])
     picked = (
-        keyed.join(
-            wanted.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "wanted"),
-            F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")),
-        )
+        docs.withColumn("text_key", F.xxhash64("text"))
+        .join(wanted, ["doc_id", "text_key"])
+        .dropDuplicates(["doc_id", "text_key"])
         .select(F.explode(F.get(F.transform(
             F.array(F.split("text", "\n")),
             lambda parts: F.transform("wanted", lambda w: F.struct(w.alias("w"), F.get(parts, w["line"]).alias("text"))),
@@ -297,7 +300,7 @@ def removed_lines(
     verdict = materialize(grouped.join(keep, "component").select("key_hi", "key_lo", "keep"), "line-keep")
     gone = (
         lines.join(verdict, ["key_hi", "key_lo"])
-        .where(~place.eqNullSafe(F.col("keep")))
+        .where(place != F.col("keep"))
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.collect_set("line")).alias("removed"))
     )
@@ -308,7 +311,8 @@ def removed_lines(
 
 def _with_removed(docs: DataFrame, removed: DataFrame, id_col: str, text_col: str) -> DataFrame:
     mine = removed.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("removed").alias("_removed"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text_col) == F.col("_k"))
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    same = (number == F.col("_d")) & (F.xxhash64(text_col) == F.col("_k"))
     return docs.join(mine, same, "left").drop("_d", "_k")
 
 
