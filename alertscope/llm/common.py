@@ -40,6 +40,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_latin1(text: str) -> bool:
+    """No character beyond Latin-1; a copy of the text at most."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertscope.llm.common import materialize, prepare, release
+from alertscope.llm.common import is_latin1, materialize, prepare, release
 from alertscope.llm.components import connected_components
 
 #: Lines of fewer words are never removed: headings, list marks, table rules.
@@ -44,24 +44,40 @@ TILE = 256
 CACHE_WORDS = 500_000
 WORD_BLOCK = 1 << 17
 
-_WORD = re.compile(r"[^\W_]+")
+_MARK = re.compile(r"[^\w\n]|_")
 _DIGIT = re.compile(r"\d")
 
 
+def _latin1(c: str) -> str:
+    return "0" if c.isdecimal() else c.lower() if c.isalnum() or c == "\n" else " "
+
+
+_LATIN1 = "".join(map(_latin1, map(chr, range(256)))).encode("latin-1")
+
+
 class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
+    """word → its 64-bit hash as eight bytes, the highest first."""
+
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        out = self[word] = xxhash.xxh64_intdigest(word, 1)
+        out = self[word] = xxhash.xxh64_digest(word, 1)
         return out
 
 
 _hashes = _WordHashes()
 
 
+def _plain(text: str) -> str:
+    """Lower case, every digit 0, a space for all else but letters and line ends."""
+    if is_latin1(text):
+        return text.encode("latin-1").translate(_LATIN1).decode("latin-1")
+    return _MARK.sub(" ", _DIGIT.sub("0", text.lower()))
+
+
 def normalised(line: str) -> list[str]:
     """Lower-case words of a line; every digit is 0."""
-    return _WORD.findall(_DIGIT.sub("0", line.lower()))
+    return _plain(line).split()
 
 
 def simhashes(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -97,8 +113,8 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Da
         for batch in batches:
             ids, texts, lines, keys, ends, flat, n = [], [], [], [], [], [], 0
             for doc_id, text_key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for number, line in enumerate((text or "").split("\n")):
-                    words = normalised(line)
+                for number, line in enumerate(_plain(text or "").split("\n")):
+                    words = line.split()
                     if len(words) >= max(min_words, 1):
                         ids.append(doc_id)
                         texts.append(text_key)
@@ -107,12 +123,12 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Da
                         # each word once: in a long line the common words would
                         # outweigh all others and make it like any long line
                         own = set(words)
-                        flat.append(np.fromiter(map(_hashes.__getitem__, own), np.uint64, len(own)))
+                        flat.extend(map(_hashes.__getitem__, own))
                         n += len(own)
                         ends.append(n)
             if ids:
                 key = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
-                prints = simhashes(np.concatenate(flat), np.array(ends)).view(np.int64)
+                prints = simhashes(np.frombuffer(b"".join(flat), ">u8"), np.array(ends)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(lines, pa.int32()),
                      pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(prints)],
@@ -198,6 +214,10 @@ def similar(a: str, b: str, least: float) -> bool:
     longer = max(len(a), len(b))
     if abs(len(a) - len(b)) > (1 - least) * longer:
         return False
+    # words replaced one for one change no more characters than they have
+    one, two = a.split(" "), b.split(" ")
+    if len(one) == len(two) and sum(max(len(x), len(y)) for x, y in zip(one, two) if x != y) <= (1 - least) * longer:
+        return True
     return edit_distance(a, b) <= (1 - least) * longer
 
 
@@ -256,7 +276,7 @@ def removed_lines(
     place = F.struct("doc_id", "text_key", "line")
     distinct = materialize(
         lines.groupBy("key_hi", "key_lo", "simhash")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .agg(F.min(place).alias("first"), F.count("*").alias("n"))
         .select(F.monotonically_increasing_id().alias("uid"), "*"),
         "lines-distinct",
     )
@@ -294,7 +314,7 @@ def removed_lines(
     member = groups.select(F.col("node").alias("uid"), "component").union(
         groups.select(F.col("component").alias("uid"), "component").distinct()
     )
-    grouped = distinct.join(member, "uid", "left").where("component is not null or first <> last")
+    grouped = distinct.join(member, "uid", "left").where("component is not null or n > 1")
     grouped = grouped.withColumn("component", F.coalesce("component", "uid"))
     keep = grouped.groupBy("component").agg(F.min("first").alias("keep"))
     verdict = materialize(grouped.join(keep, "component").select("key_hi", "key_lo", "keep"), "line-keep")

@@ -14,6 +14,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
+from alertscope.llm.common import is_latin1
+
 # One thread per task: the cores are Spark's to share out.
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
@@ -48,14 +50,6 @@ def word_level_pieces(text: str) -> list[str]:
     return _WORD_LEVEL.findall(text)
 
 
-def _is_latin1(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
-
-
 class PieceEncoder(dict):
     """piece → id bytes, filled on demand, a text's new pieces together."""
 
@@ -91,7 +85,7 @@ class PieceEncoder(dict):
             return b""
         if any(s in text for s in self.special):  # cuts before the pre-tokenizer does
             return self.ids(text)
-        if self.lowers and _is_latin1(text):  # no case there depends on what stands beside it
+        if self.lowers and is_latin1(text):  # no case there depends on what stands beside it
             text = text.lower()
         pieces = self.pieces(text)
         if self.special and (new := [p for p in set(pieces) if p not in self and len(p) <= LONGEST_KEPT]):
