@@ -86,7 +86,10 @@ class PieceEncoder(dict):
         if any(s in text for s in self.special):  # cuts before the pre-tokenizer does
             return self.ids(text)
         if self.lowers and is_latin1(text):  # no case there depends on what stands beside it
-            text = text.lower()
+            lower = text.lower()
+            if any(s in lower for s in self.special):  # plain text to the library, which looks for them in the raw text
+                return self.ids(text)
+            text = lower
         pieces = self.pieces(text)
         if self.special and (new := [p for p in set(pieces) if p not in self and len(p) <= LONGEST_KEPT]):
             self._learn(new)

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from alertscope.llm.token_cache import encoder, read_vocabulary
+from alertscope.llm.token_cache import PieceEncoder, encoder, read_vocabulary
 
 from conftest import SF_MID
 
@@ -40,3 +40,16 @@ def test_equals_library_on_any_text(name):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
     check()
+
+
+MIXED = ["a <|ENDOFTEXT|> b", "<|STARTOFTEXT|>", "x<|StartOfText|>y <|EndOfText|>", "<|EndOfText|> <|endoftext|>", "É <|ENDOFTEXT|>",
+         "日 <|STARTOFTEXT|> a", "<|STARTOFTEXT|> new1 new2", "<|startoftext|> a <|ENDOFTEXT|>"]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_special_tokens_in_other_case_are_plain_text(name):
+    vocabulary = read_vocabulary(public_tokenizers.path(name))
+    own, plain = PieceEncoder(vocabulary), Tokenizer.from_str(vocabulary)
+    for text in MIXED + MIXED:
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == want, text
