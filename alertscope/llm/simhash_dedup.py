@@ -139,6 +139,17 @@ def near_links(fps: DataFrame, max_bits: int, segments: int, direct_limit: int =
     return links.union(stars.where("src <> dst"))
 
 
+def _rooted(rows: DataFrame, key: Column, max_bits: int, segments: int, direct_limit: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct fingerprints of ``rows`` with the least ``key`` of each, written
+    once, and the same as ``(fp, first, root)``, with the component's fingerprint."""
+    distinct = materialize(rows.groupBy("fp").agg(F.min(key).alias("first")), "simhash-distinct")
+    links = near_links(distinct.select("fp"), max_bits, segments, direct_limit)
+    roots = connected_components(links, "simhash")
+    return distinct, distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("root")
+    )
+
+
 def simhash_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -160,15 +171,40 @@ def simhash_groups(
     """
     prepare(docs.sparkSession)
     rows = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    links = near_links(distinct.select("fp"), max_bits, segments, direct_limit)
-    roots = connected_components(links, "simhash")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    distinct, rooted = _rooted(rows, F.col("doc_id"), max_bits, segments, direct_limit)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialize(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
     release(distinct)
     return rows.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def first_of_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    max_bits: int = 2,
+    segments: int = 5,
+    direct_limit: int = DIRECT_LIMIT,
+) -> DataFrame:
+    """``docs`` with exactly one row of each component of ``simhash_groups``.
+
+    It is the row of the smallest id, a null id coming last; rows of one id are
+    told apart by the hash of their text, and rows equal in both by a row number,
+    which is written with the rows, so that every reader sees the same. Repeated
+    rows, near copies under one id and documents without an id count like any other.
+    """
+    prepare(docs.sparkSession)
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
+    prints = fingerprints(numbered, "_row", text_col, shingle).withColumnRenamed("doc_id", "_row")
+    ids = numbered.select(
+        "_row", F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key")
+    )
+    rows = materialize(prints.join(ids, "_row"), "simhash")
+    key = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "_row")
+    distinct, rooted = _rooted(rows, key, max_bits, segments, direct_limit)
+    kept = materialize(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first._row"), "simhash-kept")
+    release(distinct, rows)
+    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)

@@ -15,7 +15,7 @@ from alertscope.llm.line_dedup import dedup_lines
 from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
 from alertscope.llm.queries import WORD_BPE, vocabulary
-from alertscope.llm.simhash_dedup import simhash_groups
+from alertscope.llm.simhash_dedup import first_of_groups
 from alertscope.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -38,10 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
-    prepare(spark)
-    keep = simhash_groups(docs, shingle=3, max_bits=2).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*COLUMNS)
+    """One row of each group of near copies: that of the smallest id, a document
+    without an id only where the group has no other. Rows that share an id, with
+    equal texts or not, are one row of the group each."""
+    return first_of_groups(docs, shingle=3, max_bits=2).select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

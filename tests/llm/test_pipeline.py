@@ -111,3 +111,19 @@ def test_queries_equal_brute_force(spark):
     index = QUERIES["op10_token_index"](spark, SF_SMALL).collect()
     assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in index) == want
     assert suffix_dedup.LENGTH == 400
+
+
+def test_simhash_near_dedup_of_null_and_repeated_ids(spark):
+    words = [f"w{n}" for n in range(400)]
+    base = {k: " ".join(words[i::7] * 3) for i, k in enumerate("abcdef")}
+    rows = [(None, base["a"]), (1, base["b"]), (1, base["b"]), (None, base["b"]), (2, base["c"]), (2, base["c"] + "\n"),
+            (3, base["d"]), (3, base["e"]), (None, base["f"]), (None, base["f"])]
+    full = [(d, t, "en", f"s{n}", len(t)) for n, (d, t) in enumerate(rows)]
+    df = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long")
+    for docs in (df.repartition(3), df.coalesce(1)):
+        after = P.simhash_near_dedup(spark, docs, SF_SMALL)
+        assert after.columns == P.COLUMNS
+        got = [(r.doc_id, r.text.strip()) for r in after.collect()]
+        want = [(None, base["a"]), (1, base["b"]), (2, base["c"]), (3, base["d"]), (3, base["e"]), (None, base["f"])]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert P.simhash_near_dedup(spark, df.limit(0), SF_SMALL).count() == 0
