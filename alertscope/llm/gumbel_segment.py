@@ -29,10 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from alertscope.llm.common import prepare
 
@@ -362,10 +364,12 @@ def sample_segmentations(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Up to ``k`` distinct segmentations of every text, a row each: ``doc_id, draw``
     (from 1, by falling perturbed value), ``n_ids, ids_crc32, log_prob, perturbed,
-    inclusion`` and, if asked for, ``ids``.
+    inclusion``, if asked for ``ids`` (four bytes each, the lowest first), and the
+    columns of ``docs`` named in ``keep``.
 
     ``smoothing`` scales the pieces' log probabilities. A text with fewer
     segmentations gives all of them, with an inclusion of 1; null and empty texts
@@ -377,18 +381,20 @@ def sample_segmentations(
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = COLUMNS.format(kind=kind) + (", ids binary" if with_ids else "")
+    schema += "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = (zlib.crc32(shared.value), smoothing)
         if own not in _lattices:
             _lattices.clear()
             _lattices[own] = Lattices(shared.value, smoothing)
-        for batch in batches:
+        for batch in _slices(batches, 1, BATCH_CHARS):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = draw(_lattices[own], texts, keys, k, seed)
             blobs = [r[2].astype("<u4").tobytes() for r in rows]
+            at = pa.array([r[0] for r in rows], pa.int64())
             columns = [
-                batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
+                batch.column(0).take(at),
                 pa.array([r[1] for r in rows], pa.int32()),
                 pa.array([len(r[2]) for r in rows], pa.int64()),
                 pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
@@ -397,9 +403,71 @@ def sample_segmentations(
             names = ["doc_id", "draw", "n_ids", "ids_crc32", "log_prob", "perturbed", "inclusion"]
             if with_ids:
                 columns, names = [*columns, pa.array(blobs, pa.binary())], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            columns += [batch.column(2 + i).take(at) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *keep])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_t")).mapInArrow(work, schema)
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_t"), *keep).mapInArrow(work, schema)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``most`` bytes in ``column``, or of one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = total = 0
+        for i, size in enumerate(sizes):
+            if i > start and total + size > most:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
+class Decoder:
+    """The bytes that each id of a vocabulary stands for."""
+
+    def __init__(self, model: bytes) -> None:
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.bytes = []
+        for i in range(sp.get_piece_size()):
+            piece = sp.id_to_piece(i)
+            if sp.is_byte(i):
+                self.bytes.append(bytes([int(piece[3:-1], 16)]))
+            elif sp.is_control(i):
+                self.bytes.append(b"")
+            else:
+                self.bytes.append(sp.decode([sp.unk_id()]).encode() if sp.is_unknown(i) else piece.replace(SPACE, " ").encode())
+
+    def text(self, ids: bytes | None) -> str | None:
+        """The text of id bytes, without the space set before every text."""
+        if ids is None:
+            return None
+        joined = b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return joined.removeprefix(b" ").decode("utf-8", "replace")
+
+
+_decoders: dict[int, Decoder] = {}
+
+
+def decode_segmentations(rows: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """``rows`` with the text of the ids in ``ids_col``, as ``sample_segmentations``
+    gives them, in a new last column; null ids give a null text. Narrow."""
+    spark = prepare(rows.sparkSession)
+    shared = spark.sparkContext.broadcast(model)
+    at = rows.columns.index(ids_col)
+    schema = StructType([*rows.schema.fields, StructField(text_col, StringType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = zlib.crc32(shared.value)
+        if own not in _decoders:
+            _decoders.clear()
+            _decoders[own] = Decoder(shared.value)
+        for batch in _slices(batches, at, 4 * BATCH_CHARS):
+            texts = [_decoders[own].text(x) for x in batch.column(at).to_pylist()]
+            names = [*batch.schema.names, text_col]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+
+    return rows.mapInArrow(work, schema)
 
 
 def decode_ids(ids, model: bytes) -> str:

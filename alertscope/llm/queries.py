@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from alertscope.llm.common import materialize, prepare, table
 from alertscope.llm.embedding_dedup import embedding_groups
-from alertscope.llm.gumbel_segment import sample_segmentations
+from alertscope.llm.gumbel_segment import decode_segmentations, sample_segmentations
 from alertscope.llm.line_dedup import line_report
 from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
@@ -31,10 +31,14 @@ def vocabulary(name: str) -> str:
 
 
 def op1_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two distinct sampled segmentations of every document, seeded by its id."""
+    """Four distinct sampled segmentations of every document, seeded by its id, and
+    whether each, decoded again, is the text (a null text is the empty one)."""
     with open(public_tokenizers.path(PIECE_BPE), "rb") as f:
         model = f.read()
-    return sample_segmentations(table(spark, sf_dir, "documents"), model, k=2)
+    docs = table(spark, sf_dir, "documents")
+    drawn = decode_segmentations(sample_segmentations(docs, model, k=4, with_ids=True, keep=("text",)), model)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return drawn.withColumn("decodes", same).drop("text", "decoded")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

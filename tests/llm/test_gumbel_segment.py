@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 
 from alertscope.llm import gumbel_segment as G
+from alertscope.llm.queries import QUERIES
 
 from conftest import SF_SMALL
 
@@ -106,3 +107,25 @@ def test_rows_decode_and_depend_on_their_key_alone(spark):
     pairs = Counter((r.doc_id, r.n_ids, r.ids_crc32) for r in one if r.doc_id not in (5,))
     assert max(pairs.values()) == 1
     assert G.sample_segmentations(df.limit(0), MODEL).count() == 0
+
+
+def test_query_gives_four_segmentations_that_decode(spark):
+    rows = QUERIES["op1_gumbel_segmentations"](spark, SF_SMALL).collect()
+    docs = pd.read_parquet(f"{SF_SMALL}/documents.parquet")
+    assert {r.doc_id for r in rows} == set(docs["doc_id"]) and all(r.decodes for r in rows)
+    own = Counter(r.doc_id for r in rows)
+    assert all(own[d] == 4 for d, t in zip(docs["doc_id"], docs["text"]) if t and len(t) > 20)
+    assert len({(r.doc_id, r.ids) for r in rows}) == len(rows)
+    texts = dict(zip(docs["doc_id"], docs["text"].fillna("")))
+    for r in rows[:200]:
+        assert G.decode_ids(np.frombuffer(r.ids, "<u4"), MODEL) == texts[r.doc_id]
+        assert len(r.ids) == 4 * r.n_ids
+
+
+def test_decoder_equals_library(spark, lattices):
+    texts = ["", " ", "  a  b ", "é\x01\n\n", "日本 😀 x", "a" * 500]
+    blobs = [(n, r[2].astype("<u4").tobytes()) for n, r in enumerate(G.draw(lattices, texts, texts, 4, 3))] + [(-1, None)]
+    df = spark.createDataFrame(blobs, "n int, ids binary")
+    for r in G.decode_segmentations(df, MODEL).collect():
+        assert r.decoded == (None if r.ids is None else G.decode_ids(np.frombuffer(r.ids, "<u4"), MODEL))
+    assert G.decode_segmentations(df.limit(0), MODEL).count() == 0
