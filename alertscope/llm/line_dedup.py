@@ -1,7 +1,8 @@
 """Fuzzy line deduplication.
 
 Lines are normalised (lower case, digits alike, marks as spaces) and get a
-128-bit key and a 64-bit SimHash over their distinct words. Equal keys are equal lines.
+128-bit key and a 64-bit SimHash over their distinct words. Equal keys are equal lines,
+however short; a line of marks alone has the key of its marks.
 Distinct SimHash values that may be within ``max_bits`` agree on some
 combination of whole blocks (pigeonhole); joining on these combinations gives
 clusters of lines. Inside a cluster, pairs within the bit distance are verified
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from alertscope.llm.common import is_latin1, materialize, prepare, release
 from alertscope.llm.components import connected_components
 
-#: Lines of fewer words are never removed: headings, list marks, table rules.
-MIN_WORDS = 3
+#: Normalised characters from which lines are compared: with fewer, one edit is over
+#: a fifth of the line, so that only equal lines are similar.
+MIN_CHARS = 5
 MAX_BITS = 3
 #: Blocks of the 64 bits; max_bits differing bits leave blocks - max_bits equal.
 BLOCKS = 5
@@ -106,32 +108,39 @@ def simhashes(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
 LINES = "doc_id long, text_key long, line int, key_hi long, key_lo long, simhash long"
 
 
-def line_keys(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """One row per line that may be removed: its place, key and SimHash."""
+def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """One row per line that is not blank: its place, key and, from ``min_chars`` on, SimHash."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, lines, keys, ends, flat, n = [], [], [], [], [], [], 0
+            ids, texts, lines, keys, ends, flat, n, fuzzy = [], [], [], [], [], [], 0, []
             for doc_id, text_key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                raw = (text or "").split("\n")
                 for number, line in enumerate(_plain(text or "").split("\n")):
                     words = line.split()
-                    if len(words) >= max(min_words, 1):
+                    plain = " ".join(words or raw[number].split())
+                    if plain:
                         ids.append(doc_id)
                         texts.append(text_key)
                         lines.append(number)
-                        keys.append(xxhash.xxh3_128_digest(" ".join(words)))
-                        # each word once: in a long line the common words would
-                        # outweigh all others and make it like any long line
-                        own = set(words)
-                        flat.extend(map(_hashes.__getitem__, own))
-                        n += len(own)
-                        ends.append(n)
+                        keys.append(xxhash.xxh3_128_digest(plain))
+                        fuzzy.append(bool(words) and len(plain) >= min_chars)
+                        if fuzzy[-1]:
+                            # each word once: in a long line the common words would
+                            # outweigh all others and make it like any long line
+                            own = set(words)
+                            flat.extend(map(_hashes.__getitem__, own))
+                            n += len(own)
+                            ends.append(n)
             if ids:
                 key = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
-                prints = simhashes(np.frombuffer(b"".join(flat), ">u8"), np.array(ends)).view(np.int64)
+                some = np.array(fuzzy)
+                prints = np.zeros(len(ids), dtype=np.int64)
+                if n:
+                    prints[some] = simhashes(np.frombuffer(b"".join(flat), ">u8"), np.array(ends)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(lines, pa.int32()),
-                     pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(prints)],
+                     pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(prints, mask=~some)],
                     [x.split()[0] for x in LINES.split(", ")],
                 )
 
@@ -256,7 +265,7 @@ def removed_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    min_words: int = MIN_WORDS,
+    min_chars: int = MIN_CHARS,
     max_bits: int = MAX_BITS,
     blocks: int = BLOCKS,
     similarity: float = SIMILARITY,
@@ -264,6 +273,8 @@ def removed_lines(
     """``doc_id, text_key, removed``: the line numbers, from 0, that go, for each
     document that loses any (the least long stands for a null id). ``text_key`` is Spark's ``xxhash64`` of the text.
 
+    Every line that is not blank goes if an equal one (normalised) comes before it;
+    lines of at least ``min_chars`` normalised characters also if a similar one does.
     Repeated rows (equal id and text) are one document and lose the same lines. Null
     and empty texts have no lines. A null id sorts first. Ties in first
     occurrence do not arise between different documents. Other columns are ignored.
@@ -272,7 +283,7 @@ def removed_lines(
     # a null id stands as the least number; its text tells it from a real one
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     docs = docs.select(number.alias("doc_id"), F.col(text_col).alias("text"))
-    lines = materialize(line_keys(docs, "doc_id", "text", min_words), "lines")
+    lines = materialize(line_keys(docs, "doc_id", "text", min_chars), "lines")
     place = F.struct("doc_id", "text_key", "line")
     distinct = materialize(
         lines.groupBy("key_hi", "key_lo", "simhash")
@@ -280,9 +291,10 @@ def removed_lines(
         .select(F.monotonically_increasing_id().alias("uid"), "*"),
         "lines-distinct",
     )
-    found = clusters(distinct.select("simhash").distinct(), max_bits, blocks)
+    compared = distinct.where("simhash is not null")
+    found = clusters(compared.select("simhash").distinct(), max_bits, blocks)
     # lines of a SimHash value of their own, near no other value, meet nobody
-    clustered = distinct.select("uid", "simhash", "first").join(
+    clustered = compared.select("uid", "simhash", "first").join(
         found.withColumnRenamed("node", "simhash"), "simhash", "left"
     ).select("uid", "simhash", "first", F.coalesce("component", "simhash").alias("cluster"))
     sizes = clustered.groupBy("cluster").agg(F.count("*").alias("n")).where("n > 1")

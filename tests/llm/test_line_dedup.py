@@ -10,6 +10,8 @@ import xxhash
 
 from alertscope.llm import line_dedup as L
 
+from conftest import SF_SMALL
+
 
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
@@ -127,3 +129,30 @@ def test_nulls_repeats_and_long_lines(spark):
     assert got == sorted(want, key=str)
     assert L.dedup_lines(df.limit(0)).count() == 0
     assert L.line_report(df.limit(0)).count() == 0
+
+
+def test_equal_lines_collapse_however_short(spark):
+    paragraph = "日本語の文章には単語の間に空白がないので段落全体が一語になる" * 5
+    docs = [(1, "Contents\n\n- a\n---\nab"), (2, "contents:\n\nA\n---\n***\nab!\nac"), (3, paragraph), (4, paragraph + "。"),
+            (5, "---\n \t\n* * *\n***\nRead more"), (6, "read MORE\nread less\n7\n8"), (None, "Read more")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for frame in (df.repartition(3), df.coalesce(1)):
+        kept = {r.doc_id: r.text for r in L.dedup_lines(frame).collect()}
+        assert kept == {1: "Contents\n\n- a\n---\nab", 2: "\n***\nac", 3: paragraph, 4: "",
+                        5: " \t\n* * *", 6: "read less\n7", None: "Read more"}
+
+
+def test_every_equal_line_of_the_table_collapses(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    gone = {(r.doc_id, n) for r in L.removed_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect() for n in r.removed}
+    left = [" ".join(L.normalised(x) or x.split()) for d, t in docs for n, x in enumerate((t or "").split("\n")) if (d, n) not in gone]
+    left = [x for x in left if x]
+    assert len(left) == len(set(left)) and gone
+
+
+def test_equals_brute_force_on_lines_of_any_length(spark):
+    docs = corpus(120, 5)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs, min_words=1)
+    assert {(r.doc_id, n) for r in L.removed_lines(df).collect() for n in r.removed} == want
+    assert want > brute(docs)
