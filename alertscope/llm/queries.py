@@ -15,6 +15,7 @@ from alertscope.llm.line_dedup import line_report
 from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
 from alertscope.llm.simhash_dedup import simhash_groups
+from alertscope.llm.source_divergence import divergence_audit
 from alertscope.llm.suffix_dedup import repeat_report
 from alertscope.llm.token_cache import read_vocabulary
 from alertscope.llm.token_index import indexed_tokens
@@ -122,6 +123,11 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and the terms that set a source apart."""
+    return divergence_audit(table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gumbel_segmentations": op1_gumbel_segmentations,
     "op2_token_counts": op2_token_counts,
@@ -133,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_index": op10_token_index,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -178,4 +185,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        ) AS kept
 FROM b"""
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _OP4_SQL}
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text
+  FROM documents
+),
+t AS (
+  SELECT rn, lang, source,
+         translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d
+),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT rn) >= 3
+),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT s.lang, s.source, coalesce(sum(c.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN c USING (lang, source) GROUP BY s.lang, s.source
+),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + langs.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 1)) // (langs.total + langs.v) AS q
+  FROM g JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+priced AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced ON priced.lang = a.lang AND priced.source = a.source AND priced.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 200"""
+
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _OP4_SQL, "op13_source_divergence": _OP13_SQL}
