@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertscope.llm.collocations import mine_phrases
 from alertscope.llm.common import materialize, prepare, table
 from alertscope.llm.embedding_dedup import embedding_groups
 from alertscope.llm.gumbel_segment import decode_segmentations, sample_segmentations
+from alertscope.llm.language_id import identify_languages
 from alertscope.llm.line_dedup import line_report
 from alertscope.llm.packing import pack_documents
 from alertscope.llm.quality_rules import quality_cascade
@@ -123,6 +125,16 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of 2 and 3 words that occur 10 times or more."""
+    return mine_phrases(table(spark, sf_dir, "documents"), min_count=10, top=2000, inside_percent=50)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by cross-parsing."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of a language, and the terms that set a source apart."""
     return divergence_audit(table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
@@ -139,6 +151,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_index": op10_token_index,
+    "op11_collocations": op11_collocations,
+    "op12_language_id": op12_language_id,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -227,4 +241,51 @@ rows AS (
 SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
 FROM rows QUALIFY part = 'pair' OR rank <= 200"""
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _OP4_SQL, "op13_source_divergence": _OP13_SQL}
+_OP11_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, text
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS text
+    FROM documents
+  )
+),
+w AS (
+  SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z
+  FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i
+        FROM (SELECT lang, regexp_extract_all(text, '[^\x20\x09]+') AS ws FROM pieces))
+),
+f1 AS (SELECT lang, x, count(*) AS f FROM w GROUP BY ALL),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM w WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM w WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+around AS (
+  SELECT lang, x, y, max(f) AS most
+  FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY lang, x, y
+),
+found AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, l.f AS l, r.f AS r, 1 AS cut
+  FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.x = f2.x JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
+  LEFT JOIN around o ON o.lang = f2.lang AND o.x = f2.x AND o.y = f2.y
+  WHERE o.most IS NULL OR 100 * o.most < 50 * f2.f
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, l.f, r.f, 1
+  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.x = f3.x
+  JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, l.f, r.f, 2
+  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y
+  JOIN f1 r ON r.lang = f3.lang AND r.x = f3.z
+),
+scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score
+  FROM found
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY (1000000::HUGEINT * a * a) // (l::HUGEINT * r), cut) = 1
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _OP4_SQL, "op11_collocations": _OP11_SQL, "op13_source_divergence": _OP13_SQL}

@@ -1,0 +1,100 @@
+"""Cross-parsing against a plain parse, held-out accuracy, and odd inputs."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pandas as pd
+
+from alertscope.llm import language_id as I
+from conftest import SF_MID
+
+
+def plain_phrases(text, symbols):
+    """Greedy longest matches of ``symbols`` in ``text`` (lists)."""
+    whole = "".join(map(chr, text))
+    count = at = 0
+    while at < len(symbols):
+        n = 0
+        while at + n < len(symbols) and "".join(map(chr, symbols[at : at + n + 1])) in whole:
+            n += 1
+        at += max(n, 1)
+        count += 1
+    return count
+
+
+def test_phrases_equal_a_plain_parse(monkeypatch):
+    monkeypatch.setattr(I, "SEGMENT", 50)
+    rnd = random.Random(1)
+    make = lambda letters, n: " ".join("".join(rnd.choices(letters, k=rnd.randint(1, 6))) for _ in range(n))
+    samples = {"aa": [make("abcde", 60), make("abc", 9)], "bb": [make("cdefg", 50)], "cc": ["É"]}
+    parser = I.CrossParser.fit(samples)
+    texts = {lang: parser.symbols.encode(" ".join(ts)).tolist() for lang, ts in samples.items()}
+    for n in (1, 3, 30):
+        text = make("abcdefgxyé", n)
+        codes = parser.symbols.encode(text)
+        segments = [codes[k : k + 50] for k in range(0, len(codes), 50)]
+        got = parser.phrases(segments)
+        want = [[plain_phrases(texts[lang], s.tolist()) for s in segments] for lang in parser.langs]
+        assert got.tolist() == want
+        bits = [np.log2(max(2, len(texts[lang]))) for lang in parser.langs]
+        cost = [b * sum(w) / len(codes) for b, w in zip(bits, want)]
+        assert np.allclose(parser.costs([text])[0], cost)
+        assert parser.predict([text])[0] == [parser.langs[int(np.argmin(cost))]]
+
+
+def test_suffix_automaton_spells_every_substring():
+    rnd = random.Random(2)
+    text = rnd.choices([1, 3, 4], k=60)
+    moves = I.suffix_automaton(text)
+    inside = {tuple(text[i:j]) for i in range(60) for j in range(i + 1, min(60, i + 8) + 1)}
+    for _ in range(3000):
+        word = tuple(rnd.choices([1, 3, 4], k=rnd.randint(1, 7)))
+        at = 0
+        for c in word:
+            at = moves[at].get(c, -1) if at >= 0 else -1
+        assert (at >= 0) == (word in inside)
+
+
+def test_held_out_accuracy(spark):
+    from alertscope.llm.queries import QUERIES
+
+    got = QUERIES["op12_language_id"](spark, SF_MID).toPandas()
+    docs = pd.read_parquet(f"{SF_MID}/documents.parquet")
+    assert list(got.columns) == ["doc_id", "held_out", "lang_pred", "score"] and len(got) == len(docs)
+    assert (got["doc_id"].map(lambda d: zlib.crc32(str(d).encode()) % 5 == 0) == got["held_out"]).all()
+    assert got["score"].between(0, 1).all()
+    held = got[got["held_out"]].merge(docs[["doc_id", "lang"]], on="doc_id")
+    assert len(held) > 100 and (held["lang_pred"] == held["lang"]).mean() > 0.98
+
+
+def test_odd_inputs(spark):
+    rnd = random.Random(3)
+    make = lambda letters, n: " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 7))) for _ in range(n))
+    rows = [(i, make("abcdef" if i % 2 else "uvwxyz", 40), "l1" if i % 2 else "l2", "s", "x") for i in range(60)]
+    rows += [(100, None, "l1", "s", "x"), (101, "", "l1", "s", "x"), (102, "12 --- 34", None, "s", "x"), (103, "日本語", None, "s", "x"),
+             (104, make("abcdef", 100_000), None, "s", "x"), (None, make("uvwxyz", 20), "l1", "s", "x"), (3, rows[3][1], "l1", "s", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out string, score string")
+    got = {r.doc_id: r for r in I.identify_languages(df).collect()}
+    assert len(got) == 65 and I.identify_languages(df).count() == len(rows)
+    assert all(got[i].lang_pred == ("l1" if i % 2 else "l2") and got[i].score > 0.5 for i in range(60))
+    assert [(got[i].lang_pred, got[i].score) for i in (100, 101, 102)] == [("und", 0.0)] * 3
+    assert got[103].lang_pred == "l1" and got[103].score == 0.5  # a tie: the first name
+    assert got[104].lang_pred == "l1" and got[None].lang_pred == "l2" and got[None].held_out
+    assert I.identify_languages(df.limit(0)).count() == 0
+    none = I.identify_languages(df.where("lang is null")).collect()
+    assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
+    # labels of held-out rows and the other columns are never read
+    other = [(i, t, "l1" if i is not None and zlib.crc32(str(i).encode()) % 5 == 0 else lang, "q", "y") for i, t, lang, *_ in rows]
+    again = I.identify_languages(spark.createDataFrame(other, df.schema)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, I.identify_languages(df).collect()))
+
+
+def test_sample_bounds(spark):
+    rows = [(lang, f"{lang} {i} " + "x" * 50) for lang in ("a", "b") for i in range(30)] + [("a", "a 0 " + "x" * 50)] * 5 + [("c", None), (None, "t")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = I.labelled_sample(docs, texts=10, text_chars=20, chars=110)
+    assert set(got) == {"a", "b"} and all(len(set(t)) == len(t) and sum(map(len, t)) == 110 for t in got.values())
+    assert I.labelled_sample(docs, texts=3)["a"] != got["a"] and len(I.labelled_sample(docs, texts=3)["a"]) == 3
