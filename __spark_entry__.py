@@ -283,6 +283,32 @@ ev AS (
   WHERE k NOT IN (0, 1, 3) AND sourceIp IS NOT NULL AND sourceIp <> ''
 )"""
 
+# The unreliable sender: one alert in ten never gets through, one at the third try.
+_DELIVERED = """
+SELECT alertId, CAST(alertId AS BIGINT) % 10 <> 3 AS delivered,
+       CAST(CASE CAST(alertId AS BIGINT) % 10 WHEN 3 THEN 4 WHEN 5 THEN 3 ELSE 1 END AS INTEGER) AS attempts,
+       CASE WHEN CAST(alertId AS BIGINT) % 10 = 3 THEN 'refused' END AS error
+FROM alerts"""
+
+_PARTIAL_MARK = f"""
+SELECT strftime(event_ts, {_ISO_US}) AS mark_ts, alertId AS mark_id
+FROM (SELECT alertId, event_ts FROM newrows WHERE CAST(alertId AS BIGINT) % 10 <> 3 UNION ALL
+      SELECT alertId, event_ts FROM alerts, m WHERE event_ts = m.mts) x
+WHERE event_ts = (SELECT MAX(event_ts) FROM (
+        SELECT event_ts FROM newrows WHERE CAST(alertId AS BIGINT) % 10 <> 3 UNION ALL SELECT mts FROM m))
+GROUP BY 1, 2"""
+
+# Alerts without a time (id % 16 = 10) are new at either poll; the others by the mark.
+_REPLAYED_POLLS = """
+SELECT 0 AS poll, alertId, deviceId AS publish_key FROM alerts, cut WHERE event_ts < cutoff
+UNION ALL
+SELECT 1, alertId, deviceId FROM alerts, timed
+WHERE CAST(alertId AS BIGINT) % 16 = 10 OR mts IS NULL OR event_ts > mts"""
+_TIMED = """
+cut AS (SELECT date_trunc('day', MAX(event_ts)) - INTERVAL 7 DAY AS cutoff FROM alerts),
+timed AS (SELECT MAX(event_ts) AS mts FROM alerts, cut
+          WHERE event_ts < cutoff AND CAST(alertId AS BIGINT) % 16 <> 10)"""
+
 
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
@@ -321,6 +347,14 @@ def oracle_sql() -> dict[str, str]:
     out["dirty_severity_distribution"] = _with(_DIRTY_LAKE, _REPORT_SQL["severity_distribution"])
     out["dirty_detector_parse"] = _with(_DIRTY_EV, _DETECTOR_PARSE)
     out["dirty_source_anomalies"] = _with(_DIRTY_EV + "," + _anomaly_ctes(), _ANOM_FLAT)
+    for name in ("top_source_ips", "alerts_per_device", "daily_trend"):
+        out[f"rolled_{name}"] = out[name]
+    for name in ("top_source_ips", "alerts_per_device"):
+        out[f"streamed_{name}"] = out[name]
+    out["delivered_alerts"] = _with(_ALERTS, _DELIVERED)
+    out["partial_next_mark"] = _with(_ALERTS + "," + _MARK, _PARTIAL_MARK)
+    out["replayed_polls"] = _with(_ALERTS + "," + _TIMED, _REPLAYED_POLLS)
+    out["replayed_anomalies"] = out["source_anomalies_stream"]
     if llm_queries is not None:
         out |= llm_queries.ORACLE_SQL
     return out

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,16 @@ TOP_PORTS = 50
 UNKNOWN = "UNKNOWN"
 
 
+class Measure(NamedTuple):
+    """A report's column as a SQL expression, and how parts of it come together:
+    ``sum``, ``max`` or the distinct values of ``column``."""
+
+    name: str
+    sql: str
+    merge: str
+    column: str | None = None
+
+
 @dataclass(frozen=True)
 class Report:
     """One report: group key, measures as SQL expressions, order, optional cut.
@@ -34,7 +45,7 @@ class Report:
     """
 
     key: str
-    measures: tuple[tuple[str, str], ...]
+    measures: tuple[Measure, ...]
     missing: str | None = None  # label of a null key; without one null keys stay or go
     known_only: bool = False  # drop null keys
     by_count: bool = True  # most alerts first, then key; else by key alone
@@ -47,8 +58,12 @@ class Report:
         if self.known_only:
             alerts = alerts.filter(F.col(self.key).isNotNull())
         grouped = alerts.groupBy(F.expr(self._key()).alias(self.key)).agg(
-            *[F.expr(sql).alias(name) for name, sql in self.measures]
+            *[F.expr(m.sql).alias(m.name) for m in self.measures]
         )
+        return self.cut(grouped, limit)
+
+    def cut(self, grouped: DataFrame, limit: int | None = None) -> DataFrame:
+        """Finished groups in the report's order, up to its limit."""
         order = [F.desc("alert_count")] if self.by_count else []
         out = grouped.orderBy(*order, F.asc_nulls_first(self.key))
         cut = limit or self.limit
@@ -56,7 +71,7 @@ class Report:
 
     def sql(self, view: str) -> str:
         parts = [f"SELECT {self._key()} AS {self.key}"]
-        parts += [f", {sql} AS {name}" for name, sql in self.measures]
+        parts += [f", {m.sql} AS {m.name}" for m in self.measures]
         parts.append(f" FROM {view}")
         if self.known_only:
             parts.append(f" WHERE {self.key} IS NOT NULL")
@@ -67,14 +82,18 @@ class Report:
         return "".join(parts)
 
 
-def _distinct(column: str) -> str:
-    return f"count(DISTINCT {column})"
+def _distinct(name: str, column: str) -> Measure:
+    return Measure(name, f"count(DISTINCT {column})", "distinct", column)
 
 
-_RANK = "max(CASE {} ELSE 0 END)".format(
-    " ".join(f"WHEN severity = '{name}' THEN {rank}" for name, rank in SEVERITY_RANKS.items())
+_RANK = Measure(
+    "max_severity_rank",
+    "max(CASE {} ELSE 0 END)".format(
+        " ".join(f"WHEN severity = '{name}' THEN {rank}" for name, rank in SEVERITY_RANKS.items())
+    ),
+    "max",
 )
-_COUNT = ("alert_count", "count(1)")
+_COUNT = Measure("alert_count", "count(1)", "sum")
 
 # The six reports' names, keys and output columns, in the order
 # the report job writes them.
@@ -83,19 +102,19 @@ DEFINITIONS: dict[str, Report] = {
         "sourceIp",
         (
             _COUNT,
-            ("distinct_targets", _distinct("destinationIp")),
-            ("distinct_ports", _distinct("destinationPort")),
-            ("max_severity_rank", _RANK),
+            _distinct("distinct_targets", "destinationIp"),
+            _distinct("distinct_ports", "destinationPort"),
+            _RANK,
         ),
         known_only=True,
         limit=TOP_SOURCES,
     ),
-    "alerts_per_device": Report("deviceId", (_COUNT, ("distinct_sources", _distinct("sourceIp")))),
+    "alerts_per_device": Report("deviceId", (_COUNT, _distinct("distinct_sources", "sourceIp"))),
     "severity_distribution": Report("severity", (_COUNT,), missing=UNKNOWN),
     "type_distribution": Report("type", (_COUNT,), missing=UNKNOWN),
     "daily_trend": Report(
         "dt",
-        (_COUNT, ("distinct_sources", _distinct("sourceIp")), ("active_devices", _distinct("deviceId"))),
+        (_COUNT, _distinct("distinct_sources", "sourceIp"), _distinct("active_devices", "deviceId")),
         by_count=False,
     ),
     "top_destination_ports": Report("destinationPort", (_COUNT,), known_only=True, limit=TOP_PORTS),

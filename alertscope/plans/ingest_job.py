@@ -1,11 +1,11 @@
 """Incremental alert ingest: page bodies → new alerts → topic → advanced mark.
 
 A batch is worked set-at-a-time: it is unnested, each page is tested against
-the mark that the pages before it leave, the new alerts are published as one
-write, and only then is the next
-mark written. A failed publish fails the batch, so the mark never moves
-past alerts that were not delivered; a crash between publish and mark
-write re-sends that batch (at-least-once, never loss).
+the mark that the pages before it leave, the new alerts are published, and only
+then is the next mark written, over those that were delivered. A publisher that
+raises fails the batch and leaves the mark; one that reports on each record moves
+it partly. A batch's new alerts and their outcomes are kept in a ledger under its
+id, so that a replay sends nothing that is known to be delivered.
 
 The mark is stored as a small Parquet table with two slots (double
 buffering): version ``v`` overwrites slot ``v % 2`` only, and readers take
@@ -36,7 +36,7 @@ from alertscope.operators.incremental import (
 )
 from alertscope.session import checkpoint_root, delete_path, scratch_path
 from alertscope.sources.pages import unnest_pages
-
+from alertscope.streaming.ledger import Ledger
 
 MARK_SLOTS = 2
 STORED_SCHEMA = "mark_ts timestamp, mark_id string, version long"
@@ -103,33 +103,70 @@ def write_mark(mark: DataFrame, path: str, version: int) -> None:
     )
 
 
-def poll_once(
+def _outcomes(new: DataFrame, publish: Callable[[DataFrame], DataFrame | None]) -> DataFrame:
+    """``new`` with ``delivered`` for every row; a publisher without outcomes of its own
+    has delivered all or raised."""
+    out = publish(new)
+    return new.withColumn("delivered", F.lit(True)) if out is None else out
+
+
+def poll_batch(
     spark: SparkSession,
     pages: DataFrame,
     mark_path: str,
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame], DataFrame | None],
+    ledger: Ledger,
+    batch_id: int,
+    resend: bool = False,
 ) -> int:
-    """Poll a batch of page bodies; returns the number of new alerts.
+    """Poll a batch of page bodies; returns the number of alerts delivered.
 
     With a ``page_seq`` column the pages are polled in its order, each against the
     mark that the pages before it leave; without one the batch is a single poll.
-    Rows pass through Parquet in a folder of the poll's own, deleted at its end.
+    ``publish`` may give back the rows with a ``delivered`` flag (``deliver`` does):
+    the mark then covers the delivered ones only. An undelivered alert at or below
+    the mark is not new at the next poll; with ``resend`` the ones that the batch
+    before left undelivered are published again together with the new ones.
+
+    What is new, and what became of it, is kept in the ledger under the batch id. A
+    batch that is run again publishes the same rows, none if their outcomes were
+    committed, whatever the mark says by then; alerts without an instant, which no
+    mark holds back, are not sent twice. Moving the mark twice changes nothing.
     """
     version, mark = stored_mark(spark, mark_path)
+
+    def find() -> DataFrame:
+        rows = cursor_fields(unnest_pages(pages)).drop("alert")
+        raw = ledger.keep("raw", batch_id, lambda: rows)  # read several times
+        new = load_new(raw, mark)[0]
+        before = [i for i in ledger.committed("outcomes") if i < batch_id] if resend else []
+        if not before:
+            return new
+        left = ledger.read("outcomes", before[-1]).filter(~F.col("delivered"))
+        return new.unionByName(left.select(*[c for c in new.columns if c in left.columns]), allowMissingColumns=True)
+
+    new = ledger.keep("new", batch_id, find)
+    outcomes = ledger.keep("outcomes", batch_id, lambda: _outcomes(new, publish))
+    delivered = outcomes.filter("delivered")
+    try:
+        write_mark(next_mark(delivered, mark), mark_path, version + 1)
+    except Exception as exc:  # the next poll re-reads the old mark: re-send, never loss
+        print(f"[alertscope] could not persist mark to {mark_path}: {exc}")
+    for kind in ("raw", "new", "outcomes"):  # a stream replays its last batch only
+        ledger.forget(kind, batch_id - 1)
+    return delivered.count()
+
+
+def poll_once(
+    spark: SparkSession,
+    pages: DataFrame,
+    mark_path: str,
+    publish: Callable[[DataFrame], DataFrame | None],
+) -> int:
+    """``poll_batch`` on its own: its ledger is deleted at the end."""
     folder = scratch_path(spark, "poll")
     try:
-        rows = cursor_fields(unnest_pages(pages)).drop("alert")
-        rows.write.parquet(f"{folder}/raw")
-        raw = spark.read.schema(rows.schema).parquet(f"{folder}/raw")
-        new, nxt = load_new(raw, mark)
-        new.write.parquet(f"{folder}/new")
-        new = spark.read.schema(new.schema).parquet(f"{folder}/new")
-        publish(new)
-        try:
-            write_mark(nxt, mark_path, version + 1)
-        except Exception as exc:  # the next poll re-reads the old mark: re-send, never loss
-            print(f"[alertscope] could not persist mark to {mark_path}: {exc}")
-        return new.count()
+        return poll_batch(spark, pages, mark_path, publish, Ledger(spark, folder), 0)
     finally:
         delete_path(spark, folder)
 
@@ -137,14 +174,17 @@ def poll_once(
 def start_poller(
     pages_stream: DataFrame,
     mark_path: str,
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame], DataFrame | None],
     checkpoint: str,
     trigger: dict | None = None,
+    resend: bool = False,
 ) -> StreamingQuery:
-    """Run ``poll_once`` per micro-batch of a stream of page bodies."""
+    """Run ``poll_batch`` per micro-batch of a stream of page bodies, with a ledger
+    beside the checkpoint."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        poll_once(batch.sparkSession, batch, mark_path, publish)
+        ledger = Ledger(batch.sparkSession, f"{checkpoint.rstrip('/')}-ledger")
+        poll_batch(batch.sparkSession, batch, mark_path, publish, ledger, batch_id, resend)
 
     writer = pages_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if trigger:

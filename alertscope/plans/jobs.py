@@ -21,6 +21,7 @@ from alertscope.plans.report_job import run_reports
 from alertscope.sources import kafka
 from alertscope.operators.detect import to_anomaly_json
 from alertscope.streaming.event_time import detector_stream
+from alertscope.streaming.ledger import Ledger
 from alertscope.streaming.processing_time import start_processing_time_detector
 
 
@@ -65,25 +66,28 @@ def run_detector(
     """Start the detector on topic-shaped ``messages``.
 
     Anomalies go to the anomalies topic as JSON values by default; another
-    sink format (with its options, e.g. ``path``) receives the same values.
+    sink format (with its options, e.g. ``path``) receives the same values. In either
+    mode a batch's values are kept in a ledger beside the checkpoint before they are
+    sent and marked as sent after: a batch that is run again sends the same values,
+    and none once it is marked.
     """
     checkpoint = p.checkpoint_dir or f"{S.checkpoint_root(spark)}/anomaly-detector"
     trigger = {"processingTime": f"{p.checkpoint_interval_ms} milliseconds"}
     options = sink_options or kafka.anomaly_sink_options(p.bootstrap, p.anomalies_topic)
+    ledger_folder = f"{checkpoint.rstrip('/')}-ledger"
+
+    def to_sink(anomalies: DataFrame, batch_id: int) -> None:
+        ledger = Ledger(anomalies.sparkSession, ledger_folder)
+        values = ledger.keep("anomalies", batch_id, lambda: to_anomaly_json(anomalies))
+        writer = values.write.format(sink_format).mode("append").options(**options)
+        ledger.once("sent", batch_id, writer.save)
+        for kind in ("anomalies", "sent"):  # a stream replays its last batch only
+            ledger.forget(kind, batch_id - 1)
+
     if p.mode == "event":
         anomalies = detector_stream(messages, p.window_seconds, p.threshold, p.watermark_delay)
-        values = to_anomaly_json(anomalies)
-        writer = values.writeStream.format(sink_format).outputMode("append")
-        writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
-        for key, value in options.items():
-            writer = writer.option(key, value)
-        return writer.start()
-
-    def to_sink(batch: DataFrame, batch_id: int) -> None:
-        writer = to_anomaly_json(batch).write.format(sink_format).mode("append")
-        for key, value in options.items():
-            writer = writer.option(key, value)
-        writer.save()
+        writer = anomalies.writeStream.foreachBatch(to_sink).outputMode("append")
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
     events = parse_events(
         messages.withColumnRenamed("timestamp", "kafka_ts"),

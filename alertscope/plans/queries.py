@@ -8,6 +8,9 @@ column is wanted.
 
 from __future__ import annotations
 
+import datetime
+import json
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +27,16 @@ from alertscope.operators.incremental import (
     next_mark,
 )
 from alertscope.operators.parse import detector_events, parse_alerts
-from alertscope.plans.ingest_job import read_mark, write_mark
+from alertscope.operators.rollups import ReportRollups
+from alertscope.plans.ingest_job import poll_batch, read_mark, write_mark
 from alertscope.plans.lake_job import read_lake, start_lake
-from alertscope.plans.report_job import run_reports
+from alertscope.plans.report_job import run_reports, start_rolling_reports
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA, LAKE_SCHEMA
 from alertscope.session import ensure_utc, scratch_path
+from alertscope.sources.delivery import deliver
 from alertscope.sources.events import (
     alert_json,
+    alerts_from_events,
     dirty_messages,
     load_alerts,
     messages_from_alerts,
@@ -38,9 +44,12 @@ from alertscope.sources.events import (
     pages_from_alerts,
 )
 from alertscope.sources.pages import latest, unnest_pages
-from alertscope.streaming.event_time import table_stream
+from alertscope.streaming.event_time import detector_stream, finish, state_partitions, table_stream
+from alertscope.streaming.ledger import Ledger
 from alertscope.streaming.processing_time import run_processing_time_once
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 # Detector parameters for the test tables. At 60 s no
 # (source, window) reaches 3 alerts in ``events``, so a 1-day window is used.
 DETECT_WINDOW_SECONDS = 86_400
@@ -305,7 +314,135 @@ def source_anomalies_processing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(out).drop("windowStart", "windowEnd")
 
 
-Query = Callable[[SparkSession, str], DataFrame]
+# How the test sender treats alerts, by alertId % 10.
+REFUSED, THIRD_TIME = 3, 5
+
+
+class UnreliableSender:
+    """Refuses some records for good and some the first two times."""
+
+    def __init__(self) -> None:
+        self.tries: Counter = Counter()
+
+    def send(self, records: list[tuple[str, str]]) -> list[str | None]:
+        out: list[str | None] = []
+        for _, value in records:
+            digit = int(json.loads(value)["alertId"]) % 10
+            self.tries[value] += 1
+            waits = digit == THIRD_TIME and self.tries[value] < 3
+            out.append("refused" if digit == REFUSED else "busy" if waits else None)
+        return out
+
+    def close(self) -> None:
+        self.tries.clear()
+
+
+def delivered_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each alert published through an unreliable sender."""
+    done = deliver(_raw_alerts(spark, sf_dir), UnreliableSender)
+    return done.select(F.col("cursor_id").alias("alertId"), "delivered", "attempts", "error")
+
+
+def _pages_before(alerts: DataFrame, cutoff: F.Column) -> DataFrame:
+    return pages_from_alerts(alerts.filter(F.col("event_ts") < cutoff)).select("body")
+
+
+def _cutoff(alerts: DataFrame) -> F.Column:
+    last = alerts.select(F.max("event_ts")).scalar()
+    return F.date_trunc("day", last) - F.make_interval(days=F.lit(FIRST_POLL_DAYS_BEFORE_END))
+
+
+def partial_next_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls, the second through an unreliable sender: the mark covers what was
+    delivered, so alerts newer than it are left for the next poll."""
+    alerts = load_alerts(spark, sf_dir)
+    base = scratch_path(spark, "partial-poll")
+    ledger, mark = Ledger(spark, f"{base}/ledger"), f"{base}/mark"
+    poll_batch(spark, _pages_before(alerts, _cutoff(alerts)), mark, lambda new: None, ledger, 0)
+    pages = pages_from_alerts(alerts).select("body")
+    poll_batch(spark, pages, mark, lambda new: deliver(new, UnreliableSender), ledger, 1)
+    return read_mark(spark, mark).select(_iso("mark_ts").alias("mark_ts"), "mark_id")
+
+
+# Fixed value: alertId % 16 of alerts without a time in the replay query.
+TIMELESS = 10
+
+
+def replayed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls, each run twice under its batch id, as after a lost commit. An alert
+    without a time is new at every poll, and published once by each."""
+    alerts = load_alerts(spark, sf_dir)
+    timeless = F.col("alertId").cast("long") % 16 == TIMELESS
+    sent_as = alerts.withColumn("timestamp", F.when(~timeless, F.col("timestamp")))
+    base = scratch_path(spark, "replayed-polls")
+    ledger, topic = Ledger(spark, f"{base}/ledger"), f"{base}/topic"
+    both = [_pages_before(sent_as, _cutoff(alerts)), pages_from_alerts(sent_as).select("body")]
+    for batch_id, pages in enumerate(both):
+        for _ in range(2):
+            send = lambda new: new.select(F.lit(batch_id).alias("poll"), "cursor_id", "publish_key").write.mode(  # noqa: E731, B023
+                "append"
+            ).parquet(topic)
+            poll_batch(spark, pages, f"{base}/mark", send, ledger, batch_id)
+    return spark.read.parquet(topic).select("poll", F.col("cursor_id").alias("alertId"), "publish_key")
+
+
+def replayed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event-time detector through the ledger: each batch is kept, dies before its
+    commit once, and is run again; the sink still has every anomaly once."""
+    base = scratch_path(spark, "replayed-anomalies")
+    anomalies = detector_stream(
+        messages_from_events(table_stream(spark, sf_dir, "events.parquet")),
+        DETECT_WINDOW_SECONDS, DETECT_THRESHOLD, STREAM_DELAY,
+    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        ledger = Ledger(batch.sparkSession, f"{base}/ledger")
+        batch.write.parquet(f"{ledger.folder}/anomalies/data/{batch_id}-torn")  # no commit: never read
+        for _ in range(2):
+            ledger.keep("anomalies", batch_id, lambda: batch)
+
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        writer = anomalies.writeStream.foreachBatch(each).outputMode("append").trigger(availableNow=True)
+        finish(writer.option("checkpointLocation", f"{base}/checkpoint").start())
+    found = Ledger(spark, f"{base}/ledger").read("anomalies")
+    return _flat(spark.createDataFrame([], anomalies.schema) if found is None else found)
+
+
+#: Days at the end of the table that the rollup queries add one by one.
+ROLLED_DAYS = 2
+
+
+def _rolled(name: str) -> Query:
+    """The named report from parts: all days but the last ones, then a day at a time,
+    the last of them twice."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        alerts = load_alerts(spark, sf_dir)
+        rollups = ReportRollups(spark, scratch_path(spark, "rollups"))
+        last = alerts.agg(F.max("dt")).first()[0]
+        if last is not None:
+            days = [last - datetime.timedelta(days=n) for n in range(ROLLED_DAYS - 1, -1, -1)]
+            rollups.add(0, alerts.filter(F.col("dt").isNull() | (F.col("dt") < F.lit(days[0]))))
+            rollups.add_days(alerts, [*days, last])
+        return rollups.report(name)
+
+    run.__name__ = f"rolled_{name}"
+    return run
+
+
+def _streamed(name: str) -> Query:
+    """The named report kept by a stream over the table, read after its last batch."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_path(spark, "streamed-report")
+        alerts = alerts_from_events(table_stream(spark, sf_dir, "events.parquet"))
+        finish(start_rolling_reports(alerts, f"{base}/reports", f"{base}/checkpoint", trigger={"availableNow": True}))
+        return ReportRollups(spark, f"{base}/reports").report(name)
+
+    run.__name__ = f"streamed_{name}"
+    return run
+
+
 
 
 def _in_utc(fn: Query) -> Query:
@@ -358,7 +495,16 @@ def new_since_stored_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.select(F.col("cursor_id").alias("alertId"), _iso("cursor_ts").alias("cursor_ts"))
 
 
+# The reports with distinct counts, which cannot be added up.
+ROLLED = ("top_source_ips", "alerts_per_device", "daily_trend")
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{f"rolled_{name}": _rolled(name) for name in ROLLED},
+    **{f"streamed_{name}": _streamed(name) for name in ROLLED[:2]},
+    "delivered_alerts": delivered_alerts,
+    "partial_next_mark": partial_next_mark,
+    "replayed_polls": replayed_polls,
+    "replayed_anomalies": replayed_anomalies,
     **{name: _report(name) for name in R.REPORTS},
     **{f"sql_{name}": _sql_report(name) for name in R.REPORTS},
     "total_alerts": total_alerts,

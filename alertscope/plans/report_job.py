@@ -13,8 +13,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from alertscope.operators.reports import REPORTS, in_date_range
+from alertscope.operators.rollups import ReportRollups
 from alertscope.plans.lake_job import read_lake
 from alertscope.session import delete_path, scratch_path
 
@@ -106,3 +108,19 @@ def run_reports(
     finally:
         if scratch:
             delete_path(spark, scratch)
+
+
+def start_rolling_reports(
+    alerts: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the reports up to date from a stream of alerts: each micro-batch is a part
+    of the rollups in ``folder``, numbered by its batch id, so a replay counts once.
+    ``ReportRollups(spark, folder).report(name)`` reads any report at any time."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        ReportRollups(batch.sparkSession, folder).add(batch_id, batch)
+
+    writer = alerts.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()

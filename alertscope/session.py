@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -97,6 +99,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        handle, path = tempfile.mkstemp(prefix="alertscope-", suffix=".zip")
+        os.close(handle)
+        atexit.register(lambda: os.path.exists(path) and os.remove(path))  # served to executors until then
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, files in os.walk(package):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.relpath(full, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(path)
+        _shipped.add(app)
+    return spark
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder wherever Spark's file systems reach; a missing one is fine."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -76,6 +76,13 @@ def table_stream(
     )
 
 
+def finish(query: StreamingQuery) -> None:
+    """Wait for a query that ends by itself; raise what ended it otherwise."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, n: int):
     """Start a new streaming query with ``n`` state partitions.
@@ -119,7 +126,5 @@ def run_detector_available_now(
             trigger={"availableNow": True},
             path=f"{base}/anomalies",
         )
-        query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+        finish(query)
     return spark.read.schema(anomalies.schema).parquet(f"{base}/anomalies")
