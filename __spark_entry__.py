@@ -309,6 +309,17 @@ cut AS (SELECT date_trunc('day', MAX(event_ts)) - INTERVAL 7 DAY AS cutoff FROM
 timed AS (SELECT MAX(event_ts) AS mts FROM alerts, cut
           WHERE event_ts < cutoff AND CAST(alertId AS BIGINT) % 16 <> 10)"""
 
+_PARSE_OUTCOMES = """
+SELECT parse, outcome, CAST(n AS BIGINT) AS n FROM (
+  SELECT 'lake' AS parse, 'messages' AS outcome, count(*) AS n FROM kinds
+  UNION ALL SELECT 'lake', 'dropped', count(*) FROM kinds WHERE k IN (0, 1, 11)
+  UNION ALL SELECT 'detector', 'messages', count(*) FROM kinds
+  UNION ALL SELECT 'detector', 'not_objects', count(*) FROM kinds WHERE k IN (0, 1)
+  UNION ALL SELECT 'detector', 'without_source', count(*) FROM kinds
+            WHERE k NOT IN (0, 1) AND (k = 3 OR coalesce(sourceIp, '') = '')
+)"""
+_KINDS = "kinds AS (SELECT sourceIp, CAST(alertId AS BIGINT) % 16 AS k FROM alerts)"
+
 
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
@@ -351,6 +362,11 @@ def oracle_sql() -> dict[str, str]:
         out[f"rolled_{name}"] = out[name]
     for name in ("top_source_ips", "alerts_per_device"):
         out[f"streamed_{name}"] = out[name]
+    out["parse_outcomes"] = _with(_ALERTS + "," + _KINDS, _PARSE_OUTCOMES)
+    out["versioned_reports"] = out["written_reports"]
+    later = _ALERTS.replace("alerts AS (", "every AS (", 1) + """,
+alerts AS (SELECT * FROM every WHERE dt > (SELECT min(dt) FROM every))"""
+    out["damaged_lake_trend"] = _with(later, _REPORT_SQL["daily_trend"])
     out["delivered_alerts"] = _with(_ALERTS, _DELIVERED)
     out["partial_next_mark"] = _with(_ALERTS + "," + _MARK, _PARTIAL_MARK)
     out["replayed_polls"] = _with(_ALERTS + "," + _TIMED, _REPLAYED_POLLS)

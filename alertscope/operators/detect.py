@@ -16,6 +16,8 @@ exactly the device list plus the type list it emits, never the alerts.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,19 +44,21 @@ def arrival_order(ts: Column | str, partition: Column | str, offset: Column | st
     """
     c = lambda x: F.col(x) if isinstance(x, str) else x
 
-    def digits(value: Column, width: int) -> Column:
+    def digits(value: Column, width: int, below: int) -> Column:
         # 0 is kept for what comes first; a long has 19 digits and needs no cap
         shifted = F.greatest(F.coalesce(value, F.lit(-1)), F.lit(-1)) + F.lit(1)
         if width < 19:
             shifted = F.least(shifted, F.lit(10**width - 1))
-        return F.lpad(shifted.cast("string"), width, "0")
+        place = F.lit(Decimal(10**below)).cast(f"decimal({below + 1},0)")
+        return shifted.cast(f"decimal({width},0)") * place
 
     offset_ = F.least(c(offset).cast("long"), F.lit((1 << 63) - 2))
-    return F.concat(
-        digits(F.unix_millis(c(ts)), _MS_DIGITS),
-        digits(c(partition).cast("long"), _PARTITION_DIGITS),
-        digits(offset_, _OFFSET_DIGITS),
-    ).cast("decimal(38,0)")
+    order = (
+        digits(F.unix_millis(c(ts)), _MS_DIGITS, _PARTITION_DIGITS + _OFFSET_DIGITS)
+        + digits(c(partition).cast("long"), _PARTITION_DIGITS, _OFFSET_DIGITS)
+        + digits(offset_, _OFFSET_DIGITS, 0)
+    )
+    return order.cast("decimal(38,0)")
 
 
 def window_spec(time_col: Column | str, window_seconds: int) -> Column:

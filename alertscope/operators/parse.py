@@ -9,7 +9,9 @@ from it, so Catalyst does not inline the parser into every field.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +27,22 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def parse_alerts(messages: DataFrame) -> DataFrame:
+def parse_alerts(messages: DataFrame, observe: Observation | str | None = None) -> DataFrame:
     """Topic rows → typed lake rows (19 columns, lake order).
 
     ``from_json`` is permissive: malformed text, a non-object root or a
     missing ``alertId`` give a null id and the row is dropped; a field of
     the wrong type becomes null and the row is kept. Event time uses
     ``try_to_timestamp``, so bad text lands in the null ``dt`` partition
-    instead of failing the stream.
+    instead of failing the stream. ``observe`` (an observation of a batch, or the name
+    of one of a stream) counts ``messages`` and those ``dropped`` in passing.
     """
     typed = decode_messages(messages).select(
         F.from_json("json", ALERT_SCHEMA).alias("a"), "kafka_ts"
     )
+    if observe is not None:
+        dropped = F.count_if(F.col("a.alertId").isNull())
+        typed = typed.observe(observe, F.count(F.lit(1)).alias("messages"), dropped.alias("dropped"))
     record = F.struct(*[F.col("a")[f].alias(f) for f in ALERT_FIELDS], F.col("kafka_ts"))
     parsed = emit_if(typed, F.col("a.alertId").isNotNull(), record)
     with_time = parsed.withColumn("event_ts", lenient_timestamp("timestamp"))
@@ -46,10 +52,18 @@ def parse_alerts(messages: DataFrame) -> DataFrame:
 # The fields the detector reads, with the text used when a
 # field is missing or null.
 EVENT_DEFAULTS = {"sourceIp": "", "deviceId": "", "type": "", "severity": "LOW", "timestamp": ""}
-_FALLBACK_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in EVENT_DEFAULTS])
+# Text that is no JSON is told by the column that holds it then.
+_BROKEN = "_broken"
+_EVENT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (*EVENT_DEFAULTS, _BROKEN)])
+
+# A field read as text that may have been a container, or a number that a tree-model
+# reader prints in another way than it was written: only there the node's kind counts.
+_UNCLEAR = r"^([\[{]|-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$)"
 
 
-def parse_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_events(
+    messages: DataFrame, keep: tuple[str, ...] = (), observe: Observation | str | None = None
+) -> DataFrame:
     """Topic rows → detector events ``(sourceIp, deviceId, type, severity, timestamp)``.
 
     Drops null/blank values, malformed JSON and non-object roots; reads each
@@ -58,40 +72,48 @@ def parse_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     and drops rows whose ``sourceIp`` is then empty. ``severity`` falls back
     to ``LOW`` when blank. Input columns named in ``keep`` (e.g. broker
     time, partition and offset, which define arrival order) are carried.
+
+    One struct parse reads the five fields as they are written; of a key given
+    twice the last value counts. Few texts leave open what kind of node they were,
+    and for those messages only a variant parse tells. ``observe`` counts ``messages``,
+    those that are ``not_objects`` and objects ``without_source`` in passing.
     """
     text = F.col("_text")
-    v = F.col("_v")
-    staged = messages.select(
-        F.col("value").cast("string").alias("_text"), *keep
-    ).select("*", F.try_parse_json(text).alias("_v"))
-    # The variant parser rejects duplicate keys; the struct parser keeps the
-    # last value, as a tree-model reader does, so it is the fallback — run
-    # only for rows the variant parser gave up on.
+    parsed = messages.select(F.col("value").cast("string").alias("_text"), *keep).select(
+        "*", F.from_json(text, _EVENT_SCHEMA, {"columnNameOfCorruptRecord": _BROKEN}).alias("_s")
+    )
+    unclear = {n: F.coalesce(F.col("_s")[n].rlike(_UNCLEAR), F.lit(False)) for n in EVENT_DEFAULTS}
+    flagged = parsed.select("*", *[c.alias(f"_u_{n}") for n, c in unclear.items()])
+    some = functools.reduce(lambda x, y: x | y, [F.col(f"_u_{n}") for n in EVENT_DEFAULTS])
+    staged = flagged.select("*", F.when(some, F.try_parse_json(text)).alias("_v"))
     nodes = staged.select(
         "*",
-        F.schema_of_variant(v).alias("_kind"),
-        *[F.try_variant_get(v, f"$.{n}", "variant").alias(f"_n_{n}") for n in EVENT_DEFAULTS],
-        F.when(v.isNull(), F.from_json(text, _FALLBACK_SCHEMA)).alias("_fb"),
-    )
-    fallback = F.col("_fb")
-    has_text = F.coalesce(unicode_trim(text) != F.lit(""), F.lit(False))
-    object_root = F.when(v.isNotNull(), F.col("_kind").startswith("OBJECT")).otherwise(
-        F.ltrim(text, F.lit(WHITESPACE_CHARS)).startswith("{") & fallback.isNotNull()
+        *[
+            F.when(F.col(f"_u_{n}"), F.try_variant_get("_v", f"$.{n}", "variant")).alias(f"_n_{n}")
+            for n in EVENT_DEFAULTS
+        ],
     )
+    is_object = F.ltrim(text, F.lit(WHITESPACE_CHARS)).startswith("{") & F.col("_s").isNotNull() & F.col("_s")[_BROKEN].isNull()
 
     def field(name: str) -> F.Column:
         default = EVENT_DEFAULTS[name]
-        primary = node_text(
-            F.col(f"_n_{name}"), default, F.get_json_object(text, f"$.{name}")
-        )
-        second = F.coalesce(fallback[name], F.lit(default))
-        return unicode_trim(F.when(v.isNotNull(), primary).otherwise(second))
+        kind = F.col(f"_u_{name}") & F.col("_v").isNotNull()
+        told = node_text(F.col(f"_n_{name}"), default, F.get_json_object(text, f"$.{name}"))
+        return unicode_trim(F.when(kind, told).otherwise(F.coalesce(F.col("_s")[name], F.lit(default))))
 
     texts = nodes.select(
         *[field(n).alias(n) for n in EVENT_DEFAULTS],
         *[F.col(k) for k in keep],
-        F.coalesce(has_text & object_root, F.lit(False)).alias("_ok"),
+        F.coalesce(is_object, F.lit(False)).alias("_ok"),
     )
+    sourced = F.col("sourceIp") != F.lit("")
+    if observe is not None:
+        texts = texts.observe(
+            observe,
+            F.count(F.lit(1)).alias("messages"),
+            F.count_if(~F.col("_ok")).alias("not_objects"),
+            F.count_if(F.col("_ok") & ~sourced).alias("without_source"),
+        )
     sev = F.col("severity")
     event = F.struct(
         "sourceIp",
@@ -101,7 +123,7 @@ def parse_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "timestamp",
         *[F.col(k) for k in keep],
     )
-    return emit_if(texts, F.col("_ok") & (F.col("sourceIp") != F.lit("")), event)
+    return emit_if(texts, F.col("_ok") & sourced, event)
 
 
 def emit_if(df: DataFrame, condition: F.Column, record: F.Column) -> DataFrame:
@@ -116,7 +138,7 @@ def emit_if(df: DataFrame, condition: F.Column, record: F.Column) -> DataFrame:
     return df.select(F.explode(rows).alias("_e")).select("_e.*")
 
 
-def detector_events(messages: DataFrame) -> DataFrame:
+def detector_events(messages: DataFrame, observe: Observation | str | None = None) -> DataFrame:
     """Topic rows → detector events carrying arrival order and event time.
 
     Adds ``kafka_ts``, ``partition``, ``offset`` (arrival order) and
@@ -126,5 +148,6 @@ def detector_events(messages: DataFrame) -> DataFrame:
     events = parse_events(
         messages.withColumnRenamed("timestamp", "kafka_ts"),
         keep=("kafka_ts", "partition", "offset"),
+        observe=observe,
     )
     return events.withColumn("event_ts", lenient_timestamp("timestamp"))

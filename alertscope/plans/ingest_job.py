@@ -104,10 +104,10 @@ def write_mark(mark: DataFrame, path: str, version: int) -> None:
 
 
 def _outcomes(new: DataFrame, publish: Callable[[DataFrame], DataFrame | None]) -> DataFrame:
-    """``new`` with ``delivered`` for every row; a publisher without outcomes of its own
-    has delivered all or raised."""
+    """``new`` with ``delivered`` for every row; a publisher that gives back no rows has
+    delivered all or raised."""
     out = publish(new)
-    return new.withColumn("delivered", F.lit(True)) if out is None else out
+    return out if isinstance(out, DataFrame) else new.withColumn("delivered", F.lit(True))
 
 
 def poll_batch(

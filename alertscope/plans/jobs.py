@@ -22,6 +22,7 @@ from alertscope.sources import kafka
 from alertscope.operators.detect import to_anomaly_json
 from alertscope.streaming.event_time import detector_stream
 from alertscope.streaming.ledger import Ledger
+from alertscope.streaming.progress import ProgressTotals
 from alertscope.streaming.processing_time import start_processing_time_detector
 
 
@@ -140,6 +141,8 @@ def main(argv: list[str]) -> int:
     key = "spark.sql.streaming.stateStore.providerClass"
     if job == "detector" and not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, S.param("STATE_STORE_PROVIDER", ROCKSDB_PROVIDER))
+    if job in ("lake", "detector", "ingest"):
+        spark.streams.addListener(ProgressTotals())
     if job == "lake":
         messages = kafka.read_topic_stream(
             spark,

@@ -9,11 +9,12 @@ column is wanted.
 from __future__ import annotations
 
 import datetime
+import functools
 import json
 from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from alertscope.functions.time import ISO_MICROS_FORMAT
@@ -29,8 +30,8 @@ from alertscope.operators.incremental import (
 from alertscope.operators.parse import detector_events, parse_alerts
 from alertscope.operators.rollups import ReportRollups
 from alertscope.plans.ingest_job import poll_batch, read_mark, write_mark
-from alertscope.plans.lake_job import read_lake, start_lake
-from alertscope.plans.report_job import run_reports, start_rolling_reports
+from alertscope.plans.lake_job import PARSE, read_lake, start_lake
+from alertscope.plans.report_job import read_report, run_reports, start_rolling_reports
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA, LAKE_SCHEMA
 from alertscope.session import ensure_utc, scratch_path
 from alertscope.sources.delivery import deliver
@@ -47,6 +48,7 @@ from alertscope.sources.pages import latest, unnest_pages
 from alertscope.streaming.event_time import detector_stream, finish, state_partitions, table_stream
 from alertscope.streaming.ledger import Ledger
 from alertscope.streaming.processing_time import run_processing_time_once
+from alertscope.streaming.progress import observed_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -408,6 +410,54 @@ def replayed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(spark.createDataFrame([], anomalies.schema) if found is None else found)
 
 
+def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both parses dropped of the dirty messages, as observed while the lake stream
+    wrote them and while the detector's events were read: no job counts."""
+    base = scratch_path(spark, "parse-outcomes")
+    stream = alerts_from_events(table_stream(spark, sf_dir, "events.parquet"))
+    lake = start_lake(dirty_messages(stream), f"{base}/lake", f"{base}/checkpoint", trigger={"availableNow": True})
+    finish(lake)
+    seen = Observation()
+    events = detector_events(dirty_messages(load_alerts(spark, sf_dir)), observe=seen)
+    events.write.format("noop").mode("overwrite").save()
+    found = {"lake": observed_totals(lake.recentProgress).get(PARSE, {}), "detector": seen.get}
+    rows = [(parse, outcome, n) for parse, outcomes in found.items() for outcome, n in outcomes.items()]
+    return spark.createDataFrame(rows, "parse string, outcome string, n long")
+
+
+def versioned_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports published twice as versions, the first time over part of the alerts; a
+    third write of each dies before its commit. The second version is what is read."""
+    out, alerts = scratch_path(spark, "versioned-reports"), load_alerts(spark, sf_dir)
+    for some in (alerts.filter("alertId % 2 = 0"), alerts):
+        failed = {k: v for k, v in run_reports(spark, some, out, versioned=True).items() if v != "ok"}
+        if failed:
+            raise RuntimeError(f"report job failed: {failed}")
+    frames = []
+    for name, key in REPORT_KEYS.items():
+        torn = alerts.limit(1).select(F.col(key), F.lit(-1).cast("long").alias("alert_count"))
+        torn.write.parquet(f"{out}/{name}/data/2-torn")
+        rows = read_report(spark, out, name)
+        frames.append(rows.select(F.lit(name).alias("report"), F.col(key).cast("string").alias("key"), "alert_count"))
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def damaged_lake_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily trend over a lake whose file of the first day is damaged, read back
+    from the report job: the other days are reported."""
+    base, alerts = scratch_path(spark, "damaged-lake"), load_alerts(spark, sf_dir)
+    alerts.repartition("dt").write.partitionBy("dt").parquet(f"{base}/lake")
+    first = alerts.agg(F.min("dt")).first()[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/lake/dt={first}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        out = files.create(status.getPath(), True)
+        out.write(bytearray(b"PAR1 cut off"))
+        out.close()
+    run_reports(spark, f"{base}/lake", f"{base}/reports")
+    return spark.read.parquet(f"{base}/reports/daily_trend")
+
+
 #: Days at the end of the table that the rollup queries add one by one.
 ROLLED_DAYS = 2
 
@@ -504,6 +554,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivered_alerts": delivered_alerts,
     "partial_next_mark": partial_next_mark,
     "replayed_polls": replayed_polls,
+    "parse_outcomes": parse_outcomes,
+    "versioned_reports": versioned_reports,
+    "damaged_lake_trend": damaged_lake_trend,
     "replayed_anomalies": replayed_anomalies,
     **{name: _report(name) for name in R.REPORTS},
     **{f"sql_{name}": _sql_report(name) for name in R.REPORTS},

@@ -123,11 +123,12 @@ def start_processing_time_detector(
     def each(batch: DataFrame, batch_id: int) -> None:
         windows = WindowStore(batch.sparkSession, folder)
         windows.drop_closed_before(batch_id)
-        # the stream's log fixes a batch's clock; an empty batch has nothing to place
-        seen = batch.agg(F.max(_CLOCK).alias("clock"), F.count_if(~F.col(_BEAT)).alias("n")).first()
-        clock = seen["clock"] if seen["clock"] is not None else int(time.time() * 1000)
-        if seen["n"]:
-            own = batch.filter(~F.col(_BEAT)).drop(_BEAT, _CLOCK)
+        # the stream's log fixes a batch's clock, the same in each of its rows: the first
+        # ones tell it, and whether there is anything to place, without a second parse
+        row = batch.select(_CLOCK).first()
+        clock = row[_CLOCK] if row is not None else int(time.time() * 1000)
+        own = batch.filter(~F.col(_BEAT)).drop(_BEAT, _CLOCK)
+        if not own.isEmpty():
             start = clock // length_ms * length_ms
             windows.put(batch_partials(own, start), start, batch_id)
         due = windows.due(clock, length_ms)
