@@ -59,8 +59,9 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder, with options of the Parquet
+    writer, and read it back.
 
     It cuts the lineage: an executor lost later costs a file read, not the
     work above. ``release`` removes the folder early; what is left goes when
@@ -68,7 +69,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _scratch.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_folder = path

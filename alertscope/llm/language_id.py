@@ -27,6 +27,8 @@ from alertscope.llm.double_array import DoubleArray, double_array
 
 #: Bounds of the labelled sample: texts of a language, characters of one text and of all.
 FIT_TEXTS, FIT_TEXT_CHARS, FIT_CHARS = 128, 4096, 65_536
+#: Parts of the table whose least hashes are found on their own.
+PARTS = 256
 #: Every ``FOLDS``-th row by the crc32 of its id is held out.
 FOLDS = 5
 #: Symbols that are parsed from a fresh start, and how many segments advance together.
@@ -199,11 +201,14 @@ def labelled_sample(docs: DataFrame, texts: int = FIT_TEXTS, text_chars: int = F
     ``text_chars`` characters of the ``texts`` distinct texts of least hash, up to
     ``chars`` characters in all."""
     hashed = docs.where("lang is not null and text is not null").select("lang", F.xxhash64("text").alias("h"), "text")
-    first = Window.partitionBy("lang").orderBy("h")
-    # hashes alone are ranked; a copy of a text takes a rank of its own at most once
-    least = hashed.select("lang", "h").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= texts)
+    # hashes alone are ranked, each once: of a part of the table first, then of the rest
+    ranked = hashed.select("lang", "h").distinct().withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("h")
+        ranked = ranked.withColumn("r", F.row_number().over(first)).where(F.col("r") <= texts)
+    # smaller than the sample, which the driver holds: ``texts`` hashes per language
     found = (
-        hashed.join(least, ["lang", "h"])
+        hashed.join(F.broadcast(ranked.select("lang", "h", "r")), ["lang", "h"])
         .groupBy("lang", "r")
         .agg(F.min(F.substring("text", 1, text_chars)).alias("text"))
     )
