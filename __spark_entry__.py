@@ -345,6 +345,7 @@ def oracle_sql() -> dict[str, str]:
     out["source_anomalies_processing"] = _with(
         _ALERTS + "," + _EV + "," + _anomaly_ctes(one_window=True), _ANOM_PROCESSING
     )
+    out["source_anomalies_timed"] = out["source_anomalies_processing"]
     out["latest_alerts"] = _with(_ALERTS, _LATEST)
     out["new_since_mark_pages"] = _with(_ALERTS, _NEW_OVER_PAGES)
     out["page_unnest"] = _with(_ALERTS, _PAGE_UNNEST)

@@ -49,6 +49,7 @@ from alertscope.streaming.event_time import detector_stream, finish, state_parti
 from alertscope.streaming.ledger import Ledger
 from alertscope.streaming.processing_time import run_processing_time_once
 from alertscope.streaming.progress import observed_totals
+from alertscope.streaming.timed_windows import now_ms, run_until_closed, start_timed_detector
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -410,6 +411,32 @@ def replayed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(spark.createDataFrame([], anomalies.schema) if found is None else found)
 
 
+#: Windows of the timer query are short, as it has to wait for the end of one.
+TIMED_WINDOW_SECONDS = 2
+
+
+def source_anomalies_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detector with keyed state and timers over the whole table. The rows' clock
+    stands still at the start, so all of them fall into one window, which closes when
+    the stream's own clock has passed its end."""
+    base, length = scratch_path(spark, "detector-timed"), TIMED_WINDOW_SECONDS * 1000
+    stream = table_stream(spark, sf_dir, "events.parquet", max_files=1_000_000)
+    events = detector_events(messages_from_events(stream)).drop("event_ts")
+    start = now_ms()
+    ledger = Ledger(spark, f"{base}/ledger")
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        query = start_timed_detector(
+            events, TIMED_WINDOW_SECONDS, DETECT_THRESHOLD,
+            lambda closed, batch_id: ledger.keep("anomalies", batch_id, lambda: closed),
+            f"{base}/checkpoint", clock=lambda: start,
+        )
+    run_until_closed(query, length, clock=lambda: start)
+    found = ledger.read("anomalies")
+    if found is None:
+        found = detect_anomalies(_detector_events(spark, sf_dir).limit(0), length, DETECT_THRESHOLD)
+    return _flat(found).drop("windowStart", "windowEnd")
+
+
 def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What both parses dropped of the dirty messages, as observed while the lake stream
     wrote them and while the detector's events were read: no job counts."""
@@ -554,6 +581,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivered_alerts": delivered_alerts,
     "partial_next_mark": partial_next_mark,
     "replayed_polls": replayed_polls,
+    "source_anomalies_timed": source_anomalies_timed,
     "parse_outcomes": parse_outcomes,
     "versioned_reports": versioned_reports,
     "damaged_lake_trend": damaged_lake_trend,

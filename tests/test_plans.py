@@ -14,12 +14,18 @@ from conftest import SF_SMALL
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
              "SortAggregate")
 
+# Spark's bitmap aggregates have a sort-based form only; their input is a row for each
+# bucket of a group, not the alerts.
+BITMAPS = ("rolled_", "streamed_")
+
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_slow_paths(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
+        if op == "SortAggregate" and name.startswith(BITMAPS):
+            continue
         assert re.search(rf"\b{op}\b", plan) is None, f"{name}: {op}"
     # each text is parsed once per row: no parse expression appears twice
     assert plan.count("parseJson") <= 1, name
