@@ -57,6 +57,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             docs,
             {"byte": vocabulary(BYTE_BPE), "word": vocabulary(WORD_BPE)},
             {"raw": F.col("text"), "squeezed": squeezed},
+            [("byte", "raw"), ("byte", "squeezed"), ("word", "raw")],
             ["doc_id", "source", "lang", "md5"],
         ),
         "token-counts",

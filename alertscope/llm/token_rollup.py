@@ -25,28 +25,40 @@ _SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens l
 
 
 def count_tokens(
-    docs: DataFrame, vocabularies: dict[str, str], texts: dict[str, Column], keep: list[str]
+    docs: DataFrame, vocabularies: dict[str, str], texts: dict[str, Column], wanted: list[tuple[str, str]], keep: list[str]
 ) -> DataFrame:
-    """``keep`` columns plus a long column ``<tokenizer>_<text>`` for each pair of
-    a vocabulary and a text column. Null text has no tokens."""
+    """``keep`` columns plus a long column ``<tokenizer>_<text>`` for each wanted pair of
+    a vocabulary and a text column.
+
+    Null and empty texts have no tokens; repeated rows are counted alike; an empty table
+    gives an empty result. A text that equals the first of its row is not encoded again
+    for the same vocabulary. Columns of ``docs`` that are not kept cannot clash; a kept
+    one with the name of a count is an error.
+    """
     spark = prepare(docs.sparkSession)
+    names = [f"{v}_{t}" for v, t in wanted]
+    if clash := set(names) & set(keep):
+        raise ValueError(f"kept columns have names of counts: {sorted(clash)}")
     shared = spark.sparkContext.broadcast(vocabularies)
-    rows = docs.select(*keep, *[t.cast("string").alias(f"_t_{n}") for n, t in texts.items()])
-    kinds = dict(rows.dtypes)
-    names = [f"{v}_{t}" for v in vocabularies for t in texts]
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`{n}` long" for n in names])
+    rows = docs.select(
+        F.struct(*keep).alias("kept"), F.struct(*[t.cast("string").alias(n) for n, t in texts.items()]).alias("texts")
+    )
+    schema = f"kept {rows.schema['kept'].dataType.simpleString()}, " + ", ".join(f"`{n}` long" for n in names)
+    order, first = list(texts), next(iter(texts))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(len(keep), batch.num_columns)]
-            counts = [
-                pa.array([len(encoder(text).encode(t)) // 4 for t in column], pa.int64())
-                for text in shared.value.values()
-                for column in columns
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *counts], [*keep, *names])
-
-    return rows.mapInArrow(work, schema)
+            columns = {n: batch.column(1).field(i).to_pylist() for i, n in enumerate(order)}
+            counts: dict[tuple[str, str], list[int]] = {}
+            for vocabulary, name in wanted:
+                encode, same = encoder(shared.value[vocabulary]).encode, counts.get((vocabulary, first))
+                counts[vocabulary, name] = [
+                    same[i] if same and t == columns[first][i] else len(encode(t)) // 4 for i, t in enumerate(columns[name])
+                ]
+            found = [pa.array(counts[pair], pa.int64()) for pair in wanted]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["kept", *names])
+
+    return rows.mapInArrow(work, schema).select("kept.*", *names)
 
 
 def signed(changes: DataFrame) -> DataFrame:

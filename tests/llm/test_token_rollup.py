@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from alertscope.llm.token_rollup import TokenRollups, inserted
+from alertscope.llm.token_rollup import TokenRollups, count_tokens, inserted
 
 CHANGES = "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long"
 
@@ -58,6 +58,27 @@ def test_bad_changes(spark, tmp_dir):
         store.commit("_hidden", inserted(spark.createDataFrame([("a", "en", 1)], "source string, lang string, n long"), "v", "n"))
 
 
+def test_counts_of_odd_rows(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from alertscope.llm.queries import WORD_BPE, vocabulary
+
+    plain = Tokenizer.from_file(public_tokenizers.path(WORD_BPE))
+    texts = [None, "", "One two", "One two", "x " * 50_000, " \t", "Zoë 日本"]
+    df = spark.createDataFrame([(i, t, "s", "k", -1) for i, t in enumerate(texts)], "doc_id long, text string, texts string, kept string, v_raw long")
+    cols = {"raw": df.text, "again": df.text, "other": df.texts}
+    wanted = [("v", "raw"), ("v", "again"), ("v", "other")]
+    got = count_tokens(df, {"v": vocabulary(WORD_BPE)}, cols, wanted, ["doc_id", "text", "kept"])
+    assert got.columns == ["doc_id", "text", "kept", "v_raw", "v_again", "v_other"]
+    n = [len(plain.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    one = len(plain.encode("s", add_special_tokens=False).ids)
+    assert [(r.v_raw, r.v_again, r.v_other) for r in got.orderBy("doc_id").collect()] == [(x, x, one) for x in n]
+    assert count_tokens(df.limit(0), {"v": vocabulary(WORD_BPE)}, cols, wanted, ["doc_id"]).count() == 0
+    with pytest.raises(ValueError):
+        count_tokens(df, {"v": vocabulary(WORD_BPE)}, cols, wanted, ["v_raw"])
+
+
 def test_query_equals_recount(spark):
     import re
     from collections import Counter
