@@ -346,6 +346,9 @@ def oracle_sql() -> dict[str, str]:
         _ALERTS + "," + _EV + "," + _anomaly_ctes(one_window=True), _ANOM_PROCESSING
     )
     out["source_anomalies_timed"] = out["source_anomalies_processing"]
+    lake_rows = _ALERTS.replace("date_trunc('millisecond', ts) AS kafka_ts", "ts AS kafka_ts")
+    out["compacted_lake_parse"] = _with(lake_rows, _LAKE_PARSE)
+    out["new_since_damaged_mark"] = _with(_ALERTS + "," + _MARK, _NEW_SINCE)
     out["latest_alerts"] = _with(_ALERTS, _LATEST)
     out["new_since_mark_pages"] = _with(_ALERTS, _NEW_OVER_PAGES)
     out["page_unnest"] = _with(_ALERTS, _PAGE_UNNEST)

@@ -10,6 +10,7 @@ itself, only files that no commit names: late alerts of a compacted day included
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,13 +69,22 @@ def compact_day(
 
 
 def compact_closed(
-    spark: SparkSession, path: str, store: str, before: datetime.date, most_files: int = 8, file_bytes: int = FILE_BYTES
+    spark: SparkSession,
+    path: str,
+    store: str,
+    before: datetime.date,
+    most_files: int = 8,
+    file_bytes: int = FILE_BYTES,
+    parallel: int = 4,
 ) -> list[datetime.date | None]:
-    """Compact the days before ``before`` that lie in more than ``most_files`` files."""
+    """Compact the days before ``before`` that lie in more than ``most_files`` files,
+    ``parallel`` at a time."""
     days = day_files(spark, path).groupBy("dt").agg(F.count(F.lit(1)).alias("files"))
     many = days.filter((F.col("files") > most_files) & (F.col("dt").isNull() | (F.col("dt") < F.lit(before))))
     found = sorted((r["dt"] for r in many.select("dt").collect()), key=lambda d: (d is not None, d or before))
-    return [d for d in found if compact_day(spark, path, store, d, file_bytes)]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        done = list(pool.map(lambda d: compact_day(spark, path, store, d, file_bytes), found))
+    return [d for d, new in zip(found, done) if new]
 
 
 def compacted_lake(spark: SparkSession, path: str, store: str) -> DataFrame | None:

@@ -62,7 +62,7 @@ def _slot(spark: SparkSession, path: str, slot: int) -> tuple[int, DataFrame] |
     except AnalysisException:
         return None
     except Exception as exc:  # a damaged file: the other slot may still be good
-        print(f"[alertscope] unreadable mark slot {slot} at {path}: {exc}")
+        print(f"[alertscope] unreadable mark slot {slot} at {path}: {type(exc).__name__}")
         return None
 
 

@@ -154,7 +154,7 @@ def main(argv: list[str]) -> int:
         )
         root = S.checkpoint_root(spark)
         q = start_lake(
-            messages,
+            S.spread(messages),
             S.param("LAKE_PATH", f"{root}/alerts"),
             S.param("LAKE_CHECKPOINT", f"{root}/_checkpoints/alerts"),
             dedupe_within=S.param("LAKE_DEDUPE_WITHIN", "") or None,
@@ -184,7 +184,7 @@ def main(argv: list[str]) -> int:
             max_offsets_per_trigger=S.int_param("KAFKA_MAX_OFFSETS_PER_TRIGGER", S.DEFAULT_MAX_OFFSETS, 1),
             group_id=S.param("KAFKA_GROUP_ID", S.DEFAULT_GROUP_ID) if job == "detector" else None,
         )
-        run_detector(spark, messages, p).awaitTermination()
+        run_detector(spark, S.spread(messages), p).awaitTermination()
     else:
         print("usage: python -m alertscope.plans.jobs ingest|lake|reports|detector")
         return 2

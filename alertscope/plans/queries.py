@@ -29,11 +29,12 @@ from alertscope.operators.incremental import (
 )
 from alertscope.operators.parse import detector_events, parse_alerts
 from alertscope.operators.rollups import ReportRollups
+from alertscope.plans.compaction import compact_closed, compacted_lake
 from alertscope.plans.ingest_job import poll_batch, read_mark, write_mark
 from alertscope.plans.lake_job import PARSE, read_lake, start_lake
 from alertscope.plans.report_job import read_report, run_reports, start_rolling_reports
 from alertscope.schema import ALERT_FIELDS, ALERT_SCHEMA, LAKE_SCHEMA
-from alertscope.session import ensure_utc, scratch_path
+from alertscope.session import ensure_utc, scratch_path, spread
 from alertscope.sources.delivery import deliver
 from alertscope.sources.events import (
     alert_json,
@@ -95,7 +96,7 @@ def _written_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = table_stream(spark, sf_dir, "events.parquet")
     base = scratch_path(spark, "lake")
     query = start_lake(
-        messages_from_events(stream),
+        messages_from_events(spread(stream)),
         f"{base}/alerts",
         f"{base}/_checkpoint",
         trigger={"availableNow": True},
@@ -127,7 +128,7 @@ def total_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """alerts → topic messages (JSON) → typed lake rows."""
-    lake = parse_alerts(messages_from_alerts(load_alerts(spark, sf_dir)))
+    lake = parse_alerts(messages_from_alerts(spread(load_alerts(spark, sf_dir))))
     return lake.select(
         *ALERT_FIELDS,
         _iso("kafka_ts").alias("kafka_ts"),
@@ -137,7 +138,7 @@ def lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dirty_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_alerts(dirty_messages(load_alerts(spark, sf_dir)))
+    return parse_alerts(dirty_messages(spread(load_alerts(spark, sf_dir))))
 
 
 def dirty_lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,12 +157,12 @@ def dirty_severity_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_detector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = detector_events(dirty_messages(load_alerts(spark, sf_dir)))
+    events = detector_events(dirty_messages(spread(load_alerts(spark, sf_dir))))
     return events.select("sourceIp", "deviceId", "type", "severity", "timestamp")
 
 
 def dirty_source_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = detector_events(dirty_messages(load_alerts(spark, sf_dir)))
+    events = detector_events(dirty_messages(spread(load_alerts(spark, sf_dir))))
     return _flat(
         detect_anomalies(
             events, DETECT_WINDOW_SECONDS, DETECT_THRESHOLD, time_col="event_ts", order=_arrival_order()
@@ -170,7 +171,7 @@ def dirty_source_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detector_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detector_events(messages_from_alerts(load_alerts(spark, sf_dir)))
+    return detector_events(messages_from_alerts(spread(load_alerts(spark, sf_dir))))
 
 
 def detector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +250,7 @@ def latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The poll's raw alerts straight from message text: narrow, no pages."""
-    texts = load_alerts(spark, sf_dir).select(alert_json().alias("json"))
+    texts = spread(load_alerts(spark, sf_dir)).select(alert_json().alias("json"))
     return cursor_fields(texts.select("json", F.try_parse_json("json").alias("alert")))
 
 
@@ -310,7 +311,7 @@ def source_anomalies_processing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detector in its default mode: ``events`` as one micro-batch, so one
     processing-time window; the wall-clock columns are left out."""
     stream = table_stream(spark, sf_dir, "events.parquet", max_files=1_000_000)
-    events = detector_events(messages_from_events(stream)).drop("event_ts")
+    events = detector_events(messages_from_events(spread(stream))).drop("event_ts")
     out = run_processing_time_once(
         events, DETECT_WINDOW_SECONDS, DETECT_THRESHOLD, scratch_path(spark, "detector-processing")
     )
@@ -394,7 +395,7 @@ def replayed_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     commit once, and is run again; the sink still has every anomaly once."""
     base = scratch_path(spark, "replayed-anomalies")
     anomalies = detector_stream(
-        messages_from_events(table_stream(spark, sf_dir, "events.parquet")),
+        messages_from_events(spread(table_stream(spark, sf_dir, "events.parquet"))),
         DETECT_WINDOW_SECONDS, DETECT_THRESHOLD, STREAM_DELAY,
     )
 
@@ -421,7 +422,7 @@ def source_anomalies_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     the stream's own clock has passed its end."""
     base, length = scratch_path(spark, "detector-timed"), TIMED_WINDOW_SECONDS * 1000
     stream = table_stream(spark, sf_dir, "events.parquet", max_files=1_000_000)
-    events = detector_events(messages_from_events(stream)).drop("event_ts")
+    events = detector_events(messages_from_events(spread(stream))).drop("event_ts")
     start = now_ms()
     ledger = Ledger(spark, f"{base}/ledger")
     with state_partitions(spark, spark.sparkContext.defaultParallelism):
@@ -445,7 +446,7 @@ def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = start_lake(dirty_messages(stream), f"{base}/lake", f"{base}/checkpoint", trigger={"availableNow": True})
     finish(lake)
     seen = Observation()
-    events = detector_events(dirty_messages(load_alerts(spark, sf_dir)), observe=seen)
+    events = detector_events(dirty_messages(spread(load_alerts(spark, sf_dir))), observe=seen)
     events.write.format("noop").mode("overwrite").save()
     found = {"lake": observed_totals(lake.recentProgress).get(PARSE, {}), "detector": seen.get}
     rows = [(parse, outcome, n) for parse, outcomes in found.items() for outcome, n in outcomes.items()]
@@ -469,18 +470,49 @@ def versioned_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
+def _damage(spark: SparkSession, folder: str) -> None:
+    """Cut off every file of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        out = files.create(status.getPath(), True)
+        out.write(bytearray(b"PAR1 cut off"))
+        out.close()
+
+
+def new_since_damaged_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mark store whose newest slot is damaged: the mark before it counts, so alerts
+    since then are new again and none is lost."""
+    raw = _poll_batch(spark, sf_dir)
+    store, first = scratch_path(spark, "mark"), _first_poll_mark(spark, raw)
+    write_mark(first, store, 0)
+    write_mark(next_mark(raw, first), store, 1)
+    _damage(spark, f"{store}/slot=1")
+    new = new_since_mark(raw, read_mark(spark, store))
+    return new.select(F.col("cursor_id").alias("alertId"), _iso("cursor_ts").alias("cursor_ts"))
+
+
+def compacted_lake_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake written in three batches, its closed days compacted after the second, read
+    back with the third's late alerts."""
+    base, alerts = scratch_path(spark, "compacted-lake"), load_alerts(spark, sf_dir)
+    last = alerts.agg(F.max("dt")).first()[0]
+    for batch in range(3):
+        if batch == 2 and last is not None:
+            compact_closed(spark, f"{base}/lake", f"{base}/compact", before=last, most_files=1)
+        some = alerts.filter(F.col("alertId").cast("long") % 3 == batch)
+        some.write.mode("append").partitionBy("dt").parquet(f"{base}/lake")
+    lake = compacted_lake(spark, f"{base}/lake", f"{base}/compact")
+    return lake.select(*ALERT_FIELDS, _iso("kafka_ts").alias("kafka_ts"), _iso("event_ts").alias("event_ts"), "dt")
+
+
 def damaged_lake_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily trend over a lake whose file of the first day is damaged, read back
     from the report job: the other days are reported."""
     base, alerts = scratch_path(spark, "damaged-lake"), load_alerts(spark, sf_dir)
     alerts.repartition("dt").write.partitionBy("dt").parquet(f"{base}/lake")
     first = alerts.agg(F.min("dt")).first()[0]
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/lake/dt={first}")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(path):
-        out = files.create(status.getPath(), True)
-        out.write(bytearray(b"PAR1 cut off"))
-        out.close()
+    _damage(spark, f"{base}/lake/dt={first}")
     run_reports(spark, f"{base}/lake", f"{base}/reports")
     return spark.read.parquet(f"{base}/reports/daily_trend")
 
@@ -585,6 +617,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_outcomes": parse_outcomes,
     "versioned_reports": versioned_reports,
     "damaged_lake_trend": damaged_lake_trend,
+    "compacted_lake_parse": compacted_lake_parse,
+    "new_since_damaged_mark": new_since_damaged_mark,
     "replayed_anomalies": replayed_anomalies,
     **{name: _report(name) for name in R.REPORTS},
     **{f"sql_{name}": _sql_report(name) for name in R.REPORTS},

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from alertscope.functions.text import WHITESPACE_CHARS
 
@@ -45,6 +45,15 @@ def int_param(key: str, default: int, minimum: int, bits: int = 64) -> int:
     return max(value, minimum)
 
 
+def spread(messages: DataFrame) -> DataFrame:
+    """``messages`` dealt over ``PARSE_PARTITIONS`` tasks before they are parsed, whatever
+    their size; as they come if the parameter is unset. For input in fewer pieces than
+    there are cores, such as one large file of one row group; a topic is better split by
+    ``KAFKA_MIN_PARTITIONS``, which needs no shuffle."""
+    n = int_param("PARSE_PARTITIONS", 0, 0)
+    return messages.repartition(n) if n else messages
+
+
 def session(app: str = "alertscope", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings every job here assumes (UTC, AQE on, no UI)."""
     builder = SparkSession.builder.appName(app)

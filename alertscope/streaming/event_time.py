@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from alertscope.operators.detect import arrival_order, detect_anomalies, to_anomaly_json
 from alertscope.operators.parse import detector_events
-from alertscope.session import scratch_path
+from alertscope.session import scratch_path, spread
 from alertscope.sources.events import messages_from_events
 
 #: Files in one micro-batch, so that a first run over a large table goes in steps.
@@ -116,7 +116,7 @@ def run_detector_available_now(
     default parallelism).
     """
     stream = table_stream(spark, table_dir, "events.parquet")
-    anomalies = detector_stream(messages_from_events(stream), window_seconds, threshold, delay)
+    anomalies = detector_stream(messages_from_events(spread(stream)), window_seconds, threshold, delay)
     base = scratch_path(spark, "detector-stream")
     with state_partitions(spark, partitions or spark.sparkContext.defaultParallelism):
         query = start_detector(
