@@ -58,7 +58,7 @@ def test_late_alerts_and_a_reader_in_between(spark, lake, tmp_dir):
 def test_only_closed_days_of_many_files(spark, lake, tmp_dir):
     store = f"{tmp_dir}/compact"
     counts = {r.dt: r["count"] for r in day_files(spark, lake).groupBy("dt").count().collect()}
-    done = compact_closed(spark, lake, store, before=SECOND, most_files=4, file_bytes=1)
+    done = compact_closed(spark, lake, store, before=SECOND, most_files=4, file_bytes=20_000)
     assert done == [FIRST] and counts[FIRST] > 4 >= counts[None]
     assert rows(compacted_lake(spark, lake, store)) == rows(read_lake(spark, lake))
     assert compact_closed(spark, lake, store, before=SECOND, most_files=4) == []
