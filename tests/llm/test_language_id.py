@@ -78,10 +78,10 @@ def test_odd_inputs(spark):
              (104, make("abcdef", 100_000), None, "s", "x"), (None, make("uvwxyz", 20), "l1", "s", "x"), (3, rows[3][1], "l1", "s", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out string, score string")
     got = {r.doc_id: r for r in I.identify_languages(df).collect()}
-    assert len(got) == 65 and I.identify_languages(df).count() == len(rows)
+    assert len(got) == 66 and I.identify_languages(df).count() == len(rows)
     assert all(got[i].lang_pred == ("l1" if i % 2 else "l2") and got[i].score > 0.5 for i in range(60))
     assert [(got[i].lang_pred, got[i].score) for i in (100, 101, 102)] == [("und", 0.0)] * 3
-    assert got[103].lang_pred == "l1" and got[103].score == 0.5  # a tie: the first name
+    assert 0.5 <= got[103].score < 0.51  # letters that no labelled text has tell next to nothing
     assert got[104].lang_pred == "l1" and got[None].lang_pred == "l2" and got[None].held_out
     assert I.identify_languages(df.limit(0)).count() == 0
     none = I.identify_languages(df.where("lang is null")).collect()
