@@ -22,7 +22,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -98,9 +97,17 @@ def simhashes(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
             if upto - at == 1:
                 ones[0] += bits.sum(axis=0, dtype=np.int64)
             else:
-                ones = np.add.reduceat(bits, starts[at:upto] - lo, axis=0, dtype=np.int32)
-        sizes = (ends[at:upto] - starts[at:upto])[:, None]
-        out[at:upto] = np.packbits(ones * 2 > sizes, axis=1).view(">u8").reshape(-1).astype(np.uint64)
+                # eight counts of a byte each in a number, summed over 255 words at most
+                sizes = ends[at:upto] - starts[at:upto]
+                parts = -(-sizes // 255)
+                turn = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+                cuts = np.repeat(starts[at:upto] - lo, parts) + 255 * turn
+                counts = np.add.reduceat(bits.view(np.uint64), cuts, axis=0).view(np.uint8)
+                if len(counts) > upto - at:
+                    counts = np.add.reduceat(counts, np.cumsum(parts) - parts, axis=0, dtype=np.int32)
+                ones = counts
+        half = (ends[at:upto] - starts[at:upto])[:, None] // 2
+        out[at:upto] = np.packbits(ones > half, axis=1).view(">u8").reshape(-1).astype(np.uint64)
         at = upto
     return out
 
@@ -143,6 +150,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
                      pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(prints, mask=~some)],
                     [x.split()[0] for x in LINES.split(", ")],
                 )
+        _hashes.clear()  # a reused worker would hold them through every later step
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("t")
@@ -230,35 +238,60 @@ def similar(a: str, b: str, least: float) -> bool:
     return edit_distance(a, b) <= (1 - least) * longer
 
 
+LINKS = "src long, dst long"
+
+
+def _linked(uid: list[int], prints: np.ndarray, texts: list[str], block: np.ndarray, max_bits: int, least: float, across: bool):
+    """``(src, dst)`` of a spanning star per group of similar lines of a tile; lines of
+    one block meet in its own tile, so not in one ``across`` blocks."""
+    root = list(range(len(uid)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for x in range(len(uid) - 1):
+        close = np.bitwise_count(prints[x + 1 :] ^ prints[x]) <= max_bits
+        if across:
+            close &= block[x + 1 :] != block[x]
+        for y in (np.flatnonzero(close) + x + 1).tolist():
+            one, two = find(x), find(y)
+            # pairs that are connected already change no group
+            if one != two and similar(texts[x], texts[y], least):
+                root[max(one, two)] = min(one, two)
+    return [(uid[find(x)], uid[x]) for x in range(len(uid)) if find(x) != x]
+
+
 def _verify(max_bits: int, least: float):
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("uid")
-        uid = rows["uid"].to_numpy(np.int64)
-        prints = rows["simhash"].to_numpy(np.int64).view(np.uint64)
-        texts = [" ".join(normalised(t)) for t in rows["text"]]
-        block, i, j = rows["block"].to_numpy(), rows["i"].iloc[0], rows["j"].iloc[0]
-        root = list(range(len(rows)))
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for x in range(len(rows)):
-            close = np.bitwise_count(prints[x + 1 :] ^ prints[x]) <= max_bits
-            if i != j:
-                close &= block[x + 1 :] != block[x]
-            for y in (np.flatnonzero(close) + x + 1).tolist():
-                one, two = find(x), find(y)
-                # pairs that are connected already change no group
-                if one != two and similar(texts[x], texts[y], least):
-                    root[max(one, two)] = min(one, two)
-        roots = np.array([find(x) for x in range(len(rows))])
-        some = roots != np.arange(len(rows))
-        return pd.DataFrame({"src": uid[roots[some]], "dst": uid[some]})
-
-    return links
+    """Rows ``cluster, i, j, block, uid, simhash, text`` sorted by tile and uid → links."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solved(rows: list[tuple]) -> list[tuple]:
+            _, i, j = rows[0][:3]
+            _, _, _, block, uid, prints, texts = zip(*rows)
+            plain = [" ".join(normalised(t)) for t in texts]
+            prints = np.array(prints, dtype=np.int64).view(np.uint64)
+            return _linked(uid, prints, plain, np.array(block), max_bits, least, i != j)
+
+        def out(found: list[tuple]) -> pa.RecordBatch:
+            src, dst = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
+
+        held: list[tuple] = []
+        for batch in batches:
+            found: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:3] != held[-1][:3]:
+                    found += solved(held)
+                    held = []
+                held.append(row)
+            yield out(found)
+        if held:
+            yield out(solved(held))
+
+    return work
 
 
 def removed_lines(
@@ -318,9 +351,14 @@ def removed_lines(
     tiles = picked.withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")).withColumn(
         "k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    links = tiles.select(
-        "cluster", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "uid", "simhash", "text"
-    ).groupBy("cluster", "i", "j").applyInPandas(_verify(max_bits, similarity), "src long, dst long")
+    # a tile has about 2 * TILE lines; many tiles are one task
+    tile = ["cluster", "i", "j"]
+    links = (
+        tiles.select("cluster", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "uid", "simhash", "text")
+        .repartition(*tile)
+        .sortWithinPartitions(*tile, "uid")
+        .mapInArrow(_verify(max_bits, similarity), LINKS)
+    )
     groups = connected_components(links, "line-links")
     # the first occurrence of each group, and of each line that repeats alone
     member = groups.select(F.col("node").alias("uid"), "component").union(

@@ -163,3 +163,38 @@ def test_equals_brute_force_on_lines_of_any_length(spark):
     assert {(r.doc_id, n) for r in L.removed_lines(df).collect() for n in r.removed} == want
     short = [(d, n) for d, t in docs for n, x in enumerate(t.split("\n")) if len(L.normalised(x)) < 3]
     assert want & set(short)
+
+
+def test_many_tiles_meet_in_one_task():
+    """Tiles sorted one after the other, cut anywhere by Arrow batches; a tile of two
+    blocks links across them only."""
+    import pyarrow as pa
+
+    line, other, far = "one two three four five six", "one two three four five sax", "nothing alike in here at all"
+    rows = [  # cluster, i, j, block, uid, simhash, text
+        (1, 0, 0, 0, 3, 0, line), (1, 0, 0, 0, 5, 1, other), (1, 0, 0, 0, 8, 0, far),
+        (1, 0, 1, 0, 3, 0, line), (1, 0, 1, 0, 5, 1, other), (1, 0, 1, 1, 9, 3, line),
+        (2, 0, 0, 0, 1, 0, line), (2, 0, 0, 0, 2, -1, line),
+    ]
+    names = ["cluster", "i", "j", "block", "uid", "simhash", "text"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    want = {(3, 5), (3, 9), (5, 9)}
+    for size in (1, 2, 3, 8):
+        found = [x for b in L._verify(3, 0.8)(iter(table.to_batches(max_chunksize=size))) for x in b.to_pylist()]
+        found = {(x["src"], x["dst"]) for x in found}
+        # the tile across blocks gives a spanning star: 3 links 9, and 5 by it
+        assert found <= want and (3, 5) in found and {9} <= {d for _, d in found}, size
+
+
+def test_simhash_of_long_runs():
+    """Counts of over 255 words in one run among others."""
+    rng = np.random.default_rng(4)
+    sizes = np.array([1, 254, 255, 256, 3, 511, 1000])
+    hashes = rng.integers(0, 1 << 62, sizes.sum(), dtype=np.uint64) * np.uint64(3)
+    ends = np.cumsum(sizes)
+    bits = (hashes[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    want = []
+    for a, b in zip(ends - sizes, ends):
+        ones = bits[a:b].sum(axis=0)
+        want.append(sum(1 << k for k in range(64) if 2 * int(ones[k]) > b - a))
+    assert L.simhashes(hashes.astype(">u8"), ends).tolist() == want
