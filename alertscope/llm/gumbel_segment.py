@@ -37,13 +37,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from alertscope.llm.common import prepare
+from alertscope.llm.double_array import DoubleArray, double_array
 
 SPACE = "▁"  # stands for a space in pieces
 #: Log probability below the least piece's that a character without a piece gets.
 UNKNOWN_PENALTY = 10.0
 #: Characters of text that are searched together, and lattice edges kept.
 BATCH_CHARS = 300_000
-KEPT_EDGES = 3_000_000
+KEPT_EDGES = 6_000_000
+#: Longer words get their lattice one by one.
+LONGEST_TOGETHER = 64
+#: Sums below this are scaled up again, before they underflow.
+TINY = 1e-250
 
 _U = np.uint64
 
@@ -76,13 +81,35 @@ class Lattices:
         self.unknown = math.exp((min(score.values()) - UNKNOWN_PENALTY) * smoothing)
         self.bytes = {sp.id_to_piece(i): i for i in range(n) if sp.is_byte(i)}
         self.unk_id = sp.unk_id()
+        self._index()
         self.clear()
 
+    def _index(self) -> None:
+        """The pieces as a double array: all places of all new words advance together."""
+        chars = sorted({c for p in self.pieces for c in p} - {"\0"})
+        self.code = np.zeros(0x110000, dtype=np.int32)  # 0: no piece has the character
+        self.code[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.alone = {c for c in chars if c in self.pieces}
+        states = {"": 0}
+        for part in (p[:n] for p in self.pieces if "\0" not in p for n in range(1, len(p) + 1)):
+            states.setdefault(part, len(states))
+        some = [s for s in states if s]
+        parents, codes, children = (
+            np.array(c, dtype=np.int32)
+            for c in ([states[s[:-1]] for s in some], self.code[[ord(s[-1]) for s in some]], [states[s] for s in some])
+        )
+        self.array: DoubleArray = double_array(parents, codes, children, len(states), len(chars) + 1)
+        self.piece_prob = np.full(len(states), -1.0)  # below 0: a state that is no piece
+        self.piece_id = np.zeros(len(states), dtype=np.uint32)
+        for part, (ids, prob) in self.pieces.items():
+            if part in states:
+                self.piece_prob[states[part]], self.piece_id[states[part]] = prob, ids[0]
+
     def clear(self) -> None:
         self.start: dict[str, int] = {}
         self.n_nodes = self.n_edges = 0
         self._new: list[list] = [[] for _ in range(5)] + [[0]]
-        self._kept = [np.zeros(1 << 16, dtype=t) for t in (float, np.int64, float, np.int64, np.uint32, np.int64)]
+        self._kept = [np.zeros(1 << 16, dtype=t) for t in (float, np.int32, float, np.uint8, np.uint32, np.int64)]
         self._used = [0] * 6
 
     def words(self, text: str | None) -> list[str]:
@@ -119,7 +146,7 @@ class Lattices:
                 if part not in heads:
                     break
             nodes.append((total, own))
-            if total < 1e-250:
+            if total < TINY:
                 for j in range(i + 1, min(n, i + reach) + 1):
                     mass[j] *= 1e250
                 total *= 1e250
@@ -141,25 +168,111 @@ class Lattices:
         self.start[word] = base
         self.n_nodes += n
 
+    def learn(self, words: list[str]) -> None:
+        """Lattices of new words, all places of all words together; what ``add`` gives to
+        the last bit. Words with a character that no piece is, very long ones and those
+        whose sums are tiny are added one by one."""
+        self.settle()
+        alone = self.alone
+        together = [w for w in words if len(w) <= LONGEST_TOGETHER and alone.issuperset(w)]
+        for word in self._add_together(together) if together else []:
+            self.add(word)
+        for word in words:
+            if word not in self.start:
+                self.add(word)
+
+    def _add_together(self, words: list[str]) -> list[str]:
+        """Adds all words but those it returns."""
+        # a place for each character, and one for each word's end
+        codes = self.code[np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        end = np.cumsum(sizes + 1) - 1
+        word_of = np.repeat(np.arange(len(words)), sizes + 1)
+        inside = np.ones(len(codes), dtype=bool)
+        inside[end] = False
+        at = np.flatnonzero(inside)
+        ahead = (end[word_of] - np.arange(len(codes))).astype(np.int16)
+        # places by their distance from the word's end; edges of a place the shorter
+        # first, so that the sums are those of one word alone
+        nodes = at[np.argsort(ahead[at], kind="stable")]
+        state, found, seen = np.zeros(len(at), dtype=np.int32), [], np.zeros(len(codes), dtype=np.int64)
+        for level in range(1, self.longest + 1):
+            hit, after = self.array.advance(state, codes[at + level - 1])
+            at, state = at[hit], after[hit]
+            if not len(at):
+                break
+            some = self.piece_prob[state] >= 0
+            place = at[some]
+            found.append((place, place + level, state[some], seen[place]))
+            seen[place] += 1
+        counts = seen[nodes]
+        first = np.cumsum(counts) - counts
+        seen[nodes] = first
+        total = int(counts.sum())
+        src, to, piece = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int32)
+        for place, after, state, turn in found:
+            slot = seen[place] + turn
+            src[slot], to[slot], piece[slot] = place, after, state
+        prob = self.piece_prob[piece]
+        rank = np.repeat(np.arange(len(nodes)), counts)
+        levels = np.searchsorted(ahead[nodes], np.arange(1, int(sizes.max()) + 2))
+        mass, x = np.ones(len(codes)), np.empty(len(src))
+        edges = np.append(first, len(src))[levels]
+        for a, b, lo, hi in zip(levels[:-1], levels[1:], edges[:-1], edges[1:]):
+            x[lo:hi] = prob[lo:hi] * mass[to[lo:hi]]
+            mass[nodes[a:b]] = np.bincount(rank[lo:hi] - a, weights=x[lo:hi], minlength=b - a)
+        tiny = np.zeros(len(words), dtype=bool)
+        tiny[word_of[nodes[mass[nodes] < TINY]]] = True
+        good = ~tiny[word_of]
+        # the likelier edges of a place first, the longer of equals, in the places' order
+        keep = np.flatnonzero(good[src])[::-1]
+        keep = keep[np.argsort(-x[keep], kind="stable")]
+        for shift in range(0, len(codes).bit_length(), 16):
+            keep = keep[np.argsort((src[keep] >> shift).astype(np.uint16), kind="stable")]
+        src, to, piece, x = src[keep], to[keep], piece[keep], x[keep]
+        p = x / mass[src]
+        first = np.flatnonzero(np.concatenate(([True], src[1:] != src[:-1])) if len(src) else [])
+        counts = np.diff(np.append(first, len(src)))
+        cdf, sure, turn = np.empty(len(src)), np.zeros(len(first)), 0
+        on = np.arange(len(first))
+        while len(on):
+            sure[on] += p[first[on] + turn]
+            cdf[first[on] + turn] = sure[on]
+            turn += 1
+            on = on[counts[on] > turn]
+        cdf[first + counts - 1] = 2.0  # the last edge takes every number that is left
+        number = np.cumsum(inside & good) - 1 + self.n_nodes
+        self._append([cdf, np.where(inside[to], number[to], -1), p, np.ones(len(src), dtype=np.uint8),
+                      self.piece_id[piece], self.n_edges + first + counts])
+        begin = number[end - sizes]
+        self.start.update((w, b) for w, b, t in zip(words, begin.tolist(), tiny.tolist()) if not t)
+        self.n_nodes += len(first)
+        self.n_edges = self._used[0]
+        return [w for w, t in zip(words, tiny.tolist()) if t]
+
     def settle(self) -> Lattices:
-        """Append the words added to the flat arrays, which double as they fill."""
-        for i, values in enumerate(self._new):
-            used, n = self._used[i], len(values)
-            if used + n > len(self._kept[i]):
-                larger = np.zeros(2 * (used + n), dtype=self._kept[i].dtype)
-                larger[:used] = self._kept[i][:used]
-                self._kept[i] = larger
-            self._kept[i][used : used + n] = values
-            self._used[i] += n
+        """Append the words added to the flat arrays."""
+        self._append(self._new)
         self.n_edges = self._used[0]
         self._new = [[] for _ in range(6)]
         self.cdf, self.to, self.prob, self.sizes, self.ids, self.first = (
             a[:n] for a, n in zip(self._kept, self._used)
         )
         self.plain = len(self.ids) == self.n_edges
-        self.id_start = None if self.plain else np.cumsum(self.sizes) - self.sizes
+        self.id_start = None if self.plain else np.cumsum(self.sizes, dtype=np.int64) - self.sizes
         return self
 
+    def _append(self, columns: list) -> None:
+        """Onto the flat arrays, which double as they fill."""
+        for i, values in enumerate(columns):
+            used, n = self._used[i], len(values)
+            if used + n > len(self._kept[i]):
+                larger = np.zeros(2 * (used + n), dtype=self._kept[i].dtype)
+                larger[:used] = self._kept[i][:used]
+                self._kept[i] = larger
+            self._kept[i][used : used + n] = values
+            self._used[i] += n
+
     def edge(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at the cumulative probability u."""
         out = self.first[nodes]
@@ -171,17 +284,25 @@ class Lattices:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
-def _uniform(seed: np.ndarray, turn: int, word: np.ndarray, step: np.ndarray, stream: int) -> np.ndarray:
-    """Numbers in (0, 1) that depend on the arguments alone."""
+def _mixed(seed: np.ndarray, turn: int, word: np.ndarray, stream: int) -> np.ndarray:
+    """What the numbers of a word have in common."""
     with np.errstate(over="ignore"):
         x = _mix(seed + _U(2 * turn + stream) * _U(0x9E3779B97F4A7C15))
-        x = _mix(x + word.astype(np.uint64) * _U(0xD1B54A32D192ED03))
-        x = _mix(x + step.astype(np.uint64) * _U(0x8CB92BA72F3D8DD7))
+        return _mix(x + word.astype(np.uint64) * _U(0xD1B54A32D192ED03))
+
+
+def _uniform(mixed: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the word's and the step alone."""
+    with np.errstate(over="ignore"):
+        x = _mix(mixed + step.astype(np.uint64) * _U(0x8CB92BA72F3D8DD7))
     return ((x >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
@@ -206,37 +327,43 @@ class _Search:
     def _walk(self, words: np.ndarray, nodes: np.ndarray, steps: np.ndarray, turn: int):
         """Forward sampling from ``nodes`` to the ends of their words."""
         out = []
+        doc = self.doc_of[words]
+        mixed = _mixed(self.seeds[doc], turn, words - self.first_word[doc], 0)
         while len(words):
-            doc = self.doc_of[words]
-            u = _uniform(self.seeds[doc], turn, words - self.first_word[doc], steps, 0)
-            edge = self.l.edge(nodes, u)
+            edge = self.l.edge(nodes, _uniform(mixed, steps))
             out.append((words, steps, nodes, edge))
             nodes = self.l.to[edge]
-            on = nodes >= 0
-            words, nodes, steps = words[on], nodes[on], steps[on] + 1
+            on = np.flatnonzero(nodes >= 0)
+            words, nodes, steps, mixed = words[on], nodes[on], steps[on] + 1, mixed[on]
         return out
 
     def _finish(self, parts: list, docs: np.ndarray, tops: np.ndarray, turn: int, fixed: dict | None) -> dict:
         """A path per doc of ``docs`` from its decisions, with the regions it leaves."""
         word, step, node, edge = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        order = np.lexsort((step, word))
+        # a word's steps are 0, 1, ...: each decision has its place
+        counts = np.bincount(word, minlength=len(self.doc_of))
+        order = np.empty(len(word), dtype=np.int64)
+        order[(np.cumsum(counts) - counts)[word] + step] = np.arange(len(word))
         word, step, node, edge = word[order], step[order], node[order], edge[order]
         doc = self.doc_of[word]
         starts = np.searchsorted(doc, docs)
         local = np.searchsorted(docs, doc)
-        logp = np.log(self.l.prob[edge])
+        prob = self.l.prob[edge]
+        logp = np.log(prob)
         ends = np.append(starts[1:], len(edge))
         total = np.empty(len(edge))
         for a, b in zip(starts.tolist(), ends.tolist()):  # by text, so none touches another's rounding
             np.cumsum(logp[a:b], out=total[a:b])
         ahead = total - logp
-        left = np.log(np.maximum(1 - self.l.prob[edge], 0), where=self.l.prob[edge] < 1, out=np.full(len(edge), -np.inf))
+        left = np.log(np.maximum(1 - prob, 0), where=prob < 1, out=np.full(len(edge), -np.inf))
         if fixed is not None:
             # at the branch, what was excluded before is gone too; what lies before
             # belongs to regions of earlier paths
             left = np.where(np.arange(len(edge)) < (starts + fixed["at"])[local], -np.inf, left)
             left[starts + fixed["at"]] = fixed["left"]
-        u = _uniform(self.seeds[doc], turn, word - self.first_word[doc], step, 1)
+        own = np.flatnonzero(counts)
+        mixed = _mixed(self.seeds[self.doc_of[own]], turn, own - self.first_word[self.doc_of[own]], 1)
+        u = _uniform(np.repeat(mixed, counts[own]), step)
         value = _truncated(ahead + left, tops[local], u)
         return {"docs": docs, "starts": starts, "ends": ends, "word": word, "step": step, "node": node, "edge": edge,
                 "value": value, "tops": tops, "log_prob": total[ends - 1],
@@ -293,7 +420,7 @@ class _Search:
             node, word, step = int(path["node"][t]), int(path["word"][t]), int(path["step"][t])
             choice = [e for e in range(l.first[node], l.first[node + 1]) if e not in gone]
             weights = np.cumsum(l.prob[choice])
-            u = float(_uniform(self.seeds[d : d + 1], turn, np.array([word - self.first_word[d]]), np.array([step]), 0)[0])
+            u = float(_uniform(_mixed(self.seeds[d : d + 1], turn, np.array([word - self.first_word[d]]), 0), np.array([step]))[0])
             pick = min(int(np.searchsorted(weights, u * weights[-1], "right")), len(choice) - 1)
             edge = choice[pick]
             rest = float(l.prob[[e for e in choice if e != edge]].sum()) if len(choice) > 1 else 0.0
@@ -318,7 +445,7 @@ class _Search:
         edge = path["edge"][path["starts"][own] : path["ends"][own]]
         if self.l.plain:
             return self.l.ids[edge]
-        sizes = self.l.sizes[edge]
+        sizes = self.l.sizes[edge].astype(np.int64)
         at = np.repeat(self.l.id_start[edge] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         return self.l.ids[at]
 
@@ -334,9 +461,7 @@ def draw(lattices: Lattices, texts: list[str | None], keys: list, k: int, seed:
         while at + len(some) < len(texts) and (not some or chars < BATCH_CHARS):
             some.append(lattices.words(texts[at + len(some)]))
             chars += sum(map(len, some[-1]))
-        for word in {w for t in some for w in t}:
-            if word not in lattices.start:
-                lattices.add(word)
+        lattices.learn([w for w in {w for t in some for w in t} if w not in lattices.start])
         hashed = [xxhash.xxh64_intdigest(str(x), seed) for x in keys[at : at + len(some)]]
         search = _Search(lattices.settle(), some, np.array(hashed, dtype=np.uint64))
         turns = dict.fromkeys(range(len(some)), 0)
@@ -438,12 +563,18 @@ class Decoder:
             else:
                 self.bytes.append(sp.decode([sp.unk_id()]).encode() if sp.is_unknown(i) else piece.replace(SPACE, " ").encode())
 
-    def text(self, ids: bytes | None) -> str | None:
-        """The text of id bytes, without the space set before every text."""
-        if ids is None:
-            return None
-        joined = b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return joined.removeprefix(b" ").decode("utf-8", "replace")
+        self.pieces = pa.array(self.bytes, pa.binary())
+
+    def texts(self, ids: pa.Array) -> pa.Array:
+        """The text of each row's id bytes, without the space set before every text."""
+        rows = [b"" if x is None else x for x in ids.to_pylist()]
+        ends = np.cumsum([0, *(len(x) // 4 for x in rows)], dtype=np.int64)
+        pieces = self.pieces.take(pa.array(np.frombuffer(b"".join(rows), "<u4")))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends), pieces), b"").to_pylist()
+        known = ids.is_valid().to_pylist()
+        return pa.array(
+            [t.removeprefix(b" ").decode("utf-8", "replace") if k else None for t, k in zip(joined, known)], pa.string()
+        )
 
 
 _decoders: dict[int, Decoder] = {}
@@ -463,9 +594,8 @@ def decode_segmentations(rows: DataFrame, model: bytes, ids_col: str = "ids", te
             _decoders.clear()
             _decoders[own] = Decoder(shared.value)
         for batch in _slices(batches, at, 4 * BATCH_CHARS):
-            texts = [_decoders[own].text(x) for x in batch.column(at).to_pylist()]
             names = [*batch.schema.names, text_col]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoders[own].texts(batch.column(at))], names)
 
     return rows.mapInArrow(work, schema)
 

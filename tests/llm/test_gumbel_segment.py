@@ -129,3 +129,42 @@ def test_decoder_equals_library(spark, lattices):
     for r in G.decode_segmentations(df, MODEL).collect():
         assert r.decoded == (None if r.ids is None else G.decode_ids(np.frombuffer(r.ids, "<u4"), MODEL))
     assert G.decode_segmentations(df.limit(0), MODEL).count() == 0
+
+
+def test_words_together_equal_words_one_by_one():
+    """Lattices of many words at once are those of single words to the last bit."""
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    together, single = G.Lattices(model, 1.0), G.Lattices(model, 1.0)
+    docs = pd.read_parquet(f"{SF_SMALL}/documents.parquet")["text"].dropna().tolist()[:30]
+    odd = ["a", "x" * 63, "x" * 64, "x" * 65, "qzx" * 21, "kjq" * 20, "日本語", "\U0001f600é", "a\x00b", "กข", " " * 70]
+    words = list(dict.fromkeys(w for t in docs + odd for w in together.words(t)))
+    together.learn(words[::2])
+    together.learn(words[1::2])
+    together.settle()
+    for word in words:
+        single.add(word)
+    single.settle()
+    ends = [np.cumsum(x.sizes, dtype=np.int64).tolist() for x in (together, single)]
+    assert together.n_nodes == single.n_nodes and together.n_edges == single.n_edges
+    for word in words:
+        a, b = together.start[word], single.start[word]
+        for i in range(len(word)):
+            ours, theirs = (slice(x.first[k + i], x.first[k + i + 1]) for x, k in ((together, a), (single, b)))
+            assert np.array_equal(together.cdf[ours], single.cdf[theirs]) and np.array_equal(together.prob[ours], single.prob[theirs]), word
+            to = [[-1 if t < 0 else t - k for t in x.to[s].tolist()] for x, s, k in ((together, ours, a), (single, theirs, b))]
+            assert to[0] == to[1], word
+            for one, two in zip(range(ours.start, ours.stop), range(theirs.start, theirs.stop)):
+                ids = [x.ids[n[e] - int(x.sizes[e]) : n[e]].tolist() for x, n, e in ((together, ends[0], one), (single, ends[1], two))]
+                assert ids[0] == ids[1], word
+
+
+def test_decoder_decodes_rows_together():
+    import pyarrow as pa
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    lattices, texts = G.Lattices(model, 1.0), ["a word", "", "日本 \U0001f600", " two  spaces\n"]
+    rows = [r for r in G.draw(lattices, texts, list(range(4)), 2, 0)]
+    blobs = [r[2].astype("<u4").tobytes() for r in rows] + [None]
+    assert G.Decoder(model).texts(pa.array(blobs, pa.binary())).to_pylist() == [texts[r[0]] for r in rows] + [None]
