@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertscope.llm.common import prepare
-from alertscope.llm.token_cache import encoder
+from alertscope.llm.token_cache import counter
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens"]
@@ -51,9 +51,9 @@ def count_tokens(
             columns = {n: batch.column(1).field(i).to_pylist() for i, n in enumerate(order)}
             counts: dict[tuple[str, str], list[int]] = {}
             for vocabulary, name in wanted:
-                encode, same = encoder(shared.value[vocabulary]).encode, counts.get((vocabulary, first))
+                count, same = counter(shared.value[vocabulary]).count, counts.get((vocabulary, first))
                 counts[vocabulary, name] = [
-                    same[i] if same and t == columns[first][i] else len(encode(t)) // 4 for i, t in enumerate(columns[name])
+                    same[i] if same and t == columns[first][i] else count(t) for i, t in enumerate(columns[name])
                 ]
             found = [pa.array(counts[pair], pa.int64()) for pair in wanted]
             yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["kept", *names])

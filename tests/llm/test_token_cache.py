@@ -53,3 +53,16 @@ def test_special_tokens_in_other_case_are_plain_text(name):
     for text in MIXED + MIXED:
         want = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encode(text), "<u4").tolist() == want, text
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_counts_equal_library(name, monkeypatch):
+    from alertscope.llm import token_cache
+
+    monkeypatch.setattr(token_cache, "CACHE_PIECES", 3000)  # filled and cleared on the way
+    vocabulary = read_vocabulary(public_tokenizers.path(name))
+    own, plain = token_cache.PieceCounter(vocabulary), Tokenizer.from_str(vocabulary)
+    texts = ODD + MIXED + ["x" * 100 + " y " + "x" * 100] + pd.read_parquet(f"{SF_MID}/documents.parquet")["text"].fillna("").tolist()[:200]
+    for text, want in zip(texts, plain.encode_batch(texts, add_special_tokens=False)):
+        assert own.count(text) == len(want.ids), repr(text[:80])
+    assert own.count(None) == 0 and token_cache.counter(vocabulary) is token_cache.counter(vocabulary)
