@@ -4,15 +4,20 @@ Lines are normalised (lower case, digits alike, marks as spaces) and get a
 128-bit key and a 64-bit SimHash over their distinct words. Equal keys are equal lines,
 however short; a line of marks alone has the key of its marks.
 Distinct SimHash values that may be within ``max_bits`` agree on some
-combination of whole blocks (pigeonhole); joining on these combinations gives
-clusters of lines. Inside a cluster, pairs within the bit distance are verified
-by edit similarity of the normalised lines, and of each connected group the
-first occurrence, by document id and line number, is kept.
-
-A cluster only decides which lines meet. A combination that very many values
-share links them to the least of them instead of to each other, and a large
-cluster is compared block against block in tasks of bounded size, each of which
-sends on a spanning star, never its pairs.
+combination of whole blocks (pigeonhole). Each value goes once to the task of each of
+its combinations; the values there are compared with each other, and what is within
+the bit distance gives clusters of lines. Inside a cluster, pairs within the bit
+distance are verified by edit similarity of the normalised lines, and of each
+connected group the first occurrence, by document id and line number, is kept.
+
+A cluster only decides which lines meet. Very many values that share a combination
+are divided by the blocks of their other bits before they are compared, and what
+still shares most of its bits is linked to one of them; a task sends on a spanning
+forest of its pairs. A large cluster is compared block against block in tasks of
+bounded size, each of which sends on a spanning star, never its pairs.
+
+Texts stay where they are: only the documents that may hold a line to verify, by a
+bitmap of fixed size, are shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertscope.llm.common import is_latin1, materialize, prepare, release
@@ -35,15 +40,24 @@ from alertscope.llm.components import connected_components
 MIN_CHARS = 5
 MAX_BITS = 3
 #: Blocks of the 64 bits; max_bits differing bits leave blocks - max_bits equal.
-BLOCKS = 5
+BLOCKS = 4
 SIMILARITY = 0.8
-#: Values on a combination up to which they are paired; more become a star.
-DIRECT_LIMIT = 32
+#: Values on a combination up to which all are compared; more are divided further.
+DIRECT_LIMIT = 512
+#: Bits left over at which values that are still too many become a star.
+STAR_BITS = 32
+#: Pairs of values compared, and links held, before they are thinned out.
+PAIR_BLOCK = 1 << 20
+#: Values in an Arrow batch.
+VALUE_ROWS = 100_000
 #: Lines in a block of a large cluster.
 TILE = 256
-#: Words whose hashes a worker keeps, and words counted at a time.
-CACHE_WORDS = 500_000
+#: Words counted at a time.
 WORD_BLOCK = 1 << 17
+#: Logarithm of the bits in the bitmap of documents that hold a line to verify.
+WANTED_BITS = 25
+# Bits in a row of Spark's bitmap aggregates.
+_BITMAP_ROW = 32_768
 
 _MARK = re.compile(r"[^\w\n]|_")
 _DIGIT = re.compile(r"\d")
@@ -56,19 +70,6 @@ def _latin1(c: str) -> str:
 _LATIN1 = "".join(map(_latin1, map(chr, range(256)))).encode("latin-1")
 
 
-class _WordHashes(dict):
-    """word → its 64-bit hash as eight bytes, the highest first."""
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        out = self[word] = xxhash.xxh64_digest(word, 1)
-        return out
-
-
-_hashes = _WordHashes()
-
-
 def _plain(text: str) -> str:
     """Lower case, every digit 0, a space for all else but letters and line ends."""
     if is_latin1(text):
@@ -112,6 +113,23 @@ def simhashes(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
+def line_simhashes(words: list[str], sizes: np.ndarray) -> np.ndarray:
+    """SimHash of the distinct words of each line; ``words`` are those of all lines in
+    order, ``sizes`` the lines' numbers of them, none zero."""
+    coded = pa.array(words, pa.large_string()).dictionary_encode()
+    codes = coded.indices.to_numpy()
+    place = np.empty(len(coded.dictionary), dtype=np.int64)
+    place[codes] = np.arange(len(codes))  # of one of the words of each code
+    known = b"".join([xxhash.xxh64_digest(words[i], 1) for i in place.tolist()])
+    # each word once: in a long line the common words would outweigh all others and
+    # make it like any long line
+    line = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+    own = np.sort(line << 32 | codes)
+    own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+    ends = np.cumsum(np.bincount(own >> 32, minlength=len(sizes)))
+    return simhashes(np.frombuffer(known, ">u8")[own & 0xFFFFFFFF], ends)
+
+
 LINES = "doc_id long, text_key long, line int, key_hi long, key_lo long, simhash long"
 
 
@@ -120,7 +138,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, lines, keys, ends, flat, n, fuzzy = [], [], [], [], [], [], 0, []
+            ids, texts, lines, keys, sizes, flat = [], [], [], [], [], []
             for doc_id, text_key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = (text or "").split("\n")
                 for number, line in enumerate(_plain(text or "").split("\n")):
@@ -131,26 +149,22 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
                         texts.append(text_key)
                         lines.append(number)
                         keys.append(xxhash.xxh3_128_digest(plain))
-                        fuzzy.append(bool(words) and len(plain) >= min_chars)
-                        if fuzzy[-1]:
-                            # each word once: in a long line the common words would
-                            # outweigh all others and make it like any long line
-                            own = set(words)
-                            flat.extend(map(_hashes.__getitem__, own))
-                            n += len(own)
-                            ends.append(n)
+                        if words and len(plain) >= min_chars:
+                            flat += words
+                            sizes.append(len(words))
+                        else:
+                            sizes.append(0)
             if ids:
                 key = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
-                some = np.array(fuzzy)
+                sizes = np.array(sizes)
                 prints = np.zeros(len(ids), dtype=np.int64)
-                if n:
-                    prints[some] = simhashes(np.frombuffer(b"".join(flat), ">u8"), np.array(ends)).view(np.int64)
+                if flat:
+                    prints[sizes > 0] = line_simhashes(flat, sizes[sizes > 0]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(lines, pa.int32()),
-                     pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(prints, mask=~some)],
+                     pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(prints, mask=sizes == 0)],
                     [x.split()[0] for x in LINES.split(", ")],
                 )
-        _hashes.clear()  # a reused worker would hold them through every later step
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("t")
@@ -158,46 +172,132 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     return rows.mapInArrow(work, LINES)
 
 
+LINKS = "src long, dst long"
+
+
+def _masks(bits: list[int], blocks: int, max_bits: int) -> list[int]:
+    """The combinations of ``blocks - max_bits`` of the blocks that ``bits`` are cut into."""
+    cuts = [round(i * len(bits) / blocks) for i in range(blocks + 1)]
+    parts = [sum(1 << b for b in bits[x:y]) for x, y in itertools.pairwise(cuts)]
+    return [sum(c) for c in itertools.combinations(parts, blocks - max_bits)]
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links ``(a, b)`` between ``n`` nodes that connect what all of them do,
+    less than ``n``."""
+    root, kept, at = np.arange(n), [], np.arange(len(a))
+    while True:
+        one, two = root[a[at]], root[b[at]]
+        apart = one != two
+        at, one, two = at[apart], one[apart], two[apart]
+        if not len(at):
+            return np.concatenate([*kept, at])
+        # every root that has a link to a lesser one takes one of them, so no circle arises
+        high, first = np.unique(np.maximum(one, two), return_index=True)
+        root[high] = np.minimum(one, two)[first]
+        kept.append(at[first])
+        while True:
+            above = root[root]
+            if (above == root).all():
+                break
+            root = above
+
+
+def near_values(values: np.ndarray, mask: int, max_bits: int, blocks: int, direct_limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links between distinct ``values`` that connect all pairs within ``max_bits`` that
+    agree on the bits of ``mask``; only where over ``direct_limit`` values agree on all
+    but ``STAR_BITS`` bits there are links between others too."""
+    values = values[np.argsort(values & np.uint64(mask), kind="stable")]
+    keys = values & np.uint64(mask)
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else [])
+    sizes = np.diff(np.append(starts, len(values)))
+    free = [b for b in range(64) if not mask >> b & 1]
+    many = sizes > direct_limit
+    if many.any():
+        large = np.repeat(many, sizes)
+        if len(free) <= max(STAR_BITS, blocks):
+            centre = np.repeat(starts, sizes)[large]
+            own = np.flatnonzero(large)
+            yield values[centre[centre != own]], values[own[centre != own]]
+        else:
+            for part in _masks(free, blocks, max_bits):
+                yield from near_values(values[large], mask | part, max_bits, blocks, direct_limit)
+    # each value with the next one of its run, the one after that, ...
+    end = np.repeat(np.where(many, starts, starts + sizes), sizes)
+    at, held, step = np.flatnonzero(end > np.arange(len(values)) + 1), [], 1
+
+    def thinned() -> np.ndarray:
+        pairs = np.concatenate(held, axis=1)
+        return pairs[:, spanning(len(values), *pairs)]
+
+    while len(at):
+        for part in np.split(at, range(PAIR_BLOCK, len(at), PAIR_BLOCK)):
+            close = part[np.bitwise_count(values[part] ^ values[part + step]) <= max_bits]
+            held.append(np.stack([close, close + step]))
+        if sum(p.shape[1] for p in held) > PAIR_BLOCK:
+            held = [thinned()]
+        step += 1
+        at = at[end[at] > at + step]
+    if held:
+        src, dst = thinned()
+        yield values[src], values[dst]
+
+
 def clusters(values: DataFrame, max_bits: int, blocks: int, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
     """Distinct ``values(simhash)`` → ``(node, component)`` of a graph that holds
     every pair within ``max_bits`` (and may hold more)."""
-    cuts = [round(i * 64 / blocks) for i in range(blocks + 1)]
-    parts = [((1 << (cuts[i + 1] - cuts[i])) - 1) << cuts[i] for i in range(blocks)]
-    masks = [sum(c) for c in itertools.combinations(parts, blocks - max_bits)]
-    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keyed = values.select(
-        "simhash",
-        F.explode(
-            F.array(*[
-                F.xxhash64(F.lit(i), F.col("simhash").bitwiseAND(F.lit(m).cast("long")))
-                for i, m in enumerate(masks)
-            ])
-        ).alias("combination"),
-    )
-    near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
-    groups = materialize(
-        keyed.groupBy("combination")
-        .agg(F.count("*").alias("n"), F.min("simhash").alias("src"), F.max("simhash").alias("dst"))
-        .where((F.col("n") > 2) | ((F.col("n") == 2) & near("src", "dst"))),
-        "line-groups",
-    )
-    twos = groups.where("n = 2").select("src", "dst")
-    shared = materialize(
-        keyed.join(groups.where("n > 2").select("combination", "n", "src"), "combination"), "line-shared"
-    )
-    some = shared.where(F.col("n") <= direct_limit)
-    threes = (
-        some.select("combination", F.col("simhash").alias("a"))
-        .join(some.select("combination", F.col("simhash").alias("b")), "combination")
-        .where((F.col("a") < F.col("b")) & near("a", "b"))
-        .select("a", "b")
-    )
-    stars = shared.where(F.col("n") > direct_limit).select("src", F.col("simhash").alias("dst"))
-    found = connected_components(twos.union(threes).union(stars), "line-clusters")
-    release(groups, shared)
+    spark = values.sparkSession
+    masks = _masks(list(range(64)), blocks, max_bits)
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keyed = values.select("simhash", F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("part"))
+    mask = F.element_at(F.array(*[F.lit(m).cast("long") for m in signed]), F.col("part") + 1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[] for _ in masks]
+        for batch in batches:
+            prints, part = (c.to_numpy() for c in batch.columns)
+            for i, own in enumerate(held):
+                own.append(prints[part == i].view(np.uint64))
+        for i, own in enumerate(held):
+            if own:
+                own = np.concatenate(own)
+                for src, dst in near_values(own, masks[i], max_bits, blocks, direct_limit):
+                    for k in range(0, len(src), VALUE_ROWS):
+                        some = [pa.array(x[k : k + VALUE_ROWS].view(np.int64)) for x in (src, dst)]
+                        yield pa.RecordBatch.from_arrays(some, ["src", "dst"])
+
+    # the values that agree on a combination meet in one task
+    dealt = keyed.repartition(F.xxhash64("part", F.col("simhash").bitwiseAND(mask)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(VALUE_ROWS))
+    try:
+        near = materialize(dealt.mapInArrow(work, LINKS), "line-near")
+    finally:
+        prepare(spark)
+    found = connected_components(near, "line-clusters")
+    release(near)
     return found
 
 
+def _bitmap(keys: DataFrame, key: Column) -> DataFrame:
+    """``(n, bits)``: the bits of ``WANTED_BITS`` that the hashed ``key`` of a row sets."""
+    at = F.pmod(key, F.lit(1 << WANTED_BITS)) + 1  # Spark's bitmap buckets begin at one
+    return keys.groupBy(F.bitmap_bucket_number(at).alias("n")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    )
+
+
+def _maybe(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose bit is in ``bitmap``, where they are. It is broadcast:
+    at most ``2 ** (WANTED_BITS - 3)`` bytes."""
+    at = F.pmod(key, F.lit(1 << WANTED_BITS))
+    place = F.pmod(at, F.lit(_BITMAP_ROW))
+    octet = F.expr("conv(hex(substring(bits, _octet, 1)), 16, 10)").cast("int")
+    out = rows.withColumn("_n", F.bitmap_bucket_number(at + 1)).withColumn("_octet", (F.floor(place / 8) + 1).cast("int"))
+    out = out.withColumn("_bit", F.pmod(place, F.lit(8)).cast("int"))
+    found = out.join(F.broadcast(bitmap), F.col("_n") == F.col("n"))
+    return found.where(F.call_function("getbit", octet, F.col("_bit")) == 1).select(*rows.columns)
+
+
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance by Myers' bit vectors in one long integer, so that a
     line of n characters costs n word-parallel steps."""
@@ -238,9 +338,6 @@ def similar(a: str, b: str, least: float) -> bool:
     return edit_distance(a, b) <= (1 - least) * longer
 
 
-LINKS = "src long, dst long"
-
-
 def _linked(uid: list[int], prints: np.ndarray, texts: list[str], block: np.ndarray, max_bits: int, least: float, across: bool):
     """``(src, dst)`` of a spanning star per group of similar lines of a tile; lines of
     one block meet in its own tile, so not in one ``across`` blocks."""
@@ -338,8 +435,10 @@ def removed_lines(
     wanted = met.groupBy("first.doc_id", "first.text_key").agg(
         F.collect_list(F.struct("uid", "simhash", "cluster", "blocks", F.col("first.line").alias("line"))).alias("wanted")
     )
+    place_key = F.xxhash64("doc_id", "text_key")
+    bitmap = materialize(_bitmap(met.select("first.doc_id", "first.text_key"), place_key), "line-wanted")
     picked = (
-        docs.withColumn("text_key", F.xxhash64("text"))
+        _maybe(docs.withColumn("text_key", F.xxhash64("text")), place_key, bitmap)
         .join(wanted, ["doc_id", "text_key"])
         .dropDuplicates(["doc_id", "text_key"])
         .select(F.explode(F.get(F.transform(
@@ -348,6 +447,8 @@ def removed_lines(
         ), F.lit(0))).alias("x"))
         .select("x.w.*", "x.text")
     )
+    # written, so that the documents' shuffle is gone before the lines' begins
+    picked = materialize(picked, "line-texts", compression="zstd")
     tiles = picked.withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")).withColumn(
         "k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
@@ -375,15 +476,14 @@ def removed_lines(
         .agg(F.sort_array(F.collect_set("line")).alias("removed"))
     )
     out = materialize(gone, "lines-removed")
-    release(lines, distinct, met, verdict)
+    release(lines, distinct, met, bitmap, picked, verdict)
     return out
 
 
-def _with_removed(docs: DataFrame, removed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _with_removed(docs: DataFrame, removed: DataFrame, id_col: str, text_key: Column) -> DataFrame:
     mine = removed.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("removed").alias("_removed"))
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    same = (number == F.col("_d")) & (F.xxhash64(text_col) == F.col("_k"))
-    return docs.join(mine, same, "left").drop("_d", "_k")
+    return docs.join(mine, (number == F.col("_d")) & (text_key == F.col("_k")), "left").drop("_d", "_k")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -391,7 +491,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A document that loses every line keeps an empty text; a null text stays null.
     """
-    joined = _with_removed(docs, removed_lines(docs, id_col, text_col, **limits), id_col, text_col)
+    joined = _with_removed(docs, removed_lines(docs, id_col, text_col, **limits), id_col, F.xxhash64(text_col))
     kept = F.get(
         F.transform(
             F.array(F.split(text_col, "\n")),
@@ -410,12 +510,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers) for every row of ``docs``."""
-    narrow = docs.select(id_col, text_col)
-    joined = _with_removed(narrow, removed_lines(docs, id_col, text_col, **limits), id_col, text_col)
-    removed = F.coalesce("_removed", F.array().cast("array<int>"))
-    return joined.select(
+    # the texts stay where they are: what is asked of one is known before the join
+    narrow = docs.select(
         F.col(id_col).alias("doc_id"),
+        F.xxhash64(text_col).alias("_key"),
         F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.size(removed).cast("long").alias("n_removed"),
-        removed.alias("removed"),
     )
+    joined = _with_removed(narrow, removed_lines(docs, id_col, text_col, **limits), "doc_id", F.col("_key"))
+    removed = F.coalesce("_removed", F.array().cast("array<int>"))
+    return joined.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))

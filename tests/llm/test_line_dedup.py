@@ -198,3 +198,57 @@ def test_simhash_of_long_runs():
         ones = bits[a:b].sum(axis=0)
         want.append(sum(1 << k for k in range(64) if 2 * int(ones[k]) > b - a))
     assert L.simhashes(hashes.astype(">u8"), ends).tolist() == want
+
+
+def test_near_values_connect_what_all_pairs_do():
+    """Chains of values a few bits apart, among others and in crowds that are divided."""
+    rng = np.random.default_rng(8)
+    values = list(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    for _ in range(400):
+        x = values[rng.integers(len(values))]
+        for b in rng.choice(64, rng.integers(1, 6), replace=False):
+            x ^= np.uint64(1) << np.uint64(b)
+        values.append(x)
+    values = np.unique(np.array(values))
+    close = np.bitwise_count(values[:, None] ^ values) <= 3
+    want = list(range(len(values)))
+    for i in range(len(values)):
+        for j in np.flatnonzero(close[i, :i]):
+            a, b = want[i], want[j]
+            want = [min(a, b) if x in (a, b) else x for x in want]
+    for limit in (1000, 4):  # over 4 values with half their bits the same become a star
+        links = [
+            np.stack(x)
+            for m in L._masks(list(range(64)), 4, 3)
+            for k in np.unique(values & np.uint64(m))
+            for x in L.near_values(values[values & np.uint64(m) == k], m, 3, 4, limit)
+        ]
+        src, dst = np.searchsorted(values, np.concatenate(links, axis=1))
+        kept = L.spanning(len(values), src, dst)
+        if limit > len(values):
+            assert close[src, dst].all() and len(kept) == len(values) - len(set(want))
+        root = list(range(len(values)))
+        for a, b in zip(src[kept].tolist(), dst[kept].tolist()):
+            one, two = root[a], root[b]
+            assert one != two
+            root = [min(one, two) if x in (one, two) else x for x in root]
+        assert all(root[a] == root[b] for a, b in zip(*np.nonzero(close)))
+
+
+def test_values_that_share_half_their_bits_by_chance_stay_apart(spark):
+    """Over 32 values on one combination of blocks, none within 3 bits of another."""
+    rng = np.random.default_rng(9)
+    values = (rng.integers(0, 1 << 31, 200) << 32) | 0x12345678
+    near = np.bitwise_count(values[:, None] ^ values) <= 3
+    assert near.sum() == len(values)
+    df = spark.createDataFrame([(int(v),) for v in values], "simhash long")
+    assert L.clusters(df, L.MAX_BITS, L.BLOCKS).collect() == []
+
+
+def test_only_documents_with_a_line_to_verify_are_shuffled(spark):
+    rows = spark.createDataFrame([(i, -i * i, f"t{i}") for i in range(2000)], "doc_id long, text_key long, text string")
+    key = L.F.xxhash64("doc_id", "text_key")
+    some = L._maybe(rows, key, L._bitmap(rows.where("doc_id % 100 = 0"), key))
+    assert some.columns == rows.columns
+    found = {r.doc_id for r in some.collect()}
+    assert {i for i in range(2000) if i % 100 == 0} <= found and len(found) < 25
