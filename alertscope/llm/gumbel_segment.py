@@ -44,7 +44,7 @@ SPACE = "▁"  # stands for a space in pieces
 UNKNOWN_PENALTY = 10.0
 #: Characters of text that are searched together, and lattice edges kept.
 BATCH_CHARS = 300_000
-KEPT_EDGES = 6_000_000
+KEPT_EDGES = 4_000_000
 #: Longer words get their lattice one by one.
 LONGEST_TOGETHER = 64
 #: Sums below this are scaled up again, before they underflow.
@@ -214,21 +214,32 @@ class Lattices:
             slot = seen[place] + turn
             src[slot], to[slot], piece[slot] = place, after, state
         prob = self.piece_prob[piece]
-        rank = np.repeat(np.arange(len(nodes)), counts)
+        node_of = np.repeat(np.arange(len(nodes)), counts)
         levels = np.searchsorted(ahead[nodes], np.arange(1, int(sizes.max()) + 2))
         mass, x = np.ones(len(codes)), np.empty(len(src))
         edges = np.append(first, len(src))[levels]
         for a, b, lo, hi in zip(levels[:-1], levels[1:], edges[:-1], edges[1:]):
             x[lo:hi] = prob[lo:hi] * mass[to[lo:hi]]
-            mass[nodes[a:b]] = np.bincount(rank[lo:hi] - a, weights=x[lo:hi], minlength=b - a)
+            mass[nodes[a:b]] = np.bincount(node_of[lo:hi] - a, weights=x[lo:hi], minlength=b - a)
         tiny = np.zeros(len(words), dtype=bool)
         tiny[word_of[nodes[mass[nodes] < TINY]]] = True
         good = ~tiny[word_of]
-        # the likelier edges of a place first, the longer of equals, in the places' order
-        keep = np.flatnonzero(good[src])[::-1]
-        keep = keep[np.argsort(-x[keep], kind="stable")]
-        for shift in range(0, len(codes).bit_length(), 16):
-            keep = keep[np.argsort((src[keep] >> shift).astype(np.uint16), kind="stable")]
+        # the likelier edges of a place first, the longer of equals, in the places' order:
+        # an edge's rank is the number of those of its place that go before it
+        turn = np.arange(total, dtype=np.int32) - np.repeat(first, counts).astype(np.int32)
+        more, rank = np.repeat(counts, counts) - turn, np.zeros(total, dtype=np.int32)
+        on, step = np.arange(total), 1
+        while len(on := on[more[on] > step]):
+            later = x[on] <= x[on + step]
+            rank[on[later]] += 1
+            rank[on[~later] + step] += 1
+            step += 1
+        begin = np.zeros(len(codes), dtype=np.int64)
+        begin[nodes] = np.where(good[nodes], counts, 0)
+        begin = np.cumsum(begin) - begin
+        own = np.flatnonzero(good[src])
+        keep = np.empty(len(own), dtype=np.int64)
+        keep[begin[src[own]] + rank[own]] = own
         src, to, piece, x = src[keep], to[keep], piece[keep], x[keep]
         p = x / mass[src]
         first = np.flatnonzero(np.concatenate(([True], src[1:] != src[:-1])) if len(src) else [])
@@ -315,13 +326,14 @@ def _truncated(location: np.ndarray, bound: np.ndarray, uniform: np.ndarray) ->
 class _Search:
     """The search over a batch of texts; a decision is one piece of one path."""
 
-    def __init__(self, lattices: Lattices, texts: list[list[str]], seeds: np.ndarray) -> None:
+    def __init__(self, lattices: Lattices, texts: list[list[str]], seeds: np.ndarray, starts: np.ndarray) -> None:
+        """``starts``: the first node of each word of all texts, in order."""
         self.l, self.seeds = lattices, seeds
         counts = np.array([len(t) for t in texts], dtype=np.int64)
         self.first_word = np.cumsum(counts) - counts
         self.n_words = counts
         self.doc_of = np.repeat(np.arange(len(texts)), counts)
-        self.word_start = np.array([lattices.start[w] for t in texts for w in t], dtype=np.int64)
+        self.word_start = starts
         self.paths: list[dict] = []
 
     def _walk(self, words: np.ndarray, nodes: np.ndarray, steps: np.ndarray, turn: int):
@@ -342,12 +354,16 @@ class _Search:
         word, step, node, edge = (np.concatenate([p[i] for p in parts]) for i in range(4))
         # a word's steps are 0, 1, ...: each decision has its place
         counts = np.bincount(word, minlength=len(self.doc_of))
-        order = np.empty(len(word), dtype=np.int64)
-        order[(np.cumsum(counts) - counts)[word] + step] = np.arange(len(word))
-        word, step, node, edge = word[order], step[order], node[order], edge[order]
+        offset = np.cumsum(counts) - counts
+        place = offset[word] + step
+        there = node, edge
+        node, edge = np.empty_like(node), np.empty_like(edge)
+        node[place], edge[place] = there
+        word = np.repeat(np.arange(len(counts)), counts)
+        step = np.arange(len(word)) - offset[word]
         doc = self.doc_of[word]
         starts = np.searchsorted(doc, docs)
-        local = np.searchsorted(docs, doc)
+        local = np.repeat(np.arange(len(docs)), np.diff(np.append(starts, len(doc))))
         prob = self.l.prob[edge]
         logp = np.log(prob)
         ends = np.append(starts[1:], len(edge))
@@ -405,30 +421,32 @@ class _Search:
 
     def _branch(self, docs: np.ndarray, where: np.ndarray, best: np.ndarray, turn: int) -> dict:
         l = self.l
-        parts, heads = [], []
-        at = np.zeros(len(docs), dtype=np.int64)
-        left = np.zeros(len(docs))
-        excluded: list[set[int]] = []
+        parts, excluded = [], []
+        at, taken = np.zeros(len(docs), dtype=np.int64), np.zeros((4, len(docs)), dtype=np.int64)
         for i, d in enumerate(docs.tolist()):
             path, own = self.paths[where[d, 0]], int(where[d, 1])
             a, b = int(path["starts"][own]), int(path["ends"][own])
-            t = a + int(np.argmax(path["value"][a:b]))
+            t = a + int(path["value"][a:b].argmax())
             path["value"][t] = -np.inf  # taken
             gone = {int(path["edge"][t])}
             if path["at"] is not None and t - a == path["at"][own]:
                 gone |= path["excluded"][own]
-            node, word, step = int(path["node"][t]), int(path["word"][t]), int(path["step"][t])
-            choice = [e for e in range(l.first[node], l.first[node + 1]) if e not in gone]
-            weights = np.cumsum(l.prob[choice])
-            u = float(_uniform(_mixed(self.seeds[d : d + 1], turn, np.array([word - self.first_word[d]]), 0), np.array([step]))[0])
-            pick = min(int(np.searchsorted(weights, u * weights[-1], "right")), len(choice) - 1)
-            edge = choice[pick]
-            rest = float(l.prob[[e for e in choice if e != edge]].sum()) if len(choice) > 1 else 0.0
-            at[i], left[i] = t - a, math.log(rest) if rest > 0 else -math.inf
+            at[i] = t - a
             excluded.append(gone)
+            taken[:, i] = path["word"][t], path["step"][t], path["node"][t], path["edge"][t]
             parts.append((path["word"][a:t], path["step"][a:t], path["node"][a:t], path["edge"][a:t]))
-            heads.append((word, step, node, edge))
-        head = tuple(np.array(x, dtype=np.int64) for x in zip(*heads))
+        word, step, node, _ = taken
+        u = _uniform(_mixed(self.seeds[docs], turn, word - self.first_word[docs], 0), step)
+        left, edges = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
+        for i, (lo, hi, gone, x) in enumerate(zip(l.first[node].tolist(), l.first[node + 1].tolist(), excluded, u.tolist())):
+            choice = [e for e in range(lo, hi) if e not in gone]
+            prob = l.prob[choice]
+            weights = prob.cumsum()
+            pick = min(int(weights.searchsorted(x * weights[-1], "right")), len(choice) - 1)
+            edges[i] = choice[pick]
+            rest = float(l.prob[choice[:pick] + choice[pick + 1 :]].sum()) if len(choice) > 1 else 0.0
+            left[i] = math.log(rest) if rest > 0 else -math.inf
+        head = (word, step, node, edges)
         parts.append(head)
         # go on in the branch's word, and through the words after it
         to = l.to[head[3]]
@@ -461,9 +479,14 @@ def draw(lattices: Lattices, texts: list[str | None], keys: list, k: int, seed:
         while at + len(some) < len(texts) and (not some or chars < BATCH_CHARS):
             some.append(lattices.words(texts[at + len(some)]))
             chars += sum(map(len, some[-1]))
-        lattices.learn([w for w in {w for t in some for w in t} if w not in lattices.start])
+        flat = [w for t in some for w in t]
+        known: dict[str, int] = {}
+        codes = np.array([known.setdefault(w, len(known)) for w in flat], dtype=np.int64)
+        words = list(known)
+        lattices.learn([w for w in words if w not in lattices.start])
+        starts = np.fromiter(map(lattices.start.__getitem__, words), dtype=np.int64, count=len(words))[codes]
         hashed = [xxhash.xxh64_intdigest(str(x), seed) for x in keys[at : at + len(some)]]
-        search = _Search(lattices.settle(), some, np.array(hashed, dtype=np.uint64))
+        search = _Search(lattices.settle(), some, np.array(hashed, dtype=np.uint64), starts)
         turns = dict.fromkeys(range(len(some)), 0)
         for doc, path, own, threshold in search.run(k):
             log_prob, turns[doc] = float(path["log_prob"][own]), turns[doc] + 1

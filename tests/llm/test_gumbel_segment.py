@@ -168,3 +168,19 @@ def test_decoder_decodes_rows_together():
     rows = [r for r in G.draw(lattices, texts, list(range(4)), 2, 0)]
     blobs = [r[2].astype("<u4").tobytes() for r in rows] + [None]
     assert G.Decoder(model).texts(pa.array(blobs, pa.binary())).to_pylist() == [texts[r[0]] for r in rows] + [None]
+
+
+def test_a_batch_looks_each_word_up_once():
+    """However often a word occurs, and whatever texts it is in."""
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    lattices = G.Lattices(MODEL, 1.0)
+    lattices.start = Counted()
+    rows = G.draw(lattices, ["some words again " * 300, "again some"] * 3, list(range(6)), 2, 0)
+    assert len(rows) == 12 and Counted.asked <= 8
